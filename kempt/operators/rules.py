@@ -34,11 +34,17 @@ class Rule:
     when: Predicate = None
 
     def apply(self, current: Column) -> Column:
-        new = self.fix(current)
         if self.when is None:
-            return new
-        pred = self.when(current) if callable(self.when) else self.when
-        return F.when(F.coalesce(pred, F.lit(False)), new).otherwise(current)
+            return self.fix(current)
+        # A conditional rule reads its input three times (predicate, fix,
+        # otherwise).  Binding the input once to a lambda variable keeps a
+        # chain of k rules linear in size; inlined, it would grow 3^k when a
+        # filter on the result is pushed through the projection.
+        return F.transform(F.array(current), self._conditional).getItem(0)
+
+    def _conditional(self, x: Column) -> Column:
+        pred = self.when(x) if callable(self.when) else self.when
+        return F.when(F.coalesce(pred, F.lit(False)), self.fix(x)).otherwise(x)
 
 
 def set_value(name: str, column: str, value, when: Predicate) -> Rule:
@@ -64,23 +70,10 @@ def _by_column(df: DataFrame, rules: Sequence[Rule]) -> dict[str, list[Rule]]:
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Apply ordered rules; one projection per rule 'layer' keeps plans linear.
-
-    Conditional rules reference the current value twice (predicate and fix), so
-    a long chain folded into one expression would double in size per rule.  We
-    therefore project after each conditional rule; Catalyst's CollapseProject
-    merges the layers back only where that does not duplicate work.
-    """
+    """Apply ordered rules in one projection; other columns and row order are untouched."""
     grouped = _by_column(df, rules)
-    depth = max((len(v) for v in grouped.values()), default=0)
-    out = df
-    for step in range(depth):
-        exprs = {}
-        for col, rs in grouped.items():
-            if step < len(rs):
-                exprs[col] = rs[step].apply(F.col(col)).alias(col)
-        out = out.select(*[exprs.get(c, F.col(c)) for c in out.columns])
-    return out
+    return df.select(*[fold(grouped[c], F.col(c)).alias(c) if c in grouped else F.col(c)
+                       for c in df.columns])
 
 
 def preview_changes(df: DataFrame, key: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
