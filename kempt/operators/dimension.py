@@ -66,9 +66,23 @@ def member_key(name: Column, delim: str = ",") -> Column:
 
 
 def classify_members(dim: DataFrame, name_col: str, delim: str = ",") -> DataFrame:
-    """All dimension columns plus ``_cls`` and ``_key``."""
+    """All dimension columns plus ``_cls`` and ``_key``.
+
+    Same result as ``member_class`` / ``member_key``, but the stripped name is
+    computed once per member and the class once, then reused.
+    """
     name = F.col(name_col)
-    return dim.select("*", member_class(name, delim).alias(_CLS), member_key(name, delim).alias(_KEY))
+    staged = dim.select("*", _stripped(name, delim).alias("_st"))
+    st = F.col("_st")
+    cls = (F.when(name.startswith(delim), F.lit(UNRECOVERABLE))
+           .when(st.contains(delim), F.lit(COMPOSITE))
+           .when(name.endswith(delim), F.lit(STRIP))
+           .otherwise(F.lit(CLEAN)))
+    staged = staged.select("*", cls.alias(_CLS))
+    key = (F.when(F.col(_CLS) == UNRECOVERABLE, F.lit(None).cast("string"))
+           .when(F.col(_CLS) == COMPOSITE, text_before(st, delim))
+           .otherwise(st))
+    return staged.select(*dim.columns, _CLS, key.alias(_KEY))
 
 
 def size_checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:

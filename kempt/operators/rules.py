@@ -102,18 +102,17 @@ def apply_keyed_replacements(df: DataFrame, key: str, column: str, rule_table: D
                              *, broadcast_max_rows: int = 100_000) -> DataFrame:
     """Targeted corrections by key: ``rule_table(key, seq, search, replacement)``.
 
-    The rule table is user-authored and small, but its size is still checked
-    before it is broadcast.  Rules are grouped per key into an ordered array and
-    folded over the value with the ``aggregate`` higher-order function, so a key
-    can carry several ordered corrections and the data side is never shuffled.
+    Rules are grouped per key into an ordered array and folded over the value
+    with the ``aggregate`` higher-order function, so a key can carry several
+    ordered corrections.  The per-key rule table is broadcast when its checked
+    row count is under the bound (the data side is then never shuffled);
+    otherwise it is a shuffle join, where AQE splits a hot key.
     """
     per_key = (rule_table.groupBy(F.col(key).alias("_rk"))
                .agg(F.array_sort(F.collect_list(F.struct("seq", "search", "replacement"))).alias("_rules")))
     n_keys = per_key.count()
-    if n_keys > broadcast_max_rows:
-        raise ValueError(f"{n_keys} keyed rules exceed the broadcast bound {broadcast_max_rows}; "
-                         "express bulk corrections as a mapping join instead")
-    joined = df.join(F.broadcast(per_key), df[key] == F.col("_rk"), "left")
+    side = F.broadcast(per_key) if n_keys <= broadcast_max_rows else per_key
+    joined = df.join(side, df[key] == F.col("_rk"), "left")
     empty = F.array().cast("array<struct<seq:int,search:string,replacement:string>>")
     fixed = F.aggregate(F.coalesce(F.col("_rules"), empty), F.col(column),
                         lambda acc, r: F.replace(acc, r["search"], r["replacement"]))

@@ -249,17 +249,17 @@ def q19_suffix_space_case_repairs(spark, sf):
 
 
 def q20_dimension_merge_fk_remap(spark, sf):
-    merge = part_merge(spark, sf)
+    merge = part_merge(spark, sf, materialize=False)
     li = merge.remap(_t(spark, sf, "lineitem").select("l_partkey"), "l_partkey")
     return li.groupBy(F.col("l_partkey").alias("target_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q21_survivor_map(spark, sf):
-    return part_merge(spark, sf).survivor_map()
+    return part_merge(spark, sf, materialize=False).survivor_map()
 
 
 def q22_composite_split_preview(spark, sf):
-    merge = part_merge(spark, sf)
+    merge = part_merge(spark, sf, materialize=False)
     comp = merge.composite_targets()
     per_part = (_t(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("current_id"))
                 .agg(F.count(F.lit(1)).alias("_n")))
@@ -269,7 +269,7 @@ def q22_composite_split_preview(spark, sf):
 
 
 def q23_composite_without_clean_match(spark, sf):
-    return part_merge(spark, sf).unmatched_composites()
+    return part_merge(spark, sf, materialize=False).unmatched_composites()
 
 
 def q24_delete_by_predicate_and_join(spark, sf):
@@ -497,7 +497,7 @@ def q52_csv_round_trip(spark, sf):
     spec = STAR_SCHEMA["supplier"]
     src = _t(spark, sf, "supplier").select(*spec.columns)
     path = scratch_path(spark, "supplier-csv")
-    snapshot.export_csv(src, path, spec.primary_key)
+    snapshot.export_csv(src, path, spec.primary_key, integer_columns=("s_suppkey", "s_nationkey"))
     return delimited.read_delimited(spark, path, spec.schema)
 
 
@@ -525,6 +525,16 @@ def q56_name_capitalisation_review(spark, sf):
     return fixed.where(text.has_connector_word("nm"))
 
 
+
+def q57_impact_listing(spark, sf):
+    merge = part_merge(spark, sf, materialize=False)
+    moved, _ = dimension.size_checked_broadcast(
+        merge.removed().select(F.col("id").alias("current_id"), "member_class", "target_id"),
+        dimension.DEFAULT_BROADCAST_MAX_ROWS)
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    j = li.join(moved, li["l_partkey"] == moved["current_id"])
+    return j.select("l_orderkey", "l_linenumber", "current_id", "member_class", "target_id")
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

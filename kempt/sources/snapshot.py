@@ -48,8 +48,8 @@ def normalise_integers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                        for c in df.columns])
 
 
-def export_csv(df: DataFrame, path: str, key: Sequence[str], integer_columns: Sequence[str] = ()) -> None:
-    """Ordered CSV export with a header row.
+def export_csv(df: DataFrame, path: str, key: Sequence[str], integer_columns: Sequence[str] = ()) -> int:
+    """Ordered CSV export with a header row; returns the row count observed during the write.
 
     A global ``orderBy`` is a range-partitioned sort (one shuffle); every
     output part file holds one key range, in order.  Spark writes no BOM.
@@ -57,4 +57,7 @@ def export_csv(df: DataFrame, path: str, key: Sequence[str], integer_columns: Se
     out = normalise_integers(df, integer_columns) if integer_columns else df
     opts = {k: v for k, v in CSV_OPTIONS.items() if k in ("header", "sep", "quote", "escape", "encoding",
                                                           "nullValue", "emptyValue")}
-    out.orderBy(*key).write.mode("errorifexists").options(**opts).csv(path)
+    obs = Observation("exported_rows")
+    out.orderBy(*key).observe(obs, F.count(F.lit(1)).alias("rows")) \
+        .write.mode("errorifexists").options(**opts).csv(path)
+    return int(obs.get["rows"])
