@@ -157,27 +157,48 @@ class Relation:
     optional: bool = False
 
 
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def _parent_keys(parent: DataFrame, pk: str) -> DataFrame:
+    # semi/anti joins need no distinct right side, so no shuffle is spent on one
+    return parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull())
+
+
 def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional: bool = False) -> DataFrame:
     """Child rows whose key has no parent.  A NULL mandatory key is an orphan."""
     if optional:
         child = child.where(F.col(fk).isNotNull())
-    keys = parent.select(F.col(pk).alias("_pk")).distinct()
-    return child.join(keys, child[fk] == F.col("_pk"), "left_anti")
+    return child.join(_parent_keys(parent, pk), child[fk] == F.col("_pk"), "left_anti")
+
 
+def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional: bool = False, *,
+                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """``(orphan_rows, orphan_keys)``; a NULL key counts as one key.
 
-def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional: bool = False) -> DataFrame:
-    """``(orphan_rows, orphan_keys)``, pre-aggregated.
+    Two plans, chosen by a checked size:
 
-    The child is first reduced to ``(fk, rows)`` with a map-side partial
-    aggregate, so only distinct keys cross the shuffle and a key holding a
-    third of the child costs one row per partition; the anti join then runs on
-    distinct keys only.
+    * parent keys proven small (row count <= ``broadcast_max_rows``): the child
+      streams once past a broadcast hash set -- no shuffle of child rows, so
+      a key holding a third of the child costs nothing extra;
+    * otherwise the child is first reduced to ``(fk, rows)`` by a map-side
+      partial aggregate (only distinct keys cross the shuffle, a hot key
+      collapses to one row per partition) and the distinct keys are matched
+      with a left outer join + IS NULL.  (A ``left_anti`` here would be pushed
+      below the aggregate by Catalyst and shuffle every child row.)
     """
     if optional:
         child = child.where(F.col(fk).isNotNull())
+    keys = _parent_keys(parent, pk)
+    if keys.count() <= broadcast_max_rows:
+        missing = child.join(F.broadcast(keys), child[fk] == F.col("_pk"), "left_anti").select(
+            F.col(fk).alias("_fk"))
+        return missing.agg(
+            F.count(F.lit(1)).alias("orphan_rows"),
+            (F.count_distinct("_fk") + F.max(F.when(F.col("_fk").isNull(), 1).otherwise(0)))
+            .cast("bigint").alias("orphan_keys"))
     per_key = child.groupBy(F.col(fk).alias("_fk")).agg(row_count().alias("_n"))
-    keys = parent.select(F.col(pk).alias("_pk")).distinct()
-    missing = per_key.join(keys, F.col("_fk") == F.col("_pk"), "left_anti")
+    missing = per_key.join(keys, F.col("_fk") == F.col("_pk"), "left").where(F.col("_pk").isNull())
     return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
                        F.count(F.lit(1)).alias("orphan_keys"))
 

@@ -218,5 +218,6 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def delete_listed(df: DataFrame, keys: Sequence[str], listed: DataFrame) -> DataFrame:
-    """``DELETE t FROM t JOIN listed``: anti join on the key."""
-    return df.join(listed.select(*keys).distinct(), list(keys), "left_anti")
+    """``DELETE t FROM t JOIN listed``: anti join on the key (duplicates in
+    ``listed`` are harmless, so no shuffle is spent de-duplicating it)."""
+    return df.join(listed.select(*keys), list(keys), "left_anti")

@@ -50,10 +50,11 @@ def test_duplicate_text_groups_matches_brute_force(spark, texts):
 def test_orphans_mandatory_and_optional(spark):
     parent = spark.createDataFrame([(1,), (2,)], "pk int")
     child = spark.createDataFrame([(1,), (3,), (3,), (None,)], "fk int")
-    m = checks.orphan_count(child, "fk", parent, "pk").first().asDict()
-    o = checks.orphan_count(child, "fk", parent, "pk", optional=True).first().asDict()
-    assert m == {"orphan_rows": 3, "orphan_keys": 2}
-    assert o == {"orphan_rows": 2, "orphan_keys": 1}
+    for bound in (2_000_000, 0):  # broadcast path and pre-aggregated shuffle path
+        m = checks.orphan_count(child, "fk", parent, "pk", broadcast_max_rows=bound).first().asDict()
+        o = checks.orphan_count(child, "fk", parent, "pk", optional=True, broadcast_max_rows=bound).first().asDict()
+        assert m == {"orphan_rows": 3, "orphan_keys": 2}
+        assert o == {"orphan_rows": 2, "orphan_keys": 1}
     assert checks.orphan_rows(child, "fk", parent, "pk").count() == 3
 
 
