@@ -173,7 +173,8 @@ def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional:
 
 
 def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional: bool = False, *,
-                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                 parent_key_rows: int | None = None) -> DataFrame:
     """``(orphan_rows, orphan_keys)``; a NULL key counts as one key.
 
     Two plans, chosen by a checked size:
@@ -186,11 +187,15 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional
       collapses to one row per partition) and the distinct keys are matched
       with a left outer join + IS NULL.  (A ``left_anti`` here would be pushed
       below the aggregate by Catalyst and shuffle every child row.)
+
+    ``parent_key_rows`` lets a caller that already counted the parent keys
+    (``integrity_report`` counts all parents in one job) skip the count.
     """
     if optional:
         child = child.where(F.col(fk).isNotNull())
     keys = _parent_keys(parent, pk)
-    if keys.count() <= broadcast_max_rows:
+    n_keys = keys.count() if parent_key_rows is None else parent_key_rows
+    if n_keys <= broadcast_max_rows:
         missing = child.join(F.broadcast(keys), child[fk] == F.col("_pk"), "left_anti").select(
             F.col(fk).alias("_fk"))
         return missing.agg(
@@ -203,11 +208,22 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional
                        F.count(F.lit(1)).alias("orphan_keys"))
 
 
-def integrity_report(relations: Sequence[Relation]) -> DataFrame:
-    """One ``(check_name, issue_count)`` row per relation, unioned."""
-    parts = [orphan_count(r.child, r.fk, r.parent, r.pk, r.optional)
+def integrity_report(relations: Sequence[Relation], *,
+                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """One ``(check_name, issue_count)`` row per relation, unioned.
+
+    The size checks of all parents run as *one* job (a union of key counts,
+    collected as one row per relation), then every relation gets the plan its
+    parent size allows (see ``orphan_count``).
+    """
+    counts = reduce(DataFrame.unionByName, [
+        _parent_keys(r.parent, r.pk).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+        for i, r in enumerate(relations)])
+    sizes = {row["i"]: row["n"] for row in counts.collect()}
+    parts = [orphan_count(r.child, r.fk, r.parent, r.pk, r.optional, broadcast_max_rows=broadcast_max_rows,
+                          parent_key_rows=sizes[i])
              .select(F.lit(r.name).alias("check_name"), F.col("orphan_rows").alias("issue_count"))
-             for r in relations]
+             for i, r in enumerate(relations)]
     return reduce(DataFrame.unionByName, parts)
 
 

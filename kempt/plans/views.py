@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kempt.session import ensure_parallelism
+
 # view name -> (source table, [(column alias, SQL expression)])
 VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "dirty_part": ("part", [
@@ -86,8 +88,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Tables whose rows carry whole texts (regex / replace work per row) and their keys.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        df = ensure_parallelism(df, TEXT_TABLES[name])
+    return df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

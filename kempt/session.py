@@ -55,3 +55,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder (reliable, survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ensure_parallelism(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread an under-partitioned input before CPU-heavy per-row work.
+
+    A source with fewer partitions than the cluster's default parallelism (a
+    single large row group, a few big files) would leave most cores idle
+    during regex and replace work on whole texts.  Only then are its rows
+    hash-partitioned on ``key`` (or round-robin) across the default
+    parallelism; inputs that already have enough splits -- any real 100 TB
+    table -- pass through untouched, with no shuffle added.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)
