@@ -30,8 +30,13 @@ def shared_dir(spark: SparkSession) -> str:
     value is an error, because a machine-local folder would not survive the
     loss of the executor that wrote it.
     """
-    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: the server owns the checkpoint folder
+        if configured:
+            return configured.rstrip("/")
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors") from None
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
@@ -67,7 +72,11 @@ def ensure_parallelism(df: DataFrame, key: str | None = None) -> DataFrame:
     parallelism; inputs that already have enough splits -- any real 100 TB
     table -- pass through untouched, with no shuffle added.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- e.g. Spark Connect: no RDD view; leave partitioning alone
+        return df
+    if have >= want:
         return df
     return df.repartition(want, key) if key else df.repartition(want)
