@@ -527,13 +527,20 @@ def q56_name_capitalisation_review(spark, sf):
 
 
 def q57_impact_listing(spark, sf):
+    """Child rows of every member that moves, with the old and the new member:
+    child x moved members x (survivor aggregate) x cleaned dimension again."""
     merge = part_merge(spark, sf, materialize=False)
-    moved, _ = dimension.size_checked_broadcast(
-        merge.removed().select(F.col("id").alias("current_id"), "member_class", "target_id"),
-        dimension.DEFAULT_BROADCAST_MAX_ROWS)
+    targets = merge.dimension().select(F.col("id").alias("target_id"), F.col("nm").alias("target_name"))
+    moved = merge.removed().select(F.col("id").alias("current_id"), F.col("nm").alias("current_name"),
+                                   "member_class", "target_id")
+    moved = moved.join(targets, "target_id")
+    moved, _ = dimension.size_checked_broadcast(moved, dimension.DEFAULT_BROADCAST_MAX_ROWS)
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     j = li.join(moved, li["l_partkey"] == moved["current_id"])
-    return j.select("l_orderkey", "l_linenumber", "current_id", "member_class", "target_id")
+    return j.select("l_orderkey", "l_linenumber", "current_id", "current_name", "member_class", "target_id",
+                    "target_name")
+
+
 
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()

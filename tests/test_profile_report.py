@@ -78,3 +78,9 @@ def test_row_count_report_and_sample(spark):
     got = [(r["table_name"], r["row_count"]) for r in report.row_count_report({"b": b, "a": a}).collect()]
     assert got == [("a", 3), ("b", 5)]
     assert [r["id"] for r in report.sample_first(b, ["id"], 2).collect()] == [0, 1]
+
+
+def test_numeric_range(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (None,)], "v double")
+    assert profile.numeric_range(df, "v").first().asDict() == {"min_value": 1.0, "max_value": 3.0,
+                                                                "avg_value": 2.0, "non_null_rows": 2}
