@@ -99,14 +99,18 @@ def text_hygiene(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _keys(keys: Sequence[str], case_insensitive: bool) -> list[Column]:
     if not case_insensitive:
         return [F.col(k) for k in keys]
-    return [F.lower(F.collate(F.col(k), "UTF8_LCASE")).alias(k) for k in keys]
+    # lower() rather than a UTF8_LCASE collated key: same groups for these
+    # values, but the aggregate stays hash-based (a collated grouping key is
+    # planned as a sort aggregate)
+    return [F.lower(F.col(k)).alias(k) for k in keys]
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str], *, case_insensitive: bool = False,
-                     count_col: str = "n_rows") -> DataFrame:
-    """Key groups holding more than one row.  NULL keys form one group, as in SQL GROUP BY."""
-    return (df.groupBy(*_keys(keys, case_insensitive)).agg(row_count().alias(count_col))
-              .where(F.col(count_col) > 1))
+                     count_col: str = "n_rows", extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Key groups holding more than one row.  NULL keys form one group, as in SQL GROUP BY.
+    ``extra`` adds more aggregates per group (e.g. distinct spellings)."""
+    aggs = [row_count().alias(count_col)] + [e.alias(n) for n, e in (extra or {}).items()]
+    return df.groupBy(*_keys(keys, case_insensitive)).agg(*aggs).where(F.col(count_col) > 1)
 
 
 def duplicate_summary(groups: DataFrame, count_col: str = "n_rows") -> DataFrame:

@@ -222,13 +222,12 @@ def q15_pattern_any_search(spark, sf):
 
 
 def q16_case_insensitive_group(spark, sf):
+    # lower() keys keep the aggregate hash-based; grouping on a UTF8_LCASE
+    # collated key plans a sort-based aggregate in Spark 4.1
     pv = _v(spark, sf, "part_variants")
-    key = F.collate(F.col("nm"), "UTF8_LCASE")
-    return (pv.groupBy(key.alias("_k"))
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("nm").alias("n_spellings"),
-                 F.min(F.lower("nm")).alias("name_key"))
-            .where(F.col("n_rows") > 1)
-            .select(F.collate("name_key", "UTF8_BINARY").alias("name_key"), "n_rows", "n_spellings"))
+    groups = checks.duplicate_groups(pv.select(F.col("nm").alias("name_key"), "nm"), ["name_key"],
+                                     case_insensitive=True, extra={"n_spellings": F.count_distinct("nm")})
+    return groups.select("name_key", "n_rows", "n_spellings")
 
 
 def q17_mojibake_repair_chain(spark, sf):
@@ -273,7 +272,7 @@ def q23_composite_without_clean_match(spark, sf):
 
 
 def q24_delete_by_predicate_and_join(spark, sf):
-    merge = part_merge(spark, sf, materialize=False)
+    merge = part_merge(spark, sf)
     dp = merge.mapping.select("id", "nm")
     step1 = dimension.delete_where(dp, F.col("nm").startswith(","))
     return dimension.delete_listed(step1, ["id"], merge.removed())
@@ -343,16 +342,17 @@ def q35_null_rate_by_dimension(spark, sf):
 
 
 def q36_placeholder_usage(spark, sf):
-    merge = part_merge(spark, sf, materialize=False)
+    merge = part_merge(spark, sf)
     ph = PART_PLACEHOLDER["id"]
     members = merge.removed().where(F.col("target_id") == ph).agg(
         F.lit("members_to_placeholder").alias("metric"), F.count(F.lit(1)).alias("value"))
     li = merge.remap(_t(spark, sf, "lineitem").select("l_orderkey", "l_partkey"), "l_partkey")
-    on_ph = li.where(F.col("l_partkey") == ph)
-    rows = on_ph.agg(F.lit("child_rows_on_placeholder").alias("metric"), F.count(F.lit(1)).alias("value"))
-    orders = on_ph.agg(F.lit("orders_affected").alias("metric"),
-                       F.count_distinct("l_orderkey").alias("value"))
-    return members.unionByName(rows).unionByName(orders)
+    usage = li.where(F.col("l_partkey") == ph).agg(F.count(F.lit(1)).alias("rows"),
+                                                   F.count_distinct("l_orderkey").alias("orders"))
+    usage = usage.select(F.inline(F.array(
+        F.struct(F.lit("child_rows_on_placeholder").alias("metric"), F.col("rows").alias("value")),
+        F.struct(F.lit("orders_affected").alias("metric"), F.col("orders").alias("value")))))
+    return members.unionByName(usage)
 
 
 def q37_distribution_including_zero(spark, sf):
@@ -456,13 +456,13 @@ def q46_sample_first_n(spark, sf):
 
 
 def q47_before_after_diff(spark, sf):
-    merge = part_merge(spark, sf, materialize=False)
+    merge = part_merge(spark, sf)
     before = merge.mapping.select("id", "nm")
     return report.diff_snapshots(before, merge.dimension(), ["id"])
 
 
 def q48_side_effect_check(spark, sf):
-    merge = part_merge(spark, sf, materialize=False)
+    merge = part_merge(spark, sf)
     dim = merge.dimension()
     dups = checks.duplicate_summary(checks.duplicate_groups(dim, ["nm"])).select(
         F.lit("new_duplicate_names").alias("check_name"), F.col("duplicate_groups").alias("issue_count"))
@@ -529,7 +529,7 @@ def q56_name_capitalisation_review(spark, sf):
 def q57_impact_listing(spark, sf):
     """Child rows of every member that moves, with the old and the new member:
     child x moved members x (survivor aggregate) x cleaned dimension again."""
-    merge = part_merge(spark, sf, materialize=False)
+    merge = part_merge(spark, sf)
     targets = merge.dimension().select(F.col("id").alias("target_id"), F.col("nm").alias("target_name"))
     moved = merge.removed().select(F.col("id").alias("current_id"), F.col("nm").alias("current_name"),
                                    "member_class", "target_id")
