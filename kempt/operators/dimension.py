@@ -101,6 +101,26 @@ class DimensionMerge:
     columns: tuple[str, ...]
     placeholder: dict
     broadcast_max_rows: int
+    source: DataFrame | None = None   # the input dimension, for a cheap size bound
+    _member_rows: int | None = None
+
+    def member_rows(self) -> int:
+        """Rows of the input dimension: an upper bound for every map derived from it.
+
+        Counting the input needs no shuffle (Spark drops the projections and
+        counts the scan), so it is the cheap first step of every size check.
+        """
+        if self._member_rows is None:
+            self._member_rows = (self.source if self.source is not None else self.mapping).count()
+        return self._member_rows
+
+    def bounded_broadcast(self, derived: DataFrame) -> DataFrame:
+        """Broadcast a map derived from the members when its size is proven small:
+        first by the member count (no extra work), else by counting it exactly."""
+        if self.member_rows() <= self.broadcast_max_rows:
+            return F.broadcast(derived)
+        side, _ = size_checked_broadcast(derived, self.broadcast_max_rows)
+        return side
 
     # -- the mapping --------------------------------------------------------
     def moved(self) -> DataFrame:
@@ -140,8 +160,7 @@ class DimensionMerge:
     def remap(self, child: DataFrame, fk: str) -> DataFrame:
         """Child rows with ``fk`` moved to the surviving member; unmatched keys keep
         their value (UPDATE ... FROM semantics)."""
-        moved, _ = size_checked_broadcast(self.moved(), self.broadcast_max_rows)
-        return remap_foreign_key(child, fk, moved, "source_id", "target_id")
+        return remap_foreign_key(child, fk, self.bounded_broadcast(self.moved()), "source_id", "target_id")
 
     def dimension(self) -> DataFrame:
         """The cleaned dimension: survivors with their repaired name, unmatched
@@ -174,7 +193,8 @@ def plan_dimension_merge(dim: DataFrame, id_col: str, name_col: str, *, placehol
                .select(*dim.columns, _CLS, _KEY, target.alias(_TARGET)))
     if materialize:
         mapping = cut_lineage(mapping)
-    return DimensionMerge(mapping, id_col, name_col, tuple(dim.columns), placeholder, broadcast_max_rows)
+    return DimensionMerge(mapping, id_col, name_col, tuple(dim.columns), placeholder, broadcast_max_rows,
+                          source=dim)
 
 
 def remap_foreign_key(child: DataFrame, fk: str, mapping: DataFrame,

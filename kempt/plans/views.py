@@ -93,9 +93,21 @@ TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLES:
-        df = ensure_parallelism(df, TEXT_TABLES[name])
+    """The snapshot table as a DataFrame.
+
+    Snapshots are immutable (written once, never overwritten), so the logical
+    DataFrame for a path is built once per session and reused: file listing
+    and footer-based schema inference are not repeated for every query.  No
+    data is cached.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    loaded = spark.__dict__.setdefault("_kempt_snapshot_tables", {})
+    df = loaded.get(path)
+    if df is None:
+        df = spark.read.parquet(path)
+        if name in TEXT_TABLES:
+            df = ensure_parallelism(df, TEXT_TABLES[name])
+        loaded[path] = df
     return df
 
 
