@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 Predicate = Callable[[Column], Column] | Column | None
 
@@ -92,12 +91,6 @@ def preview_changes(df: DataFrame, key: Sequence[str], rules: Sequence[Rule]) ->
               .select(*key, "e.column_name", "e.before", "e.after"))
 
 
-KEYED_RULE_SCHEMA = T.StructType([
-    T.StructField("search", T.StringType(), False),
-    T.StructField("replacement", T.StringType(), False),
-])
-
-
 def apply_keyed_replacements(df: DataFrame, key: str, column: str, rule_table: DataFrame,
                              *, broadcast_max_rows: int = 100_000) -> DataFrame:
     """Targeted corrections by key: ``rule_table(key, seq, search, replacement)``.

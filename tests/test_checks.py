@@ -2,7 +2,6 @@ from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from kempt.model import ForeignKey, TableSpec, drop_order, load_order
 from kempt.operators import checks
