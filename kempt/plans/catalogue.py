@@ -401,26 +401,16 @@ def q42_row_count_report(spark, sf):
 
 
 def supplier_summary(df: DataFrame) -> DataFrame:
-    """Wide per-table summary including the duplicate-name count, in one pipeline:
-    rows are first counted per name (partial aggregation), every metric is a
-    predicate on the name weighted by that count, and duplicates are names with
-    count > 1 -- no scalar subquery, no second scan, no cross join."""
-    per = df.groupBy("nm").agg(F.count(F.lit(1)).alias("_n"))
-    nm, n = F.col("nm"), F.col("_n")
-
-    def weighted(pred):
-        return F.coalesce(F.sum(F.when(pred, n)), F.lit(0)).cast("bigint")
-
-    return per.agg(
-        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("total_rows"),
-        weighted(nm.isNull()).alias("null_names"),
-        weighted(text.is_blank(nm)).alias("blank_names"),
-        weighted(nm.contains("  ")).alias("double_spaces"),
-        weighted(text.has_edge_whitespace(nm)).alias("edge_whitespace"),
-        weighted(text.has_non_ascii(nm)).alias("encoding_issues"),
-        weighted(nm.endswith("Ltd")).alias("ltd_without_period"),
-        weighted(nm.endswith("ltd.")).alias("lowercase_ltd"),
-        checks.count_where(n > 1).alias("duplicate_names"))
+    """Wide per-table summary of the supplier names, duplicate count included (one pipeline)."""
+    return checks.value_summary(df, "nm", {
+        "null_names": lambda v: v.isNull(),
+        "blank_names": text.is_blank,
+        "double_spaces": lambda v: v.contains("  "),
+        "edge_whitespace": text.has_edge_whitespace,
+        "encoding_issues": text.has_non_ascii,
+        "ltd_without_period": lambda v: v.endswith("Ltd"),
+        "lowercase_ltd": lambda v: v.endswith("ltd."),
+    }, duplicates_col="duplicate_names")
 
 
 def q43_table_summary_wide(spark, sf):

@@ -3,6 +3,8 @@ from collections import Counter
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from kempt.model import ForeignKey, TableSpec, drop_order, load_order
 from kempt.operators import checks
 
@@ -77,3 +79,10 @@ def test_run_checks_and_long_format(spark):
     df = spark.createDataFrame([("a,b",), ("c",)], "s string")
     wide = checks.run_checks(df, {"rows": checks.row_count(), "commas": checks.contains_count("s", ",")})
     assert sorted((r["check_name"], r["actual"]) for r in checks.to_long(wide).collect()) == [("commas", 1), ("rows", 2)]
+
+
+def test_value_summary_matches_row_level_counts(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b  c",), (None,), (None,), (" d",)], "s string")
+    r = checks.value_summary(df, "s", {"nulls": lambda v: v.isNull(), "doubles": lambda v: v.contains("  "),
+                                       "edge": lambda v: v != F.trim(v)}).first().asDict()
+    assert r == {"total_rows": 6, "nulls": 2, "doubles": 1, "edge": 1, "duplicate_values": 2}
