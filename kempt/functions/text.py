@@ -87,10 +87,22 @@ def contains_any(c: str | Column, needles: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, [c.contains(n) for n in needles])
 
 
-def has_lowercase_word(c: str | Column, exclusions: Sequence[str] = NAME_CONNECTORS) -> Column:
+def has_lowercase_word(c: str | Column, exclusions: Sequence[str] = NAME_CONNECTORS, *,
+                       case_insensitive: bool = False) -> Column:
     """A word after the first one starts with a lower-case letter, unless the
-    name contains one of the allowed connector words (case-sensitive)."""
+    name contains one of the allowed connector words.
+
+    Case-sensitive by default (the stated intent).  ``case_insensitive=True``
+    reproduces a check run under a case-insensitive collation, where any letter
+    after a space matches and the exclusions match in any case.
+    """
     c = _col(c)
+    if case_insensitive:
+        pred = c.rlike("(?i) [a-z]")
+        low = F.lower(c)
+        for word in exclusions:
+            pred = pred & ~low.contains(f" {word.lower()} ")
+        return pred
     pred = c.rlike(" [a-z]")
     for word in exclusions:
         pred = pred & ~c.contains(f" {word} ")

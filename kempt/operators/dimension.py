@@ -174,7 +174,7 @@ class DimensionMerge:
 
 def plan_dimension_merge(dim: DataFrame, id_col: str, name_col: str, *, placeholder: dict,
                          delim: str = ",", broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                         materialize: bool = True) -> DimensionMerge:
+                         materialize: bool = True, case_insensitive: bool = False) -> DimensionMerge:
     """Classify members, pick survivors (``min(id)`` per clean name among clean
     and strippable members) and route every member to its target.
 
@@ -182,14 +182,20 @@ def plan_dimension_merge(dim: DataFrame, id_col: str, name_col: str, *, placehol
     unrecoverable members, e.g. ``{"id": 0, "name": "N/A", "slug": "n-a"}``.
     With ``materialize`` the mapping is checkpointed to the shared folder, so its
     three consumers (preview, child remap, cleaned dimension) do not recompute it.
+    ``case_insensitive`` matches names that differ only in letter case (the
+    survivor keeps its own spelling).
     """
     members = classify_members(dim, name_col, delim)
+    if case_insensitive:
+        members = members.withColumn("_match", F.lower(F.col(_KEY)))
+    else:
+        members = members.withColumn("_match", F.col(_KEY))
     survivors = (members.where(F.col(_CLS).isin(CLEAN, STRIP))
-                 .groupBy(_KEY).agg(F.min(id_col).alias(_KEEP)))
+                 .groupBy("_match").agg(F.min(id_col).alias(_KEEP)))
     placeholder_id = F.lit(placeholder[id_col]).cast(dim.schema[id_col].dataType)
     target = (F.when(F.col(_CLS) == UNRECOVERABLE, placeholder_id)
               .otherwise(F.coalesce(F.col(_KEEP), F.col(id_col))))
-    mapping = (members.join(survivors, _KEY, "left")
+    mapping = (members.join(survivors, "_match", "left")
                .select(*dim.columns, _CLS, _KEY, target.alias(_TARGET)))
     if materialize:
         mapping = cut_lineage(mapping)

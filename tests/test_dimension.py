@@ -70,3 +70,13 @@ def test_delete_listed(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "id int")
     listed = spark.createDataFrame([(2,), (2,)], "id int")
     assert sorted(r["id"] for r in dimension.delete_listed(df, ["id"], listed).collect()) == [1, 3]
+
+
+def test_case_insensitive_merge_keeps_survivor_spelling(spark):
+    d = spark.createDataFrame([(1, "Antacids"), (2, "ANTACIDS"), (3, "antacids,")], "id int, name string")
+    cs = dimension.plan_dimension_merge(d, "id", "name", placeholder=PH | {"slug": None}, materialize=False)
+    ci = dimension.plan_dimension_merge(d, "id", "name", placeholder=PH | {"slug": None}, materialize=False,
+                                        case_insensitive=True)
+    assert {r["id"]: r["target_id"] for r in cs.survivor_map().collect()} == {1: 1, 2: 2, 3: 3}
+    assert {r["id"]: r["target_id"] for r in ci.survivor_map().collect()} == {1: 1, 2: 1, 3: 1}
+    assert sorted((r["id"], r["name"]) for r in ci.dimension().collect()) == [(0, "N/A"), (1, "Antacids")]

@@ -87,3 +87,10 @@ def test_suffix_repairs(spark):
     assert one(spark, "ADM Protexin Ltd", lambda c: text.append_if_endswith(c, "Ltd", ".")) == "ADM Protexin Ltd."
     assert one(spark, "X works ltd.", lambda c: text.replace_when_endswith(c, "ltd.", "ltd.", "Ltd.")) == "X works Ltd."
     assert one(spark, ",,a,,", lambda c: text.strip_chars(c, ",")) == "a"
+
+
+def test_lowercase_word_case_insensitive_parity(spark):
+    ci = lambda c: text.has_lowercase_word(c, case_insensitive=True)
+    assert one(spark, "Acme Pharma Ltd.", ci)           # any letter after a space matches
+    assert not one(spark, "Bureau OF Standards", ci)    # exclusions match in any case
+    assert not one(spark, "Acme Pharma Ltd.", text.has_lowercase_word)
