@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kempt.functions import text
+from kempt.operators.broadcast import DEFAULT_MAX_ROWS, fits, fixed_row_bytes, measure, size_checked_broadcast
 
 # ---------------------------------------------------------------------------
 # scalar metrics (aggregate expressions)
@@ -140,7 +141,7 @@ def value_summary(df: DataFrame, column: str, predicates: Mapping[str, Callable[
                    count_where(n > 1).alias(duplicates_col))
 
 
-def duplicate_text_groups(df: DataFrame, column: str, *, broadcast_max_rows: int = 2_000_000,
+def duplicate_text_groups(df: DataFrame, column: str, *, broadcast_max_rows: int = DEFAULT_MAX_ROWS,
                           count_col: str = "n_rows") -> DataFrame:
     """Exact duplicate groups of a long text column without shuffling every text.
 
@@ -152,8 +153,7 @@ def duplicate_text_groups(df: DataFrame, column: str, *, broadcast_max_rows: int
     """
     h = F.xxhash64(F.col(column)).alias("_h")
     cand = (df.select(h).groupBy("_h").agg(row_count().alias("_n")).where(F.col("_n") > 1).select("_h"))
-    n = cand.count()
-    cand = F.broadcast(cand) if n <= broadcast_max_rows else cand
+    cand, _ = size_checked_broadcast(cand, broadcast_max_rows)
     rows = df.select(F.col(column), h).join(cand, "_h", "left_semi")
     return rows.groupBy(column).agg(row_count().alias(count_col)).where(F.col(count_col) > 1)
 
@@ -182,7 +182,7 @@ class Relation:
     optional: bool = False
 
 
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_ROWS = DEFAULT_MAX_ROWS
 
 
 def _parent_keys(parent: DataFrame, pk: str) -> DataFrame:
@@ -219,9 +219,13 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional
     if optional:
         child = child.where(F.col(fk).isNotNull())
     keys = _parent_keys(parent, pk)
-    # the parent's row count bounds its key count and needs no column read
+    # the parent's row count bounds its key count and needs no column read;
+    # fixed-width keys turn it into a byte bound, other keys are measured
     n_keys = parent.count() if parent_key_rows is None else parent_key_rows
-    if n_keys <= broadcast_max_rows:
+    width = fixed_row_bytes(keys.schema)
+    small = (fits(n_keys, n_keys * width, broadcast_max_rows) if width is not None
+             else fits(*measure(keys), broadcast_max_rows))
+    if small:
         missing = child.join(F.broadcast(keys), child[fk] == F.col("_pk"), "left_anti").select(
             F.col(fk).alias("_fk"))
         return missing.agg(

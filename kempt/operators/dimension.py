@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kempt.functions.text import strip_chars, text_before
+from kempt.operators.broadcast import DEFAULT_MAX_ROWS, bounded_by_rows, size_checked_broadcast
 from kempt.session import cut_lineage
 
 CLEAN = "clean"
@@ -39,7 +40,7 @@ UNRECOVERABLE = "unrecoverable"  # lone or leading delimiter
 
 _CLS, _KEY, _KEEP, _TARGET = "_cls", "_key", "_keep", "_target"
 
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_ROWS = DEFAULT_MAX_ROWS
 
 
 def member_class(name: Column, delim: str = ",") -> Column:
@@ -85,12 +86,6 @@ def classify_members(dim: DataFrame, name_col: str, delim: str = ",") -> DataFra
     return staged.select(*dim.columns, _CLS, key.alias(_KEY))
 
 
-def size_checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
-    """Broadcast ``df`` only when its row count is proven small; return (df, rows)."""
-    n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
-
-
 @dataclass
 class DimensionMerge:
     """Result of planning a dimension clean-up (see ``plan_dimension_merge``)."""
@@ -116,11 +111,9 @@ class DimensionMerge:
 
     def bounded_broadcast(self, derived: DataFrame) -> DataFrame:
         """Broadcast a map derived from the members when its size is proven small:
-        first by the member count (no extra work), else by counting it exactly."""
-        if self.member_rows() <= self.broadcast_max_rows:
-            return F.broadcast(derived)
-        side, _ = size_checked_broadcast(derived, self.broadcast_max_rows)
-        return side
+        by the member count when the map is fixed-width (no extra work), else by
+        measuring its rows and bytes exactly."""
+        return bounded_by_rows(derived, self.member_rows(), self.broadcast_max_rows)
 
     # -- the mapping --------------------------------------------------------
     def moved(self) -> DataFrame:

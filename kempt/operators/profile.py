@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kempt.functions import text
+from kempt.operators.broadcast import bounded_by_rows
 from kempt.operators.checks import count_where, row_count
 
 
@@ -127,7 +128,7 @@ def top_n_with_parent(child: DataFrame, fk: str, parent: DataFrame, pk: str, ord
     """
     ordered = [F.col(c) for c in order]
     head = child.orderBy(*ordered).limit(n)
-    joined = F.broadcast(head).join(parent, F.col(fk) == parent[pk])
+    joined = bounded_by_rows(head, n).join(parent, F.col(fk) == parent[pk])
     if joined.count() == n:
         return joined.drop(pk) if pk != fk else joined
     full = child.join(parent, child[fk] == parent[pk]).orderBy(*ordered).limit(n)

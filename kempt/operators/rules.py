@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kempt.operators.broadcast import size_checked_broadcast
+
 Predicate = Callable[[Column], Column] | Column | None
 
 
@@ -103,8 +105,7 @@ def apply_keyed_replacements(df: DataFrame, key: str, column: str, rule_table: D
     """
     per_key = (rule_table.groupBy(F.col(key).alias("_rk"))
                .agg(F.array_sort(F.collect_list(F.struct("seq", "search", "replacement"))).alias("_rules")))
-    n_keys = per_key.count()
-    side = F.broadcast(per_key) if n_keys <= broadcast_max_rows else per_key
+    side, _ = size_checked_broadcast(per_key, broadcast_max_rows)
     joined = df.join(side, df[key] == F.col("_rk"), "left")
     empty = F.array().cast("array<struct<seq:int,search:string,replacement:string>>")
     fixed = F.aggregate(F.coalesce(F.col("_rules"), empty), F.col(column),

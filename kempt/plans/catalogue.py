@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from kempt.functions import casts, text
 from kempt.model import STAR_SCHEMA, TableSpec
-from kempt.operators import checks, dimension, profile, report, rules
+from kempt.operators import broadcast, checks, dimension, profile, report, rules
 from kempt.plans.views import TABLES, table, view
 from kempt.session import scratch_path
 from kempt.sources import delimited, snapshot
@@ -379,7 +379,7 @@ def q39_numeric_range(spark, sf):
 
 def q40_max_row_with_context(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    top, _ = dimension.size_checked_broadcast(profile.rows_at_max(li, "l_extendedprice"), 100_000)
+    top, _ = broadcast.size_checked_broadcast(profile.rows_at_max(li, "l_extendedprice"))
     orders = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     part = _t(spark, sf, "part").select("p_partkey", "p_name")
     j = top.join(orders, top["l_orderkey"] == orders["o_orderkey"])
