@@ -119,11 +119,13 @@ def part_merge(spark, sf, materialize: bool = True) -> dimension.DimensionMerge:
 # ---------------------------------------------------------------------------
 
 def q01_null_profile(spark, sf):
+    """NULL profile of every column in one scan (QC1-2, AG2-3, FLT3)."""
     return checks.null_profile(_v(spark, sf, "dirty_customer"),
                                ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
 
 
 def q02_blank_and_whitespace(spark, sf):
+    """Blank, edge-whitespace and extra-space counts per text column (QC3, QC11, FLT14)."""
     sup = checks.text_hygiene(_v(spark, sf, "dirty_supplier"), ["nm"])
     cus = checks.text_hygiene(_v(spark, sf, "dirty_customer"), ["c_name", "c_mktsegment"])
     return (sup.select(F.lit("dirty_supplier").alias("table_name"), "*")
@@ -131,10 +133,12 @@ def q02_blank_and_whitespace(spark, sf):
 
 
 def q03_duplicate_values(spark, sf):
+    """Duplicate values of one column (QC4, AG5)."""
     return checks.duplicate_groups(_t(spark, sf, "part"), ["p_name"])
 
 
 def q04_duplicate_rows_composite_null_keys(spark, sf):
+    """Duplicate rows on a composite key where NULL keys group together (QC5)."""
     li = _t(spark, sf, "lineitem").select(
         "l_orderkey",
         F.when(F.col("l_orderkey") % 5 != 0, F.col("l_linenumber")).alias("l_linenumber"),
@@ -143,25 +147,30 @@ def q04_duplicate_rows_composite_null_keys(spark, sf):
 
 
 def q05_duplicate_group_count(spark, sf):
+    """Number of duplicated texts and their rows, exact, via hash prefilter (QC6, AG13)."""
     groups = checks.duplicate_text_groups(_t(spark, sf, "documents"), "text")
     return checks.duplicate_summary(groups)
 
 
 def q06_non_ascii_rows(spark, sf):
+    """Rows with non-ASCII names and the code point of the first one (QC7, QC9, FLT11)."""
     ds = _v(spark, sf, "dirty_supplier")
     return (ds.where(text.has_non_ascii("nm"))
             .select("id", "nm", text.code_point_at("nm", text.first_non_ascii_pos("nm")).alias("char_code")))
 
 
 def q07_code_point_discovery_first(spark, sf):
+    """Code points at the first artifact, grouped, with example and count (QC8, AG7, AG11)."""
     return profile.first_artifact_discovery(_v(spark, sf, "dirty_docs"), "text", width=3)
 
 
 def q08_code_point_discovery_all(spark, sf):
+    """Every non-ASCII run in every text, with occurrences and rows (QC8 variant)."""
     return profile.all_artifact_runs(_v(spark, sf, "dirty_docs"), "text", "doc_id")
 
 
 def q09_residual_artifacts_after_repair(spark, sf):
+    """Rows holding each artifact before and after the repair chain (QC10)."""
     dd = _v(spark, sf, "dirty_docs")
     fixed = rules.fold(doc_repair_rules(), F.col("text"))
     metrics = {}
@@ -175,6 +184,7 @@ def q09_residual_artifacts_after_repair(spark, sf):
 
 
 def q10_delimiter_classes(spark, sf):
+    """Counts of lone / leading / trailing / both-parts delimiters and encoding issues (QC13, AG3)."""
     issue = text.delimiter_issue("nm")
     return checks.run_checks(_v(spark, sf, "dirty_part"), {
         "lone_comma": checks.count_where(issue == "lone"),
@@ -186,11 +196,13 @@ def q10_delimiter_classes(spark, sf):
 
 
 def q11_delimiter_rows(spark, sf):
+    """Rows with a delimiter defect and their class (QC12, FLT6-8)."""
     return (_v(spark, sf, "dirty_part").where(F.col("nm").contains(","))
             .select("id", "nm", text.delimiter_issue("nm").alias("issue")))
 
 
 def q12_suffix_variant_counts(spark, sf):
+    """Case-sensitive company-suffix variant counts (QC14, FLT15)."""
     nm = F.col("nm")
     return checks.run_checks(_v(spark, sf, "dirty_supplier"), {
         "ltd_with_period": checks.count_where(nm.endswith("Ltd.")),
@@ -202,6 +214,7 @@ def q12_suffix_variant_counts(spark, sf):
 
 
 def q13_suffix_variant_labels(spark, sf):
+    """Suffix variant label per matching row, case-insensitive filter (PRJ6, FLT16)."""
     # case-insensitive filter: lower() equals a UTF8_LCASE comparison for these
     # values without the collation library's start-up cost on each executor
     ci = F.lower(F.col("nm"))
@@ -210,6 +223,7 @@ def q13_suffix_variant_labels(spark, sf):
 
 
 def q14_lowercase_words_with_exclusions(spark, sf):
+    """Names with a lower-case word outside the allowed connectors (QC15, FLT10, FLT12)."""
     sup = _v(spark, sf, "dirty_supplier").select(F.lit("dirty_supplier").alias("table_name"), "id",
                                                  F.col("nm").alias("name"))
     prt = _t(spark, sf, "part").select(F.lit("part").alias("table_name"), F.col("p_partkey").alias("id"),
@@ -218,12 +232,14 @@ def q14_lowercase_words_with_exclusions(spark, sf):
 
 
 def q15_pattern_any_search(spark, sf):
+    """OR of contains patterns plus a multi-wildcard LIKE (FLT20, FLT9)."""
     p = _t(spark, sf, "part")
     return (p.where(text.contains_any("p_name", PATTERN_NEEDLES) | F.col("p_name").like(PATTERN_LIKE))
             .select("p_partkey", "p_name"))
 
 
 def q16_case_insensitive_group(spark, sf):
+    """Names equal up to letter case, with their distinct spellings (FLT16)."""
     # lower() keys keep the aggregate hash-based; grouping on a UTF8_LCASE
     # collated key plans a sort-based aggregate in Spark 4.1
     pv = _v(spark, sf, "part_variants")
@@ -233,6 +249,7 @@ def q16_case_insensitive_group(spark, sf):
 
 
 def q17_mojibake_repair_chain(spark, sf):
+    """Ordered mojibake repair of whole texts; restored = equals the clean original (FX9-13, FX23)."""
     dd = _v(spark, sf, "dirty_docs")
     fixed = rules.apply_rules(dd, doc_repair_rules())
     return fixed.select("doc_id", F.col("text").alias("fixed_text"),
@@ -240,26 +257,31 @@ def q17_mojibake_repair_chain(spark, sf):
 
 
 def q18_keyed_repairs(spark, sf):
+    """Targeted corrections by key from an ordered rule table (FX7, FX14)."""
     ds = _v(spark, sf, "dirty_supplier").select("id", "nm")
     fixes = spark.createDataFrame(list(SUPPLIER_KEYED_FIXES), "id long, seq int, search string, replacement string")
     return rules.apply_keyed_replacements(ds, "id", "nm", fixes)
 
 
 def q19_suffix_space_case_repairs(spark, sf):
+    """Ordered name repairs: spaces, edges, missing period, suffix case (FX2, FX4-6)."""
     return repaired_supplier(spark, sf)
 
 
 def q20_dimension_merge_fk_remap(spark, sf):
+    """Flagship: merge a dimension and count fact rows per surviving member (FX15-21, FX25)."""
     merge = part_merge(spark, sf, materialize=False)
     li = merge.remap(_t(spark, sf, "lineitem").select("l_partkey"), "l_partkey")
     return li.groupBy(F.col("l_partkey").alias("target_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q21_survivor_map(spark, sf):
+    """Class, clean key and surviving member of every dimension member (AG10, FX18)."""
     return part_merge(spark, sf, materialize=False).survivor_map()
 
 
 def q22_composite_split_preview(spark, sf):
+    """Composite members, the member their prefix names, and their child rows (FX20, FX24, JN7)."""
     merge = part_merge(spark, sf, materialize=False)
     comp = merge.composite_targets()
     per_part = (_t(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("current_id"))
@@ -270,10 +292,12 @@ def q22_composite_split_preview(spark, sf):
 
 
 def q23_composite_without_clean_match(spark, sf):
+    """Composite members whose prefix names no clean member: kept and reported (FX20 guard)."""
     return part_merge(spark, sf, materialize=False).unmatched_composites()
 
 
 def q24_delete_by_predicate_and_join(spark, sf):
+    """Delete by predicate (NULL-safe) and by a listed key set (FX17, FX19)."""
     merge = part_merge(spark, sf)
     dp = merge.mapping.select("id", "nm")
     step1 = dimension.delete_where(dp, F.col("nm").startswith(","))
@@ -281,6 +305,7 @@ def q24_delete_by_predicate_and_join(spark, sf):
 
 
 def q25_reassign_fk_by_parent_predicate(spark, sf):
+    """Move child keys to the placeholder when the parent matches a predicate (FX16, JN8)."""
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
                                           F.col("l_partkey").alias("old_partkey"), "l_partkey")
     moved = dimension.reassign_by_parent(li, "l_partkey", _v(spark, sf, "dirty_part"), "id",
@@ -289,27 +314,32 @@ def q25_reassign_fk_by_parent_predicate(spark, sf):
 
 
 def q26_insert_placeholder_once(spark, sf):
+    """Insert the placeholder member once, idempotently (FX15, SNK3)."""
     dp = _v(spark, sf, "dirty_part")
     once = dimension.add_member_once(dp, "id", PART_PLACEHOLDER)
     return dimension.add_member_once(once, "id", PART_PLACEHOLDER)
 
 
 def q27_change_preview_log(spark, sf):
+    """Before/after values a rule list would change (FX24)."""
     ds = _v(spark, sf, "dirty_supplier").select("id", "nm")
     return rules.preview_changes(ds, ["id"], supplier_repair_rules())
 
 
 def q28_orphans_mandatory(spark, sf):
+    """Orphan rows and keys of a mandatory foreign key; NULL counts as orphan (QC20, JN5)."""
     return checks.orphan_count(_v(spark, sf, "dirty_orders"), "o_custkey",
                                _t(spark, sf, "customer"), "c_custkey")
 
 
 def q29_orphans_optional(spark, sf):
+    """Orphans of an optional foreign key; NULL allowed (QC21, JN6)."""
     return checks.orphan_count(_v(spark, sf, "dirty_customer"), "c_nationkey",
                                _t(spark, sf, "nation"), "n_nationkey", optional=True)
 
 
 def q30_integrity_report(spark, sf):
+    """One issue count per foreign key of the star schema (QC34, AG18)."""
     tables = {n: _t(spark, sf, n) for n in STAR_SCHEMA}
     rels = checks.spec_relations(tables, STAR_SCHEMA)
     rels.append(checks.Relation("dirty_orders.o_custkey -> customer.c_custkey",
@@ -318,14 +348,17 @@ def q30_integrity_report(spark, sf):
 
 
 def q31_cardinality_over_bound(spark, sf):
+    """Parents with more than 3 children and the largest group (QC22)."""
     return checks.groups_over_bound(_t(spark, sf, "lineitem"), ["l_orderkey"], 3)
 
 
 def q32_cardinality_histogram(spark, sf):
+    """How many parents have 1, 2, 3 ... children (QC23, AG14)."""
     return profile.cardinality_histogram(_t(spark, sf, "lineitem"), ["l_orderkey"])
 
 
 def q33_frequency_table(spark, sf):
+    """Value frequencies, most frequent first (QC24, AG4)."""
     docs = profile.frequency(_t(spark, sf, "documents"), F.col("source").alias("value"))
     evts = profile.frequency(_t(spark, sf, "events"), F.col("event_type").alias("value"))
     return (docs.select(F.lit("documents.source").alias("column_name"), "value", "frequency")
@@ -333,17 +366,20 @@ def q33_frequency_table(spark, sf):
 
 
 def q34_format_classification(spark, sf):
+    """Rows per NULL-pattern format label (QC25, AG6)."""
     c = _v(spark, sf, "containers")
     label = profile.classify_null_pattern(F.col("container_size"), F.col("unit_price"), FORMAT_LABELS)
     return c.groupBy(label.alias("format_type")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def q35_null_rate_by_dimension(spark, sf):
+    """NULL rate of a column per parent member, members with NULLs only (QC26, AG8)."""
     return profile.null_rate_by_member(_v(spark, sf, "dirty_customer"), "c_nationkey",
                                        _t(spark, sf, "nation"), "n_nationkey", "n_name", "c_mktsegment")
 
 
 def q36_placeholder_usage(spark, sf):
+    """Members and child rows routed to the placeholder (QC27)."""
     merge = part_merge(spark, sf)
     ph = PART_PLACEHOLDER["id"]
     members = merge.removed().where(F.col("target_id") == ph).agg(
@@ -358,6 +394,7 @@ def q36_placeholder_usage(spark, sf):
 
 
 def q37_distribution_including_zero(spark, sf):
+    """Children per parent member, zero included (QC28, AG15)."""
     nation = _t(spark, sf, "nation").select("n_nationkey", "n_name")
     cus = profile.children_per_member(nation, "n_nationkey", _t(spark, sf, "customer"), "c_nationkey")
     sup = profile.children_per_member(nation, "n_nationkey", _t(spark, sf, "supplier"), "s_nationkey")
@@ -366,10 +403,12 @@ def q37_distribution_including_zero(spark, sf):
 
 
 def q38_distinct_coverage(spark, sf):
+    """Distinct coverage of both sides of a link (QC29, AG12)."""
     return profile.distinct_coverage(_t(spark, sf, "lineitem"), "l_partkey", "l_suppkey")
 
 
 def q39_numeric_range(spark, sf):
+    """Min / max / sum / avg of a decimal column (QC18, AG9)."""
     li = _t(spark, sf, "lineitem").select(F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
     return li.agg(F.min("price").alias("min_value"), F.max("price").alias("max_value"),
                   F.sum("price").alias("sum_value"),
@@ -378,6 +417,7 @@ def q39_numeric_range(spark, sf):
 
 
 def q40_max_row_with_context(spark, sf):
+    """Rows at the column maximum joined to their parents (QC19, FLT19, JN2)."""
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     top, _ = broadcast.size_checked_broadcast(profile.rows_at_max(li, "l_extendedprice"))
     orders = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
@@ -388,6 +428,7 @@ def q40_max_row_with_context(spark, sf):
 
 
 def q41_domain_values(spark, sf):
+    """Values outside an allowed domain, with counts (QC17)."""
     ev = profile.domain_violations(_t(spark, sf, "events"), "event_type", EVENT_TYPES)
     od = profile.domain_violations(_t(spark, sf, "orders"), "o_orderstatus", ORDER_STATUSES)
     return (ev.select(F.lit("events.event_type").alias("column_name"), F.col("event_type").alias("value"),
@@ -397,6 +438,7 @@ def q41_domain_values(spark, sf):
 
 
 def q42_row_count_report(spark, sf):
+    """Row count of every table, unioned and sorted (QC31, SE1, SO4)."""
     return report.row_count_report({n: _t(spark, sf, n) for n in TABLES})
 
 
@@ -414,10 +456,12 @@ def supplier_summary(df: DataFrame) -> DataFrame:
 
 
 def q43_table_summary_wide(spark, sf):
+    """Wide per-table summary incl. duplicate names, one pipeline (QC32, AG16)."""
     return supplier_summary(_v(spark, sf, "dirty_supplier"))
 
 
 def q44_validation_vs_expected(spark, sf):
+    """Checks after repair compared with expectations and documented exceptions (QC33, FX22)."""
     actual = checks.to_long(supplier_summary(repaired_supplier(spark, sf)))
     zero = [(name, 0, None) for name in ("null_names", "blank_names", "double_spaces", "edge_whitespace",
                                          "ltd_without_period", "lowercase_ltd", "duplicate_names")]
@@ -434,6 +478,7 @@ def q44_validation_vs_expected(spark, sf):
 
 
 def q45_encoding_report(spark, sf):
+    """Non-ASCII row counts per text column (QC35)."""
     specs = [("documents.text", "documents", "text"), ("pages.html", "pages", "html"),
              ("conversations.text", "conversations", "text"), ("benchmark.text", "benchmark", "text")]
     parts = [_t(spark, sf, t).agg(checks.non_ascii_count(c).alias("issue_count"))
@@ -442,18 +487,21 @@ def q45_encoding_report(spark, sf):
 
 
 def q46_sample_first_n(spark, sf):
+    """First 5 rows by key (QC36, SO3)."""
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                        "o_orderpriority")
     return report.sample_first(o, ["o_orderkey"], 5)
 
 
 def q47_before_after_diff(spark, sf):
+    """Row-level diff of a dimension before and after cleaning (QC37)."""
     merge = part_merge(spark, sf)
     before = merge.mapping.select("id", "nm")
     return report.diff_snapshots(before, merge.dimension(), ["id"])
 
 
 def q48_side_effect_check(spark, sf):
+    """New duplicates and orphans after the merge (QC30)."""
     merge = part_merge(spark, sf)
     dim = merge.dimension()
     dups = checks.duplicate_summary(checks.duplicate_groups(dim, ["nm"])).select(
@@ -470,14 +518,17 @@ def _staged_orders(spark, sf, lenient=True):
 
 
 def q49_lenient_integer_load(spark, sf):
+    """Text ids to BIGINT via DOUBLE; NULL on junk (SRC2, SNK2, SNK4)."""
     return _staged_orders(spark, sf).select("o_orderkey", "o_custkey")
 
 
 def q50_lenient_decimal_load(spark, sf):
+    """Text prices to DECIMAL(10,2) via DOUBLE; NULL on junk (SRC3)."""
     return _staged_orders(spark, sf).select("o_orderkey", "o_totalprice")
 
 
 def q51_cast_failure_counts(spark, sf):
+    """Non-blank text lost by each lenient cast (X10)."""
     raw = _v(spark, sf, "raw_orders_text")
     return delimited.cast_failures(raw, {
         "o_custkey": casts.lenient_int("o_custkey", "bigint"),
@@ -486,6 +537,7 @@ def q51_cast_failure_counts(spark, sf):
 
 
 def q52_csv_round_trip(spark, sf):
+    """Ordered CSV export to the shared folder and typed read-back (SRC1, SNK1, SNK5)."""
     spec = STAR_SCHEMA["supplier"]
     src = _t(spark, sf, "supplier").select(*spec.columns)
     path = scratch_path(spark, "supplier-csv")
@@ -494,11 +546,13 @@ def q52_csv_round_trip(spark, sf):
 
 
 def q53_targeted_confirmation(spark, sf):
+    """Confirm repaired rows by id and by pattern (QC38)."""
     fixed = repaired_supplier(spark, sf)
     return fixed.where(F.col("id").isin(*CONFIRM_IDS) | F.col("nm").like("%pharmaceuticls%"))
 
 
 def q54_topn_children_with_parent(spark, sf):
+    """Top 20 children joined to their parent, exact (JN10, SO1-3)."""
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                           "l_extendedprice")
     orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
@@ -507,10 +561,12 @@ def q54_topn_children_with_parent(spark, sf):
 
 
 def q55_distinct_projection(spark, sf):
+    """Distinct projection (PRJ5)."""
     return _t(spark, sf, "part").select("p_brand", "p_type").distinct()
 
 
 def q56_name_capitalisation_review(spark, sf):
+    """Capitalisation fix by value, then review names with connector words (QC16, FX1, FX8)."""
     fn = _v(spark, sf, "form_names")
     old, new = CAPITALISATION_FIX
     fixed = rules.apply_rules(fn, [rules.set_value("capitalise", "nm", new, F.col("nm") == old)])
