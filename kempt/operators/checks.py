@@ -65,7 +65,7 @@ def run_checks(df: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
 
 def to_long(wide: DataFrame, name_col: str = "check_name", value_col: str = "actual") -> DataFrame:
     """Unpivot a one-row metric table into ``(check_name, actual)`` rows."""
-    cols = wide.columns
+    cols = [F.col("`" + c.replace("`", "``") + "`") for c in wide.columns]  # names may hold dots
     return wide.unpivot([], cols, name_col, value_col) if cols else wide
 
 
