@@ -53,6 +53,11 @@ def set_value(name: str, column: str, value, when: Predicate) -> Rule:
     return Rule(name, column, lambda _c: F.lit(value), when)
 
 
+def replace_rule(name: str, column: str, search: str, replacement: str, when: Predicate = None) -> Rule:
+    """``REPLACE(column, search, replacement)``: literal, single pass, non-overlapping."""
+    return Rule(name, column, lambda c: F.replace(c, F.lit(search), F.lit(replacement)), when)
+
+
 def fold(rules: Sequence[Rule], start: Column) -> Column:
     """Compose the rules left to right on ``start``."""
     out = start

@@ -93,8 +93,7 @@ def supplier_repair_rules() -> list[rules.Rule]:
         rules.Rule("collapse_double_space", "nm", text.collapse_spaces, lambda c: c.contains("  ")),
         rules.Rule("trim_edges", "nm", F.trim, text.has_edge_whitespace),
         rules.Rule("append_period", "nm", lambda c: F.concat(c, F.lit(".")), lambda c: c.endswith("Ltd")),
-        rules.Rule("suffix_case", "nm", lambda c: F.replace(c, F.lit("ltd."), F.lit("Ltd.")),
-                   lambda c: c.endswith("ltd.")),
+        rules.replace_rule("suffix_case", "nm", "ltd.", "Ltd.", lambda c: c.endswith("ltd.")),
     ]
 
 
@@ -104,9 +103,7 @@ def repaired_supplier(spark, sf) -> DataFrame:
 
 def doc_repair_rules() -> list[rules.Rule]:
     pairs = tuple(text.MOJIBAKE_REPAIRS) + DOC_EXTRA_REPAIRS
-    return [rules.Rule(f"replace_{i}", "text",
-                       (lambda a, b: (lambda c: F.replace(c, F.lit(a), F.lit(b))))(a, b))
-            for i, (a, b) in enumerate(pairs)]
+    return [rules.replace_rule(f"replace_{i}", "text", a, b) for i, (a, b) in enumerate(pairs)]
 
 
 def part_merge(spark, sf, materialize: bool = True) -> dimension.DimensionMerge:
