@@ -19,26 +19,47 @@ from kempt.model import TableSpec, load_order
 from kempt.sources.delimited import CSV_OPTIONS
 
 
+MANIFEST = "_manifest"
+
+
 def write_snapshot(tables: Mapping[str, DataFrame], root: str,
                    specs: Mapping[str, TableSpec] | None = None) -> dict[str, int]:
     """Write every table under ``root/<table>`` (parents first) and return row counts.
 
     ``root`` must be a fresh directory on shared storage; writing is
-    ``errorifexists`` so a published snapshot is never overwritten.
+    ``errorifexists`` so a published snapshot is never overwritten.  Each table
+    is committed by Spark's output committer (task retries survive executor
+    loss); the snapshot as a whole is published by a manifest of table names and
+    observed row counts written *last*, so a run that dies midway leaves no
+    readable snapshot -- rerun it into a fresh folder.
     """
     names = [n for n in load_order(specs) if n in tables] if specs else list(tables)
     names += [n for n in tables if n not in names]
     counts: dict[str, int] = {}
+    spark = None
     for name in names:
         obs = Observation(f"rows_{name}")
         tables[name].observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists") \
             .parquet(f"{root}/{name}")
         counts[name] = int(obs.get["rows"])
+        spark = tables[name].sparkSession
+    if spark is not None:
+        spark.createDataFrame(list(counts.items()), "table_name string, row_count long") \
+            .coalesce(1).write.mode("errorifexists").parquet(f"{root}/{MANIFEST}")
     return counts
 
 
-def read_snapshot(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
+def read_snapshot(spark: SparkSession, root: str, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Tables of a *complete* snapshot (its manifest exists); all of them when ``names`` is None."""
+    try:
+        listed = [r["table_name"] for r in spark.read.parquet(f"{root}/{MANIFEST}").collect()]
+    except Exception as e:  # noqa: BLE001
+        raise FileNotFoundError(f"{root} has no manifest: the snapshot is incomplete or not a snapshot") from e
+    wanted = list(names) if names is not None else listed
+    missing = [n for n in wanted if n not in listed]
+    if missing:
+        raise KeyError(f"tables not in snapshot {root}: {missing}")
+    return {n: spark.read.parquet(f"{root}/{n}") for n in wanted}
 
 
 def normalise_integers(df: DataFrame, columns: Sequence[str]) -> DataFrame:

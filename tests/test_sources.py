@@ -49,5 +49,10 @@ def test_export_and_snapshot_round_trip(spark, scratch):
     assert sorted(tuple(r) for r in back.collect()) == [(1, "a", None), (2, "b", 1.0)]
     counts = snapshot.write_snapshot({"t": df, "u": df.limit(1)}, os.path.join(scratch, "snap"))
     assert counts == {"t": 2, "u": 1}
+    assert sorted(snapshot.read_snapshot(spark, os.path.join(scratch, "snap"))) == ["t", "u"]
+    # a table folder without a manifest is not a published snapshot
+    df.write.parquet(os.path.join(scratch, "partial", "t"))
+    with pytest.raises(FileNotFoundError):
+        snapshot.read_snapshot(spark, os.path.join(scratch, "partial"), ["t"])
     with pytest.raises(Exception):  # a published snapshot is never overwritten
         snapshot.write_snapshot({"t": df}, os.path.join(scratch, "snap"))
