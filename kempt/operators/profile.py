@@ -39,14 +39,24 @@ def numeric_range(df: DataFrame, column: str) -> DataFrame:
                   F.avg(c).alias("avg_value"), F.count(c).alias("non_null_rows"))
 
 
-def first_artifact_discovery(df: DataFrame, column: str, width: int = 3) -> DataFrame:
+def first_artifact_discovery(df: DataFrame, column: str, width: int = 3, *,
+                             example_key: str | None = None) -> DataFrame:
     """Code points at the first non-printable-ASCII position of each affected row,
-    grouped: ``char1..charN, example (min value), affected_rows``."""
+    grouped: ``char1..charN, example, affected_rows``.
+
+    The example is the smallest value of the group (``MIN(text)``), which makes
+    Spark plan a sort-based aggregate: string buffers cannot live in the hash
+    aggregation map.  With ``example_key`` the example is the smallest key of
+    the group instead (``example_key`` column), which keeps the aggregate
+    hash-based -- the cheaper choice for long texts at scale.
+    """
     pos = text.first_non_ascii_pos(column)
     chars = [text.code_point_at(column, pos + i).alias(f"char{i + 1}") for i in range(width)]
+    example = (F.min(column).alias("example") if example_key is None
+               else F.min(example_key).alias(f"example_{example_key}"))
     return (df.where(text.has_non_ascii(column))
             .groupBy(*chars)
-            .agg(F.min(column).alias("example"), row_count().alias("affected_rows")))
+            .agg(example, row_count().alias("affected_rows")))
 
 
 def all_artifact_runs(df: DataFrame, column: str, id_col: str) -> DataFrame:

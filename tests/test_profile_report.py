@@ -84,3 +84,12 @@ def test_numeric_range(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (None,)], "v double")
     assert profile.numeric_range(df, "v").first().asDict() == {"min_value": 1.0, "max_value": 3.0,
                                                                 "avg_value": 2.0, "non_null_rows": 2}
+
+
+def test_first_artifact_discovery_with_example_key_is_hash_based(spark):
+    df = spark.createDataFrame([(1, "it’s"), (2, "x’y"), (3, "plain")], "id int, s string")
+    out = profile.first_artifact_discovery(df, "s", example_key="id")
+    assert sorted((r["char1"], r["example_id"], r["affected_rows"]) for r in out.collect()) == \
+        [(8217, 1, 1), (8217, 2, 1)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
