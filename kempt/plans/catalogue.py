@@ -586,6 +586,26 @@ def q57_impact_listing(spark, sf):
 
 
 
+
+def q58_before_after_summary(spark, sf):
+    """Rows added / removed / changed / unchanged by the dimension clean-up (QC37 outcome table)."""
+    merge = part_merge(spark, sf)
+    diff = report.diff_snapshots(merge.mapping.select("id", "nm"), merge.dimension(), ["id"])
+    return report.diff_summary(diff)
+
+
+def q59_published_stage_verification(spark, sf):
+    """Publish the merged dimension and remapped facts as a snapshot, then verify what was
+    written: no duplicate names beyond the reported composites, no orphans (stage, QC30, SRC5)."""
+    from kempt.plans.stage import clean_dimension_stage
+
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    res = clean_dimension_stage(spark, dimension_name="part", dim=_v(spark, sf, "dirty_part"), id_col="id",
+                                name_col="nm", placeholder=PART_PLACEHOLDER,
+                                children={"lineitem": (li, "l_partkey")},
+                                out_root=scratch_path(spark, "part-stage"))
+    return res.verification
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
