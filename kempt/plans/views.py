@@ -9,6 +9,8 @@ both engines start from identical inputs.  Only portable SQL is used here
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
 from kempt.session import ensure_parallelism
@@ -88,6 +90,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Logical DataFrames of snapshot tables, per live session (see ``table``).
+_LOADED: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
 # Tables whose rows carry whole texts (regex / replace work per row) and their keys.
 TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
 
@@ -101,7 +106,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     data is cached.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    loaded = spark.__dict__.setdefault("_kempt_snapshot_tables", {})
+    loaded = _LOADED.setdefault(spark, {})
     df = loaded.get(path)
     if df is None:
         df = spark.read.parquet(path)
