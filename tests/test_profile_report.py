@@ -93,3 +93,10 @@ def test_first_artifact_discovery_with_example_key_is_hash_based(spark):
         [(8217, 1, 1), (8217, 2, 1)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_distinct_coverage_exact_and_approx(spark):
+    df = spark.range(1000).selectExpr("id % 100 AS a", "id % 7 AS b")
+    assert tuple(profile.distinct_coverage(df, "a", "b").first()) == (1000, 100, 7)
+    r = profile.distinct_coverage(df, "a", "b", approx_rsd=0.02).first()
+    assert r["total_rows"] == 1000 and abs(r["distinct_a"] - 100) <= 5 and r["distinct_b"] == 7
