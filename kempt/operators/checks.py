@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kempt.functions import text
+from kempt.model import load_order
 from kempt.operators.broadcast import DEFAULT_MAX_ROWS, fits, fixed_row_bytes, measure, size_checked_broadcast
 
 # ---------------------------------------------------------------------------
@@ -268,3 +269,32 @@ def spec_relations(tables: Mapping[str, DataFrame], specs) -> list[Relation]:
                 out.append(Relation(f"{name}.{fk.column} -> {fk.parent}.{fk.parent_column}",
                                     tables[name], fk.column, tables[fk.parent], fk.parent_column, fk.optional))
     return out
+
+
+def spec_report(tables: Mapping[str, DataFrame], specs) -> DataFrame:
+    """Every declared constraint of every table as a ``(check_name, issue_count)`` row.
+
+    Constraints are metadata on ``model.TableSpec`` (Spark enforces none of them
+    on files): required columns (declared NOT NULL, primary key, mandatory FKs)
+    are NULL-counted in one fused aggregate per table; the primary key and each
+    UNIQUE set report their duplicate groups; foreign keys report orphans via
+    ``integrity_report``.  Tables are visited parents first.
+    """
+    parts: list[DataFrame] = []
+    for name in load_order(specs):
+        if name not in tables:
+            continue
+        spec, df = specs[name], tables[name]
+        required = spec.required_columns()
+        if required:
+            wide = run_checks(df, {f"{name}.{c} is null": null_count(c) for c in required})
+            parts.append(to_long(wide, "check_name", "issue_count"))
+        for key in (spec.primary_key, *spec.unique):
+            if key:
+                label = f"{name} duplicate ({', '.join(key)})"
+                parts.append(duplicate_groups(df, list(key)).agg(row_count().alias("issue_count"))
+                             .select(F.lit(label).alias("check_name"), "issue_count"))
+    relations = spec_relations(tables, specs)
+    if relations:
+        parts.append(integrity_report(relations))
+    return reduce(DataFrame.unionByName, parts)

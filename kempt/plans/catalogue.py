@@ -606,6 +606,12 @@ def q59_published_stage_verification(spark, sf):
                                 out_root=scratch_path(spark, "part-stage"))
     return res.verification
 
+
+def q60_spec_driven_report(spark, sf):
+    """Every declared NOT NULL, primary-key, UNIQUE and foreign-key constraint of the star
+    schema as a check row (SRC4, QC1, QC4-5, QC20, QC34)."""
+    return checks.spec_report({n: _t(spark, sf, n) for n in STAR_SCHEMA}, STAR_SCHEMA)
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

@@ -86,3 +86,17 @@ def test_value_summary_matches_row_level_counts(spark):
     r = checks.value_summary(df, "s", {"nulls": lambda v: v.isNull(), "doubles": lambda v: v.contains("  "),
                                        "edge": lambda v: v != F.trim(v)}).first().asDict()
     assert r == {"total_rows": 6, "nulls": 2, "doubles": 1, "edge": 1, "duplicate_values": 2}
+
+
+def test_spec_report_covers_every_declared_constraint(spark):
+    from pyspark.sql import types as T
+    s = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("p", T.IntegerType()),
+                      T.StructField("code", T.StringType())])
+    specs = {"par": TableSpec("par", s, ("id",), unique=(("code",),)),
+             "chi": TableSpec("chi", s, ("id",), (ForeignKey("p", "par", "id"),), not_null=("code",))}
+    tables = {"par": spark.createDataFrame([(1, None, "a"), (2, None, "a")], s),
+              "chi": spark.createDataFrame([(1, 1, "x"), (1, 9, None), (None, None, "y")], s)}
+    got = {r["check_name"]: r["issue_count"] for r in checks.spec_report(tables, specs).collect()}
+    assert got == {"par.id is null": 0, "par duplicate (id)": 0, "par duplicate (code)": 1,
+                   "chi.code is null": 1, "chi.id is null": 1, "chi.p is null": 1,
+                   "chi duplicate (id)": 1, "chi.p -> par.id": 2}
