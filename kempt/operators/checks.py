@@ -271,6 +271,18 @@ def spec_relations(tables: Mapping[str, DataFrame], specs) -> list[Relation]:
     return out
 
 
+def spec_check_names(tables: Mapping[str, DataFrame], specs) -> list[str]:
+    """Names of the checks ``spec_report`` produces, derived from the specs alone."""
+    names: list[str] = []
+    for name in load_order(specs):
+        if name not in tables:
+            continue
+        spec = specs[name]
+        names += [f"{name}.{c} is null" for c in spec.required_columns()]
+        names += [f"{name} duplicate ({', '.join(k)})" for k in (spec.primary_key, *spec.unique) if k]
+    return names + [r.name for r in spec_relations(tables, specs)]
+
+
 def spec_report(tables: Mapping[str, DataFrame], specs) -> DataFrame:
     """Every declared constraint of every table as a ``(check_name, issue_count)`` row.
 
