@@ -239,22 +239,69 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional
                        F.count(F.lit(1)).alias("orphan_keys"))
 
 
-def integrity_report(relations: Sequence[Relation], *,
-                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """One ``(check_name, issue_count)`` row per relation, unioned.
-
-    The size checks of all parents run as *one* job (a union of key counts,
-    collected as one row per relation), then every relation gets the plan its
-    parent size allows (see ``orphan_count``).
+def _parents_small(relations: Sequence[Relation], sizes: Sequence[int], max_rows: int) -> bool:
+    for r, n in zip(relations, sizes):
+        width = fixed_row_bytes(_parent_keys(r.parent, r.pk).schema)
+        if width is None or not fits(n, n * width, max_rows):
+            return False
+    return True
+
+
+def fused_child_checks(child: DataFrame, relations: Sequence[Relation],
+                       extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """All foreign keys of one child (plus any extra row metrics) in ONE pass.
+
+    The child is left-joined to the *distinct* key set of every parent
+    (broadcast: callers check the parents are small), so rows are neither
+    multiplied nor shuffled, and one aggregate counts the misses of every
+    relation together with the extra metrics.  Output: ``(check_name, issue_count)``.
     """
+    joined = child
+    metrics: dict[str, Column] = dict(extra or {})
+    for i, r in enumerate(relations):
+        keys = (_parent_keys(r.parent, r.pk).distinct()
+                .select(F.col("_pk").alias(f"_pk{i}"), F.lit(True).alias(f"_hit{i}")))
+        joined = joined.join(F.broadcast(keys), child[r.fk] == F.col(f"_pk{i}"), "left")
+        miss = F.col(f"_hit{i}").isNull()
+        if r.optional:
+            miss = miss & child[r.fk].isNotNull()
+        metrics[r.name] = count_where(miss)
+    return to_long(joined.agg(*[e.alias(n) for n, e in metrics.items()]), "check_name", "issue_count")
+
+
+def _parent_sizes(relations: Sequence[Relation]) -> list[int]:
     counts = reduce(DataFrame.unionByName, [
         r.parent.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
         for i, r in enumerate(relations)])
     sizes = {row["i"]: row["n"] for row in counts.collect()}
-    parts = [orphan_count(r.child, r.fk, r.parent, r.pk, r.optional, broadcast_max_rows=broadcast_max_rows,
-                          parent_key_rows=sizes[i])
-             .select(F.lit(r.name).alias("check_name"), F.col("orphan_rows").alias("issue_count"))
-             for i, r in enumerate(relations)]
+    return [sizes[i] for i in range(len(relations))]
+
+
+def integrity_report(relations: Sequence[Relation], *,
+                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """One ``(check_name, issue_count)`` row per relation, unioned.
+
+    The size checks of all parents run as *one* job (a union of row counts,
+    collected as one row per relation).  A child whose parents are all proven
+    small is checked for every relation in a single pass
+    (``fused_child_checks``); otherwise each relation gets the plan its parent
+    size allows (see ``orphan_count``).
+    """
+    sizes = _parent_sizes(relations)
+    by_child: dict[int, list[int]] = {}
+    for i, r in enumerate(relations):
+        by_child.setdefault(id(r.child), []).append(i)
+    parts: list[DataFrame] = []
+    for idx in by_child.values():
+        rels = [relations[i] for i in idx]
+        if len(rels) > 1 and _parents_small(rels, [sizes[i] for i in idx], broadcast_max_rows):
+            parts.append(fused_child_checks(rels[0].child, rels))
+            continue
+        parts += [orphan_count(relations[i].child, relations[i].fk, relations[i].parent, relations[i].pk,
+                               relations[i].optional, broadcast_max_rows=broadcast_max_rows,
+                               parent_key_rows=sizes[i])
+                  .select(F.lit(relations[i].name).alias("check_name"), F.col("orphan_rows").alias("issue_count"))
+                  for i in idx]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -292,21 +339,27 @@ def spec_report(tables: Mapping[str, DataFrame], specs) -> DataFrame:
     UNIQUE set report their duplicate groups; foreign keys report orphans via
     ``integrity_report``.  Tables are visited parents first.
     """
+    relations = spec_relations(tables, specs)
+    sizes = _parent_sizes(relations) if relations else []
     parts: list[DataFrame] = []
     for name in load_order(specs):
         if name not in tables:
             continue
         spec, df = specs[name], tables[name]
-        required = spec.required_columns()
-        if required:
-            wide = run_checks(df, {f"{name}.{c} is null": null_count(c) for c in required})
-            parts.append(to_long(wide, "check_name", "issue_count"))
+        nulls = {f"{name}.{c} is null": null_count(c) for c in spec.required_columns()}
+        idx = [i for i, r in enumerate(relations) if r.child is df]
+        rels = [relations[i] for i in idx]
+        if rels and _parents_small(rels, [sizes[i] for i in idx], DEFAULT_BROADCAST_MAX_ROWS):
+            parts.append(fused_child_checks(df, rels, nulls))        # one pass: NULLs + every FK
+        else:
+            if nulls:
+                parts.append(to_long(run_checks(df, nulls), "check_name", "issue_count"))
+            parts += [orphan_count(r.child, r.fk, r.parent, r.pk, r.optional, parent_key_rows=sizes[i])
+                      .select(F.lit(r.name).alias("check_name"), F.col("orphan_rows").alias("issue_count"))
+                      for i, r in zip(idx, rels)]
         for key in (spec.primary_key, *spec.unique):
             if key:
                 label = f"{name} duplicate ({', '.join(key)})"
                 parts.append(duplicate_groups(df, list(key)).agg(row_count().alias("issue_count"))
                              .select(F.lit(label).alias("check_name"), "issue_count"))
-    relations = spec_relations(tables, specs)
-    if relations:
-        parts.append(integrity_report(relations))
     return reduce(DataFrame.unionByName, parts)

@@ -100,3 +100,18 @@ def test_spec_report_covers_every_declared_constraint(spark):
     assert got == {"par.id is null": 0, "par duplicate (id)": 0, "par duplicate (code)": 1,
                    "chi.code is null": 1, "chi.id is null": 1, "chi.p is null": 1,
                    "chi duplicate (id)": 1, "chi.p -> par.id": 2}
+
+
+def test_fused_child_checks_equal_per_relation_counts(spark):
+    p1 = spark.createDataFrame([(1,), (2,), (2,)], "k int")          # duplicate parent key must not multiply rows
+    p2 = spark.createDataFrame([(10,), (20,)], "k int")
+    child = spark.createDataFrame([(1, 10), (2, 99), (3, None), (None, 20), (2, 10)], "a int, b int")
+    rels = [checks.Relation("child.a -> p1.k", child, "a", p1, "k"),
+            checks.Relation("child.b -> p2.k", child, "b", p2, "k", optional=True)]
+    fused = {r["check_name"]: r["issue_count"] for r in checks.fused_child_checks(
+        child, rels, {"rows": checks.row_count()}).collect()}
+    single = {r.name: checks.orphan_count(r.child, r.fk, r.parent, r.pk, r.optional).first()["orphan_rows"]
+              for r in rels}
+    assert fused == {"rows": 5, **single} == {"rows": 5, "child.a -> p1.k": 2, "child.b -> p2.k": 1}
+    report = {r["check_name"]: r["issue_count"] for r in checks.integrity_report(rels).collect()}
+    assert report == single
