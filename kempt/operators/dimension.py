@@ -67,7 +67,7 @@ def member_key(name: Column, delim: str = ",") -> Column:
 
 
 def classify_members(dim: DataFrame, name_col: str, delim: str = ",") -> DataFrame:
-    """All dimension columns plus ``_cls`` and ``_key``.
+    """All dimension columns plus ``_cls``, ``_key`` and the stripped name ``_st``.
 
     Same result as ``member_class`` / ``member_key``, but the stripped name is
     computed once per member and the class once, then reused.
@@ -83,14 +83,14 @@ def classify_members(dim: DataFrame, name_col: str, delim: str = ",") -> DataFra
     key = (F.when(F.col(_CLS) == UNRECOVERABLE, F.lit(None).cast("string"))
            .when(F.col(_CLS) == COMPOSITE, text_before(st, delim))
            .otherwise(st))
-    return staged.select(*dim.columns, _CLS, key.alias(_KEY))
+    return staged.select(*dim.columns, _CLS, key.alias(_KEY), "_st")
 
 
 @dataclass
 class DimensionMerge:
     """Result of planning a dimension clean-up (see ``plan_dimension_merge``)."""
 
-    mapping: DataFrame          # every member: dimension columns + _cls, _key, _target
+    mapping: DataFrame          # every member: dimension columns + _cls, _key, _st, _target
     id_col: str
     name_col: str
     columns: tuple[str, ...]
@@ -159,8 +159,7 @@ class DimensionMerge:
         """The cleaned dimension: survivors with their repaired name, unmatched
         composites as they are, and the placeholder member exactly once."""
         kept = self.mapping.where((F.col(_TARGET) == F.col(self.id_col)) & (F.col(_CLS) != UNRECOVERABLE))
-        name = (F.when(F.col(_CLS).isin(CLEAN, STRIP), F.col(_KEY))
-                .otherwise(F.col(self.name_col)).alias(self.name_col))
+        name = F.col("_st").alias(self.name_col)   # every kept member loses its trailing delimiters
         clean = kept.select(*[name if c == self.name_col else F.col(c) for c in self.columns])
         return add_member_once(clean, self.id_col, self.placeholder)
 
@@ -169,7 +168,9 @@ def plan_dimension_merge(dim: DataFrame, id_col: str, name_col: str, *, placehol
                          delim: str = ",", broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                          materialize: bool = True, case_insensitive: bool = False) -> DimensionMerge:
     """Classify members, pick survivors (``min(id)`` per clean name among clean
-    and strippable members) and route every member to its target.
+    and strippable members) and route every member to its target: a composite
+    goes to the survivor its prefix names, else to the smallest id among the
+    composites with the same name (duplicates are merged whatever their class).
 
     ``placeholder`` is the full row of the member that receives the children of
     unrecoverable members, e.g. ``{"id": 0, "name": "N/A", "slug": "n-a"}``.
@@ -179,17 +180,21 @@ def plan_dimension_merge(dim: DataFrame, id_col: str, name_col: str, *, placehol
     survivor keeps its own spelling).
     """
     members = classify_members(dim, name_col, delim)
-    if case_insensitive:
-        members = members.withColumn("_match", F.lower(F.col(_KEY)))
-    else:
-        members = members.withColumn("_match", F.col(_KEY))
+    fold = F.lower if case_insensitive else (lambda c: c)
+    members = members.select("*", fold(F.col(_KEY)).alias("_match"), fold(F.col("_st")).alias("_full"))
+    # survivors of clean names: min id among clean and strippable members
     survivors = (members.where(F.col(_CLS).isin(CLEAN, STRIP))
                  .groupBy("_match").agg(F.min(id_col).alias(_KEEP)))
+    # identical composite names are duplicates too: min id, used when the
+    # prefix names no clean member
+    composite_dups = (members.where(F.col(_CLS) == COMPOSITE)
+                      .groupBy("_full").agg(F.min(id_col).alias("_keep_full")))
     placeholder_id = F.lit(placeholder[id_col]).cast(dim.schema[id_col].dataType)
     target = (F.when(F.col(_CLS) == UNRECOVERABLE, placeholder_id)
-              .otherwise(F.coalesce(F.col(_KEEP), F.col(id_col))))
+              .otherwise(F.coalesce(F.col(_KEEP), F.col("_keep_full"), F.col(id_col))))
     mapping = (members.join(survivors, "_match", "left")
-               .select(*dim.columns, _CLS, _KEY, target.alias(_TARGET)))
+               .join(composite_dups, "_full", "left")
+               .select(*dim.columns, _CLS, _KEY, "_st", target.alias(_TARGET)))
     if materialize:
         mapping = cut_lineage(mapping)
     return DimensionMerge(mapping, id_col, name_col, tuple(dim.columns), placeholder, broadcast_max_rows,
