@@ -127,7 +127,8 @@ class DimensionMerge:
                                    F.col(_KEY).alias("member_key"), F.col(_TARGET).alias("target_id"))
 
     def unmatched_composites(self) -> DataFrame:
-        """Composite members whose prefix names no clean member: kept and reported,
+        """Composite members whose prefix names no clean member: kept (one per
+        distinct name, identical ones merged into the smallest id) and reported,
         never silently deleted."""
         return (self.mapping.where((F.col(_CLS) == COMPOSITE) & (F.col(_TARGET) == F.col(self.id_col)))
                 .select(self.id_col, self.name_col, F.col(_KEY).alias("extracted_name")))
