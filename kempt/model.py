@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class ForeignKey:
+    """``column`` references ``parent.parent_column``; ``optional`` allows NULL."""
+
     column: str
     parent: str
     parent_column: str
@@ -24,6 +26,8 @@ class ForeignKey:
 
 @dataclass(frozen=True)
 class TableSpec:
+    """Schema and declared keys of one table (metadata that drives checks, not enforcement)."""
+
     name: str
     schema: T.StructType
     primary_key: tuple[str, ...]
@@ -33,6 +37,7 @@ class TableSpec:
 
     @property
     def columns(self) -> list[str]:
+        """Column names in schema order."""
         return [f.name for f in self.schema.fields]
 
     def staging_schema(self, text_columns: Iterable[str]) -> T.StructType:

@@ -50,6 +50,7 @@ def measure(df: DataFrame) -> tuple[int, int]:
 
 
 def fits(rows: int, nbytes: int, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    """True when both the row and the byte bound hold."""
     return rows <= max_rows and nbytes <= max_bytes
 
 

@@ -27,6 +27,7 @@ from kempt.operators.broadcast import DEFAULT_MAX_ROWS, fits, fixed_row_bytes, m
 
 
 def row_count() -> Column:
+    """``COUNT(*)``."""
     return F.count(F.lit(1))
 
 
@@ -36,26 +37,32 @@ def count_where(pred: Column) -> Column:
 
 
 def null_count(c: str) -> Column:
+    """Rows where ``c`` is NULL."""
     return count_where(F.col(c).isNull())
 
 
 def blank_count(c: str) -> Column:
+    """Rows where ``c`` is empty or spaces only."""
     return count_where(text.is_blank(c))
 
 
 def whitespace_count(c: str) -> Column:
+    """Rows where ``c`` has leading or trailing spaces."""
     return count_where(text.has_edge_whitespace(c))
 
 
 def extra_space_count(c: str) -> Column:
+    """Rows where ``c`` has a double space or an edge space."""
     return count_where(text.has_extra_spaces(c))
 
 
 def non_ascii_count(c: str) -> Column:
+    """Rows where ``c`` holds a character outside printable ASCII."""
     return count_where(text.has_non_ascii(c))
 
 
 def contains_count(c: str, needle: str) -> Column:
+    """Rows where ``c`` contains ``needle``."""
     return count_where(F.col(c).contains(needle))
 
 

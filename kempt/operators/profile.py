@@ -22,6 +22,7 @@ def frequency(df: DataFrame, column: str | Column, count_col: str = "frequency")
 
 
 def group_sizes(df: DataFrame, key: Sequence[str], size_col: str = "group_size") -> DataFrame:
+    """Rows per key group."""
     return df.groupBy(*key).agg(row_count().alias(size_col))
 
 

@@ -82,6 +82,7 @@ def diff_snapshots(before: DataFrame, after: DataFrame, key: Sequence[str]) -> D
 
 
 def diff_summary(diff: DataFrame) -> DataFrame:
+    """Rows per change class of a ``diff_snapshots`` result."""
     return diff.groupBy("change").agg(row_count().alias("n_rows"))
 
 

@@ -35,6 +35,7 @@ class Rule:
     when: Predicate = None
 
     def apply(self, current: Column) -> Column:
+        """The new value of the column given its current value."""
         if self.when is None:
             return self.fix(current)
         # A conditional rule reads its input three times (predicate, fix,

@@ -98,15 +98,18 @@ def supplier_repair_rules() -> list[rules.Rule]:
 
 
 def repaired_supplier(spark, sf) -> DataFrame:
+    """dirty_supplier names after the ordered repairs."""
     return rules.apply_rules(_v(spark, sf, "dirty_supplier").select("id", "nm"), supplier_repair_rules())
 
 
 def doc_repair_rules() -> list[rules.Rule]:
+    """The mojibake chain plus the injected e-acute repair, as replace rules."""
     pairs = tuple(text.MOJIBAKE_REPAIRS) + DOC_EXTRA_REPAIRS
     return [rules.replace_rule(f"replace_{i}", "text", a, b) for i, (a, b) in enumerate(pairs)]
 
 
 def part_merge(spark, sf, materialize: bool = True) -> dimension.DimensionMerge:
+    """The dimension merge of dirty_part (placeholder id -1)."""
     return dimension.plan_dimension_merge(_v(spark, sf, "dirty_part"), "id", "nm",
                                           placeholder=PART_PLACEHOLDER, materialize=materialize)
 

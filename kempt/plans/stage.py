@@ -23,6 +23,8 @@ from kempt.sources import snapshot
 
 @dataclass
 class StageResult:
+    """Where the snapshot was published, its row counts and its verification report."""
+
     root: str
     row_counts: dict[str, int]
     verification: DataFrame   # (check_name, issue_count); all zero when the stage is clean

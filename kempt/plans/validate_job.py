@@ -46,6 +46,7 @@ def validate_snapshot(spark: SparkSession, root: str, specs, expectations=()):
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Run the job; returns the process exit status (0 pass, 1 fail)."""
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("root")
     ap.add_argument("--specs", default="kempt.model:STAR_SCHEMA")

@@ -117,6 +117,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A dirty view: its source table through the shared projection."""
     source, cols = VIEWS[name]
     return table(spark, sf_dir, source).selectExpr(*[f"{expr} AS {alias}" for alias, expr in cols])
 
