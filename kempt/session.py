@@ -9,17 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "kempt", driver_memory: str = "16g") -> SparkSession:
+                  app: str = "kempt", driver_memory: str = "16g",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Local session used by tests and the benchmark (UI off, AQE on, UTC)."""
-    return (SparkSession.builder.master(f"local[{cpus}]").appName(app)
-            .config("spark.ui.enabled", "false")
-            .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-            .config("spark.sql.adaptive.enabled", "true")
-            .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-            .config("spark.sql.adaptive.skewJoin.enabled", "true")
-            .config("spark.sql.session.timeZone", "UTC")
-            .config("spark.driver.memory", driver_memory)
-            .getOrCreate())
+    builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
+               .config("spark.ui.enabled", "false")
+               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+               .config("spark.sql.adaptive.enabled", "true")
+               .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+               .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.driver.memory", driver_memory))
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
