@@ -615,6 +615,12 @@ def q60_spec_driven_report(spark, sf):
     schema as a check row (SRC4, QC1, QC4-5, QC20, QC34)."""
     return checks.spec_report({n: _t(spark, sf, n) for n in STAR_SCHEMA}, STAR_SCHEMA)
 
+
+def q61_code_point_discovery_by_key(spark, sf):
+    """First-artifact discovery with the smallest document id as example: hash aggregate, no
+    sort of whole texts (QC8 at scale)."""
+    return profile.first_artifact_discovery(_v(spark, sf, "dirty_docs"), "text", width=3, example_key="doc_id")
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
