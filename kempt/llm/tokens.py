@@ -13,6 +13,12 @@ import os
 import numpy as np
 
 _SEPARATOR = "<|endoftext|>"
+_MARKS = (".", ",")
+
+
+def _latin(c: str) -> bool:
+    """A letter or digit that the tokenizer's normaliser keeps a single one."""
+    return c.isalnum() and c < "\u0250" and c != "\u0130"
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -25,13 +31,15 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 class ChunkEncoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does."""
 
-    def __init__(self, path: str, max_chunks: int = 300_000):
+    def __init__(self, path: str, max_chunks: int = 1_200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.word_final = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.word_final[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.max_chunks = max_chunks
         self._clear()
 
@@ -50,39 +58,77 @@ class ChunkEncoder:
         self.ends[n:n + len(chunks)] = old + np.cumsum(counts)
         self.index.update(zip(chunks, range(n, n + len(chunks))))
 
+    def _encode_stems(self, stems: list[str]) -> None:
+        """Bulk encoding: plain words are separated by blanks (a word ends at a word-final token), others by a special token."""
+        for plain in (True, False):
+            chosen = [s for s in stems if (s.isalpha() and s < "\u0250" and max(s) < "\u0250" and "\u0130" not in s) == plain]
+            for i in range(0, len(chosen), 4096):
+                part = chosen[i:i + 4096]
+                joined = (" " if plain else _SEPARATOR).join(part)
+                ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+                if plain:
+                    counts = np.diff(np.flatnonzero(self.word_final[ids]), prepend=-1)
+                else:
+                    counts = np.diff(np.concatenate([[-1], np.flatnonzero(ids == self.separator), [len(ids)]])) - 1
+                    ids = ids[ids != self.separator]
+                assert len(counts) == len(part)
+                self._append(part, counts, ids)
+
     def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if "<|" not in c]
-        for i in range(0, len(plain), 4096):
-            part = plain[i:i + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([_SEPARATOR.join(part)], add_special_tokens=False)[0].ids,
-                           np.int64)
-            cut = np.flatnonzero(ids == self.separator)
-            edges = np.concatenate([[-1], cut, [len(ids)]])
-            self._append(part, np.diff(edges) - 1, ids[ids != self.separator])
-        for chunk in chunks:
-            if "<|" in chunk:
-                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-                self._append([chunk], np.array([len(ids)]), np.array(ids, np.int64))
+        """Add chunks to the dictionary; a word's cased and punctuated forms share the encoding of its stem.
+
+        Lower-casing is left to the tokenizer outside ASCII; a full stop or
+        comma after a Latin letter or digit is always a token of its own.
+        """
+        forms: dict[str, tuple[str, str]] = {}
+        stems: dict[str, None] = {}
+        for c in chunks:
+            if "<|" in c:
+                continue
+            stem, mark = (c[:-1], c[-1]) if c[-1:] in _MARKS and _latin(c[-2:-1]) else (c, "")
+            if stem.isascii():
+                stem = stem.lower()
+            if stem not in self.index:
+                stems[stem] = None
+            if stem != c:
+                forms[c] = (stem, mark)
+        stems.update(dict.fromkeys(m for m in _MARKS if m not in self.index))
+        self._encode_stems(list(stems))
+        special = [c for c in chunks if "<|" in c]
+        if special:
+            ids = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in special]
+            self._append(special, np.array([len(x) for x in ids]), np.array(sum(ids, []), np.int64))
+        forms = {c: f for c, f in forms.items() if c not in self.index}  # a chunk may be another's stem
+        if forms:
+            of_stem = np.array([self.index[stem] for stem, _ in forms.values()], np.int64)
+            starts = np.where(of_stem > 0, self.ends[of_stem - 1], 0)
+            counts = self.ends[of_stem] - starts
+            marks = {m: int(self.ids[self.ends[self.index[m]] - 1]) for m in _MARKS}  # one id each
+            mark = np.array([marks.get(m, -1) for _, m in forms.values()], np.int64)
+            sizes = counts + (mark >= 0)
+            flat = np.zeros(int(sizes.sum()), np.int64)
+            last = np.cumsum(sizes) - 1
+            body = np.ones(len(flat), bool)
+            body[last[mark >= 0]] = False
+            flat[last[mark >= 0]] = mark[mark >= 0]
+            flat[body] = self.ids[ragged(starts, counts)]
+            self._append(list(forms), sizes, flat)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, offsets with len(texts) + 1 entries); NULL is the empty text."""
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         if len(self.index) > self.max_chunks:
             self._clear()
-        known = self.index
-        new: dict[str, None] = {}
-        for chunks in split:
-            new.update(dict.fromkeys(c for c in chunks if c not in known))
+        counts = [t.count(" ") + t.count("\n") + 1 if t else 1 for t in texts]
+        chunks = " ".join([t or "" for t in texts]).replace("\n", " ").split(" ")
+        new = set(chunks).difference(self.index) if texts else ()
         if new:
             self._learn(list(new))
-        look = self.index.__getitem__
-        rows = [np.fromiter(map(look, chunks), np.int64, len(chunks)) for chunks in split]
-        index = np.concatenate([*rows, np.zeros(0, np.int64)])
+        index = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks)) if texts else np.zeros(0, np.int64)
         starts = np.where(index > 0, self.ends[index - 1], 0)
-        counts = self.ends[index] - starts
-        done = np.concatenate([[0], np.cumsum(counts)])
-        offsets = done[np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)]
-        return self.ids[ragged(starts, counts)], offsets
+        sizes = self.ends[index] - starts
+        done = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = done[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        return self.ids[ragged(starts, sizes)], offsets
 
 
 _encoders: dict[str, ChunkEncoder] = {}
