@@ -7,16 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm import packing, token_files, tokens
-from kempt.llm.common import documents
+from kempt.llm import decontaminate, jaccard, language, packing, token_files, tokens
+from kempt.llm.common import documents, held_out
 from kempt.session import scratch_path
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set size and the least document reachable over links of Jaccard 0.8 on 5-word shingles."""
+    return jaccard.near_duplicates(documents(spark, sf_dir), width=5, num=80, den=100)
+
+
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in its sequence of at most 2048 ids."""
     return packing.pack(documents(spark, sf_dir), tokenizer=tokens.default_tokenizer(), end_id=1, capacity=2048)
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and items of every document for 13-word windows."""
+    return decontaminate.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), window=13, share=20)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the token files of all documents and reads every document back from them."""
     folder = scratch_path(spark, "token-files")
@@ -24,8 +34,39 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder).withColumnRenamed("id", "doc_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the folds whose crc32 remainder is not 2."""
+    docs = documents(spark, sf_dir).withColumn("held_out", held_out("doc_id", 4, 2))
+    model = language.fit(docs.where(~F.col("held_out")))
+    return (language.predict(docs, model)
+            .select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_harmonic_packing, op9_token_files)
+    f.__name__: f for f in (op2_ngram_jaccard_join, op3_harmonic_packing, op8_benchmark_decontamination, op9_token_files,
+                            op10_language_id)
 }
 
-ORACLE: dict[str, str] = {}
+#: The words, windows and hits of op8, window by window.
+_OP8 = """
+WITH lowered AS (SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+     items AS (SELECT item_id, regexp_extract_all(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+     windows AS (SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS phrase
+         FROM (SELECT item_id, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s
+               FROM items WHERE len(w) > 0)),
+     lengths AS (SELECT DISTINCT k FROM windows),
+     spots AS (SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS phrase
+         FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM lowered, lengths)),
+     met AS (SELECT r, s, k, item_id FROM spots JOIN windows USING (k, phrase)),
+     hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM met) GROUP BY r),
+     names AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+         FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM met) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM lowered LEFT JOIN hits USING (r) LEFT JOIN names USING (r)"""
+
+ORACLE: dict[str, str] = {"op8_benchmark_decontamination": _OP8}
