@@ -12,11 +12,12 @@ On the cluster this runs in three steps, all on classes of equal sets:
    corpus.  A set posts its ``|set| - T + 1`` shingles of the shortest lists;
    similar sets share at least one posted shingle.  The order only steers the
    work, any order gives the same result.
-2. In every posted list each set is paired with the list's least set (lists
-   that the sketch calls long are split over salts, and the salts' least sets
-   are paired in turn), so the pairs grow with the lists and not with their
-   squares.  DivideSkip searches each such pivot against its partners, block
-   by block, over their whole texts.
+2. Every posted list is cut, in order of size, where a set is too large to be
+   similar to the one before it.  Each set is paired with the least set of its
+   run (lists that the sketch calls long are split over salts, and the salts'
+   least sets are paired in turn), so the pairs grow with the lists and not
+   with their squares.  DivideSkip searches each such pivot against its
+   partners, block by block, over their whole texts.
 3. Sets whose component differs from that of their list's pivot become
    queries against all other sets of the list.  Every pair of sets that share a
    posted shingle is thus searched or known to be connected.
@@ -28,6 +29,7 @@ rows are one set; a NULL id is kept as it is and never names a component.
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from collections.abc import Iterator
 from itertools import groupby
@@ -117,7 +119,18 @@ def _set_id(s: np.ndarray) -> int:
 
 
 _SKETCH_SLICES = 64
-_MEMBERS = "kind int, id long, n long, set_id long, slice int, counts binary"
+_BROADCAST_IDS = 1_000_000
+#: Parity bitmap of a set: bit b is the parity of its shingles with b as last bits.  Two sets differ in at least as
+#: many shingles as their bitmaps differ in bits, so unlike sets are told apart without their texts.
+_BITMAP = [f"b{i}" for i in range(16)]
+_MEMBERS = "kind int, id long, n long, set_id long, " + ", ".join(f"{b} long" for b in _BITMAP) + ", slice int, counts binary"
+_NAMES = [c.split()[0] for c in _MEMBERS.split(", ")]
+
+
+def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    bits = 64 * len(_BITMAP)
+    parity = [np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1 for s in sets]
+    return np.packbits(np.array(parity, np.uint8).reshape(len(sets), bits), axis=1).view(np.int64)
 
 
 def _members_and_sketch(width: int, bits: int):
@@ -138,11 +151,12 @@ def _members_and_sketch(width: int, bits: int):
             for first, end, data, offsets in common.text_slices(batch):
                 sets = shingle_sets(data, offsets, width)
                 n = end - first
-                none = pa.nulls(n, pa.int32())
+                bitmaps = _bitmaps(sets)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(n, np.int32)), batch.column(0).slice(first, n), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()), none, pa.nulls(n, pa.binary())],
-                    names=["kind", "id", "n", "set_id", "slice", "counts"])
+                     pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
+                     *[pa.array(np.ascontiguousarray(bitmaps[:, i])) for i in range(len(_BITMAP))],
+                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_NAMES)
                 waiting.append((np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(64 - bits)).astype(np.uint32))
                 n_waiting += len(waiting[-1])
                 any_rows = True
@@ -153,9 +167,8 @@ def _members_and_sketch(width: int, bits: int):
             step = len(counts) // _SKETCH_SLICES
             for k in range(_SKETCH_SLICES):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([1], pa.int32()), *[pa.nulls(1, pa.int64())] * 3, pa.array([k], pa.int32()),
-                     pa.array([zlib.compress(counts[k * step:(k + 1) * step].tobytes(), 1)], pa.binary())],
-                    names=["kind", "id", "n", "set_id", "slice", "counts"])
+                    [pa.array([1], pa.int32()), *[pa.nulls(1, pa.int64())] * (3 + len(_BITMAP)), pa.array([k], pa.int32()),
+                     pa.array([zlib.compress(counts[k * step:(k + 1) * step].tobytes(), 1)], pa.binary())], names=_NAMES)
 
     return run
 
@@ -257,6 +270,38 @@ def _with_set_id(width: int):
     return run
 
 
+def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (query, node) whose sizes and bitmaps allow the similarity."""
+    query = sets.select(F.col("set_id").alias("query"), F.col("sn").alias("qn"), *[F.col(b).alias(f"q{b}") for b in _BITMAP])
+    node = sets.withColumnRenamed("set_id", "node")
+    differ = sum((F.bit_count(F.col(f"q{b}").bitwiseXOR(F.col(b))) for b in _BITMAP), F.lit(0))
+    return (pairs.join(query, "query").join(node, "node")
+            .where((F.col("sn") * den >= F.col("qn") * num) & (F.col("qn") * den >= F.col("sn") * num)
+                   & (differ * (den + num) <= (F.col("sn") + F.col("qn")) * (den - num))).select("query", "node"))
+
+
+def _texts(rows: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """One text (set_id, text) of each set in the pairs; their ids are broadcast only up to a checked number."""
+    wanted = pairs.select(F.col("node").alias("set_id")).unionByName(pairs.select(F.col("query").alias("set_id"))).distinct()
+    wanted = common.materialise(wanted, "wanted")
+    ids = members.join(wanted, "set_id").groupBy("set_id").agg(F.min("id").alias("id")).select("id")
+    ids = common.materialise(ids, "wanted-ids")
+    if ids.count() <= _BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    chosen = (rows.join(ids, "id", "left_semi").unionByName(rows.where("id is null"))
+              .mapInArrow(_with_set_id(width), "set_id long, text string"))
+    return common.materialise(chosen.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "texts")
+
+
+def _size_runs(lists: DataFrame, by: list[str], num: int, den: int) -> DataFrame:
+    """``lists`` with ``pivot``, the first set of each row's run of sizes, and whether another row follows in the run."""
+    order = Window.partitionBy(*by).orderBy("n", "set_id")
+    begins = F.coalesce(F.lag("n").over(order) * den < F.col("n") * num, F.lit(True))
+    marked = lists.withColumn("_first", F.when(begins, F.col("set_id")))
+    return (marked.withColumn("pivot", F.last("_first", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("followed", F.coalesce(F.lead("n").over(order) * num <= F.col("n") * den, F.lit(False))).drop("_first"))
+
+
 def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80,
                  den: int = 100, sketch_bits: int = 24, max_salt_bits: int = 10,
                  block_rows: int = 1000) -> tuple[DataFrame, DataFrame]:
@@ -278,33 +323,23 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     postings = rows.mapInArrow(_postings(width, num, den, classes, sketch_bits, max_salt_bits),
                                "key long, set_id long, n int, salt int, salted boolean")
-    own = Window.partitionBy("key", "salt")
     lists = common.materialise(
-        postings.select("key", "set_id", "n", "salted", F.min("set_id").over(own).alias("pivot"),
-                        F.max("set_id").over(own).alias("last"))
-        .where("pivot <> last or salted").drop("last"), "lists")
-    # a long list has a pivot for each salt, and their least is its own
-    tops = (lists.where("salted and set_id = pivot").select("key", "pivot").distinct()
-            .withColumn("top", F.min("pivot").over(Window.partitionBy("key"))))
-    pairs = common.materialise(
-        lists.where("set_id <> pivot").select(F.col("pivot").alias("query"), F.col("set_id").alias("node"))
-        .unionByName(tops.where("pivot <> top").select(F.col("top").alias("query"), F.col("pivot").alias("node")))
-        .distinct(), "pairs")
-
-    # one text for each set that is in some list with another
-    involved = pairs.select("node").unionByName(pairs.select(F.col("query").alias("node"))).distinct()
-    involved = common.materialise(involved.withColumnRenamed("node", "set_id"), "involved")
-    keep = members.join(involved, "set_id").groupBy("set_id").agg(F.min("id").alias("id")).select("id")
-    chosen = (rows.join(keep, "id", "left_semi").unionByName(rows.where("id is null"))
-              .mapInArrow(_with_set_id(width), "set_id long, text string"))
-    texts = common.materialise(chosen.join(involved, "set_id", "left_semi").dropDuplicates(["set_id"]), "texts")
-
-    edges = common.materialise(_search(pairs, texts, width, num, den, block_rows), "links")
+        _size_runs(postings, ["key", "salt"], num, den).where("set_id <> pivot or followed or salted")
+        .select("key", "set_id", "n", "salted", "pivot"), "lists")
+    # a long list has pivots for each salt; their first is the list's
+    tops = (lists.where("salted and set_id = pivot").select("key", "pivot", "n").distinct()
+            .withColumn("top", F.first("pivot").over(Window.partitionBy("key").orderBy("n", "pivot"))))
+    sets = common.materialise(base.where("kind = 0 and n > 0").select("set_id", F.col("n").alias("sn"), *_BITMAP)
+                              .dropDuplicates(["set_id"]), "distinct-sets")
+    pairs = (lists.where("set_id <> pivot").select(F.col("pivot").alias("query"), F.col("set_id").alias("node"))
+             .unionByName(tops.where("pivot <> top").select(F.col("top").alias("query"), F.col("pivot").alias("node"))))
+    pairs = common.materialise(_possible(pairs.distinct(), sets, num, den), "pairs")
+    edges = common.materialise(_search(pairs, _texts(rows, members, pairs, width), width, num, den, block_rows), "links")
     roots = connected_components(edges)
 
-    # whoever is not yet connected with its list's pivot is searched against the whole list
+    # whoever is not yet connected with its run's pivot is searched against the whole list
     listed = (lists.select("key", "set_id", "n", "pivot").distinct()
-              .join(tops.select("key", "top").distinct(), "key", "left")
+              .join(tops.select("key", "pivot", "top"), ["key", "pivot"], "left")
               .withColumn("pivot", F.coalesce("top", "pivot")).drop("top"))
     of_set = roots.select(F.col("node").alias("set_id"), F.col("root").alias("set_root"))
     of_pivot = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
@@ -312,17 +347,20 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
               .select("key", "set_id", "n", F.coalesce("set_root", "set_id").alias("root"),
                       F.coalesce("pivot_root", "pivot").alias("pivot_root"))
               .withColumn("apart", F.col("root") != F.col("pivot_root")).drop("pivot_root"))
-    listed = common.materialise(listed, "listed")
+    # similar sets are in the same size class or in neighbouring ones
+    unit = math.log(den / num) * 1.001
+    listed = common.materialise(listed.withColumn("class", F.floor(F.log("n") / unit)), "listed")
     apart = listed.where("apart").select("key", F.col("set_id").alias("query"), F.col("n").alias("qn"),
-                                         F.col("root").alias("query_root"))
-    later = (listed.join(apart, "key")
-             .where((F.col("root") != F.col("query_root")) & (F.col("n") * den >= F.col("qn") * num)
-                    & (F.col("qn") * den >= F.col("n") * num) & (~F.col("apart") | (F.col("query") < F.col("set_id"))))
+                                         F.col("root").alias("query_root"),
+                                         F.explode(F.expr("array(class - 1, class, class + 1)")).alias("class"))
+    fits = (F.col("n") * den >= F.col("qn") * num) & (F.col("qn") * den >= F.col("n") * num)
+    later = (listed.join(apart, ["key", "class"])
+             .where((F.col("root") != F.col("query_root")) & fits & (~F.col("apart") | (F.col("query") < F.col("set_id"))))
              .select("query", F.col("set_id").alias("node")).distinct())
     known = pairs.unionByName(pairs.select(F.col("node").alias("query"), F.col("query").alias("node")))
-    later = common.materialise(later.join(known, ["query", "node"], "left_anti"), "later")
+    later = common.materialise(_possible(later.join(known, ["query", "node"], "left_anti"), sets, num, den), "later")
     if not later.isEmpty():
-        more = _search(later, texts, width, num, den, block_rows)
+        more = _search(later, _texts(rows, members, later, width), width, num, den, block_rows)
         links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = connected_components(links.unionByName(more))
     return members, roots
