@@ -58,7 +58,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[bytes], labels: list[str], *, hidden: int = 8, per_text: int = 4, epochs: int = 6,
-          batch: int = 512, rate: float = 0.01, seed: int = 5) -> dict:
+          min_steps: int = 150, batch: int = 512, rate: float = 0.01, seed: int = 5) -> dict:
     """A model from labelled texts: parameters and the sorted language names."""
     rng = np.random.default_rng(seed)
     names = sorted(set(labels))
@@ -77,6 +77,7 @@ def train(texts: list[bytes], labels: list[str], *, hidden: int = 8, per_text: i
          "out": (0.3 * rng.standard_normal((2 * hidden, k))).astype(np.float32), "bias": np.zeros(k, np.float32)}
     weight = (len(y) / (k * np.maximum(np.bincount(y, minlength=k), 1))).astype(np.float32)  # balanced languages
     adam = gru.Adam(p, rate)
+    epochs = max(epochs, -(-min_steps * batch // max(len(x), 1)))
     for epoch in range(epochs):
         adam.rate = rate * (1 - 0.9 * epoch / epochs)
         order = rng.permutation(len(x))

@@ -115,8 +115,9 @@ def pack(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int = 2048,
     # one row per class (at most 2 * sqrt(capacity) of them)
     totals = counts.groupBy("k").agg(F.sum("n").alias("total")).withColumn("bins", F.expr("total div k"))
     earlier = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    classes = totals.select("k", "bins", F.coalesce(F.sum("bins").over(earlier), F.lit(0)).alias("first_bin"))
-    full = totals.agg(F.coalesce(F.sum("bins"), F.lit(0)).alias("full_bins"))
+    classes = totals.select("k", "bins", F.coalesce(F.sum("bins").over(earlier), F.lit(0)).alias("first_bin"),
+                            F.sum("bins").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding,
+                                                                               Window.unboundedFollowing)).alias("full_bins"))
 
     ranked = (pieces.join(bases, ["k", "part"]).join(F.broadcast(classes), "k")
               .withColumn("rank", F.col("base") + F.col("local_rank"))
@@ -124,10 +125,9 @@ def pack(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int = 2048,
     out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     placed = (ranked.where("bin < bins").withColumn("sequence_id", F.col("first_bin") + F.col("bin"))
               .withColumn("offset", (F.col("rank") % F.col("k")) * F.col("length")).select(out))
-    rest = ranked.where("bin >= bins").select(*pieces.columns)
+    rest = ranked.where("bin >= bins").select(*pieces.columns, "full_bins")
     # less than one sequence of tokens per class, however large the input
     schema = ", ".join(f"{n} {t}" for n, t in [*rest.dtypes, ("sequence_id", "long"), ("offset", "long")])
     short = (rest.groupBy().applyInPandas(_first_fit(capacity), schema)
-             .withColumn("one", F.lit(1)).join(F.broadcast(full.withColumn("one", F.lit(1))), "one")
              .withColumn("sequence_id", F.col("sequence_id") + F.col("full_bins")).select(out))
     return placed.unionByName(short)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm import decontaminate, jaccard, language, packing, token_files, tokens
+from kempt.llm import decontaminate, jaccard, language, packing, token_files, tokens, toxicity
 from kempt.llm.common import documents, held_out
 from kempt.session import scratch_path
 
@@ -22,6 +22,18 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer=tokens.default_tokenizer(), end_id=1, capacity=2048)
 
 
+def fit_toxicity(spark: SparkSession, sf_dir: str) -> dict | None:
+    """The toxicity model of a snapshot: labels of rows whose crc32 remainder is not 1."""
+    labels = documents(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out("doc_id", 3, 1))
+    return toxicity.fit(documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the folds whose crc32 remainder is not 1."""
+    scored = toxicity.predict(documents(spark, sf_dir), fit_toxicity(spark, sf_dir), threshold=0.7)
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document for 13-word windows."""
     return decontaminate.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), window=13, share=20)
@@ -43,7 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_ngram_jaccard_join, op3_harmonic_packing, op8_benchmark_decontamination, op9_token_files,
+    f.__name__: f for f in (op2_ngram_jaccard_join, op3_harmonic_packing, op7_toxicity, op8_benchmark_decontamination, op9_token_files,
                             op10_language_id)
 }
 
