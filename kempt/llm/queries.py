@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm import decontaminate, jaccard, language, packing, token_files, tokens, toxicity
-from kempt.llm.common import documents, held_out
+from kempt.llm import (decontaminate, edit_fingerprints, jaccard, language, packing, quality, secrets, token_files, tokens,
+                       toxicity, url_filters)
+from kempt.llm.common import documents, held_out, materialise
 from kempt.session import scratch_path
 
 
+def op1_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with the likeness to that and to the next document's."""
+    return edit_fingerprints.with_successors(documents(spark, sf_dir))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's set size and the least document reachable over links of Jaccard 0.8 on 5-word shingles."""
     return jaccard.near_duplicates(documents(spark, sf_dir), width=5, num=80, den=100)
@@ -22,6 +28,39 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer=tokens.default_tokenizer(), end_id=1, capacity=2048)
 
 
+def op4_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the folds whose crc32 remainder is not 1."""
+    table = materialise(quality.statistics_table(documents(spark, sf_dir)), "statistics")
+    labels = documents(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out("doc_id", 3, 1))
+    scored = quality.predict(table, quality.fit(table.join(labels, "doc_id")))
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    """Dated list events of the hosts in ``pages`` and of their parent domains, dated by each name's least page id."""
+    hosts = pages.select(url_filters.host(F.col("url")).alias("pattern"), "page_id").where("pattern is not null")
+    parents = hosts.where("size(split(pattern, '[.]')) >= 4").select(F.expr("substring(pattern, locate('.', pattern) + 1)").alias("pattern"), "page_id")
+    first = lambda df: df.groupBy("pattern").agg(F.min("page_id").alias("m"))
+    host_log = first(hosts).select(F.lit("hosts").alias("list"), "pattern", F.expr(
+        "explode(array(struct((m * 31) % 365 AS day, 'add' AS action), struct((m * 31) % 365 + 20 + m % 60 AS day, 'remove' AS action)))").alias("e"))
+    domain_log = first(parents).select(F.lit("domains").alias("list"), "pattern", F.expr(
+        "explode(array(struct((m * 17) % 365 AS day, 'add' AS action), struct((m * 17) % 365 + 45 AS day, 'remove' AS action)))").alias("e"))
+    return host_log.unionByName(domain_log).select("list", "pattern", "e.day", "e.action")
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the dated host and domain lists as of its fetch day (derived from its id)."""
+    pages = documents(spark, sf_dir, "pages")
+    captures = pages.select("page_id", "url", ((F.col("page_id") * 7919) % 365).alias("day"))
+    return url_filters.evaluate(captures, list_events(pages))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base findings and the network's further spans of every document."""
+    docs = documents(spark, sf_dir)
+    return secrets.scan(docs, secrets.fit(docs))
+
+
 def fit_toxicity(spark: SparkSession, sf_dir: str) -> dict | None:
     """The toxicity model of a snapshot: labels of rows whose crc32 remainder is not 1."""
     labels = documents(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out("doc_id", 3, 1))
@@ -55,7 +94,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_ngram_jaccard_join, op3_harmonic_packing, op7_toxicity, op8_benchmark_decontamination, op9_token_files,
+    f.__name__: f for f in (op1_edit_fingerprints, op2_ngram_jaccard_join, op3_harmonic_packing, op4_quality_discriminant,
+                            op5_url_filters, op6_secret_scan, op7_toxicity, op8_benchmark_decontamination, op9_token_files,
                             op10_language_id)
 }
 
@@ -81,4 +121,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
 FROM lowered LEFT JOIN hits USING (r) LEFT JOIN names USING (r)"""
 
-ORACLE: dict[str, str] = {"op8_benchmark_decontamination": _OP8}
+#: The state of a name on a day is that of its last event up to then.
+_OP5 = """
+WITH captures AS (SELECT row_number() OVER () AS r, page_id, (page_id * 7919) % 365 AS day,
+         nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host FROM pages),
+     named AS (SELECT host AS pattern, min(page_id) AS m FROM captures WHERE host IS NOT NULL GROUP BY 1),
+     parents AS (SELECT substr(host, strpos(host, '.') + 1) AS pattern, min(page_id) AS m FROM captures
+         WHERE len(string_split(host, '.')) >= 4 GROUP BY 1),
+     events AS (SELECT 'hosts' AS l, pattern, (m * 31) % 365 AS day, true AS listed FROM named
+         UNION ALL SELECT 'hosts', pattern, (m * 31) % 365 + 20 + m % 60, false FROM named
+         UNION ALL SELECT 'domains', pattern, (m * 17) % 365, true FROM parents
+         UNION ALL SELECT 'domains', pattern, (m * 17) % 365 + 45, false FROM parents),
+     names AS (SELECT r, day, array_to_string(labels[i:], '.') AS pattern FROM
+         (SELECT r, day, string_split(host, '.') AS labels, unnest(range(1, greatest(len(string_split(host, '.')), 2))) AS i
+          FROM captures WHERE host IS NOT NULL)),
+     state AS (SELECT n.r, n.pattern, e.l, max_by(e.listed, e.day) AS listed, max(e.day) AS since
+         FROM names n JOIN events e ON n.pattern = e.pattern AND e.day <= n.day GROUP BY ALL),
+     active AS (SELECT r, count(*) AS n, max({'length': length(pattern), 'pattern': pattern, 'since': since}) AS best
+         FROM state WHERE listed GROUP BY r)
+SELECT page_id, host, day, coalesce(n, 0) AS n_active, best.pattern AS pattern, best.since AS valid_from,
+       coalesce(n, 0) > 0 AS blocked FROM captures LEFT JOIN active USING (r)"""
+
+ORACLE: dict[str, str] = {"op5_url_filters": _OP5, "op8_benchmark_decontamination": _OP8}
