@@ -131,3 +131,10 @@ def contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                         F.coalesce("n_items", F.lit(0)).alias("n_items"),
                         F.sha2(F.coalesce("names", F.lit("")), 256).alias("items_sha256"),
                         ((n_hit > 0) & (share * n_hit >= n_words)).alias("contaminated"))
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated; rows without an id are kept."""
+    found = common.materialise(contamination(docs, items, id_col=id_col, **options).where("contaminated").select(id_col)
+                               .distinct(), "contaminated")
+    return docs.join(_small(found), id_col, "left_anti").select(docs.columns)

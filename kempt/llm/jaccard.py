@@ -285,9 +285,7 @@ def _texts(rows: DataFrame, members: DataFrame, pairs: DataFrame, width: int) ->
     wanted = pairs.select(F.col("node").alias("set_id")).unionByName(pairs.select(F.col("query").alias("set_id"))).distinct()
     wanted = common.materialise(wanted, "wanted")
     ids = members.join(wanted, "set_id").groupBy("set_id").agg(F.min("id").alias("id")).select("id")
-    ids = common.materialise(ids, "wanted-ids")
-    if ids.count() <= _BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = _known_size(common.materialise(ids, "wanted-ids"))
     chosen = (rows.join(ids, "id", "left_semi").unionByName(rows.where("id is null"))
               .mapInArrow(_with_set_id(width), "set_id long, text string"))
     return common.materialise(chosen.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "texts")
@@ -375,3 +373,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> Da
     return (members.join(least, "root", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")))
+
+
+def keep_representatives(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose id is the least of its component.
+
+    The id names a document: of rows with equal ids one stays.  Rows without an id are kept.
+    """
+    found = common.materialise(near_duplicates(docs, id_col=id_col, **options).where(F.col(id_col).isNotNull()), "components")
+    ids = found.groupBy(id_col).agg(F.max(F.col(id_col) == F.col("component_id")).alias("stays"), F.count("*").alias("rows"))
+    ids = common.materialise(ids, "stays")
+    gone, repeated = (_known_size(ids.where(c).select(id_col)) for c in ("not stays", "stays and rows > 1"))
+    once = docs.join(gone, id_col, "left_anti").join(repeated, id_col, "left_anti")
+    return once.unionByName(docs.join(repeated, id_col, "left_semi").dropDuplicates([id_col])).select(docs.columns)
+
+
+def _known_size(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= _BROADCAST_IDS else ids
