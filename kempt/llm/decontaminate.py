@@ -31,7 +31,7 @@ BROADCAST_ROWS = 500_000
 
 def _small(df: DataFrame) -> DataFrame:
     """A broadcast hint for a written table of proven size."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def words(text: Column) -> Column:

@@ -123,10 +123,41 @@ _BROADCAST_IDS = 1_000_000
 #: Parity bitmap of a set: bit b is the parity of its shingles with b as last bits.  Two sets differ in at least as
 #: many shingles as their bitmaps differ in bits, so unlike sets are told apart without their texts.
 _BITMAP = [f"b{i}" for i in range(16)]
-_MEMBERS = "kind int, id long, n long, set_id long, " + ", ".join(f"{b} long" for b in _BITMAP) + ", slice int, counts binary"
+#: Sets of more shingles also have a bitmap of at least as many bits as shingles.
+_WIDE_FROM = 1024
+_MEMBERS = ("kind int, id long, n long, set_id long, " + ", ".join(f"{b} long" for b in _BITMAP)
+            + ", wide binary, slice int, counts binary")
 _NAMES = [c.split()[0] for c in _MEMBERS.split(", ")]
 
 
+def _wide_bitmap(s: np.ndarray) -> bytes | None:
+    if len(s) <= _WIDE_FROM:
+        return None
+    bits = 1 << (len(s) - 1).bit_length()
+    parity = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(parity, bitorder="little").tobytes()
+
+
+def _unlike(a: bytes, b: bytes) -> int:
+    """Bits that two wide bitmaps differ in; the longer one is folded onto the shorter."""
+    a, b = (np.frombuffer(x, np.uint64) for x in (a, b))
+    n = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(x.reshape(-1, n), axis=0) for x in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _wide_filter(num: int, den: int):
+    """Of pairs (query, node, size, qwide, wide), those whose wide bitmaps allow the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [q is None or w is None or _unlike(q, w) * (den + num) <= size * (den - num)
+                    for size, q, w in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     bits = 64 * len(_BITMAP)
     parity = [np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1 for s in sets]
@@ -156,7 +187,7 @@ def _members_and_sketch(width: int, bits: int):
                     [pa.array(np.zeros(n, np.int32)), batch.column(0).slice(first, n), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
                      *[pa.array(np.ascontiguousarray(bitmaps[:, i])) for i in range(len(_BITMAP))],
-                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_NAMES)
+                     pa.array([_wide_bitmap(s) for s in sets], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_NAMES)
                 waiting.append((np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(64 - bits)).astype(np.uint32))
                 n_waiting += len(waiting[-1])
                 any_rows = True
@@ -167,7 +198,8 @@ def _members_and_sketch(width: int, bits: int):
             step = len(counts) // _SKETCH_SLICES
             for k in range(_SKETCH_SLICES):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([1], pa.int32()), *[pa.nulls(1, pa.int64())] * (3 + len(_BITMAP)), pa.array([k], pa.int32()),
+                    [pa.array([1], pa.int32()), *[pa.nulls(1, pa.int64())] * (3 + len(_BITMAP)), pa.nulls(1, pa.binary()),
+                     pa.array([k], pa.int32()),
                      pa.array([zlib.compress(counts[k * step:(k + 1) * step].tobytes(), 1)], pa.binary())], names=_NAMES)
 
     return run
@@ -176,7 +208,7 @@ def _members_and_sketch(width: int, bits: int):
 def _list_classes(rows: pd.DataFrame) -> pd.DataFrame:
     """0 for lists that the sketch calls short, else how many doublings they are over the bound."""
     total = sum(np.frombuffer(zlib.decompress(c), np.uint16).astype(np.float64) for c in rows["counts"])
-    bound = 2 * total.mean() + 16
+    bound = total.mean() + 4 * np.sqrt(total.mean()) + 2  # beyond what chance puts into a counter
     over = np.where(total > bound, 1 + np.log2(np.maximum(total, bound) / bound), 0).astype(np.uint8)
     return pd.DataFrame({"slice": [int(rows["slice"].iloc[0])], "classes": [zlib.compress(over.tobytes(), 1)]})
 
@@ -201,7 +233,7 @@ def _postings(width: int, num: int, den: int, classes, bits: int, max_salt_bits:
                     chosen = np.argsort(level, kind="stable")[:n]
                     keys.append(s[chosen])
                     ids.append(set_id)
-                    counts.append((n, len(s)))
+                    counts.append((n, len(s), int((level == 0).sum())))
                     salts.append((set_id & 0xFFFF) & ((1 << np.minimum(level[chosen], max_salt_bits).astype(np.int64)) - 1))
                     salted.append(level[chosen] > 0)
                 if len(seen) > 500_000:
@@ -211,8 +243,9 @@ def _postings(width: int, num: int, den: int, classes, bits: int, max_salt_bits:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(ids), posted[:, 0])),
                          pa.array(np.repeat(posted[:, 1], posted[:, 0]).astype(np.int32)),
+                         pa.array(np.repeat(posted[:, 2], posted[:, 0]).astype(np.int32)),
                          pa.array(np.concatenate(salts).astype(np.int32)), pa.array(np.concatenate(salted))],
-                        names=["key", "set_id", "n", "salt", "salted"])
+                        names=["key", "set_id", "n", "rare", "salt", "salted"])
 
     return run
 
@@ -254,7 +287,8 @@ def _search(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int,
                .select("query", F.expr("pmod(xxhash64(node), blocks)").cast("int").alias("block"), F.lit(1).alias("role"), "node"))
     heads = blocks.select("query", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.lit(0).alias("role"),
                           F.col("query").alias("node"))
-    rows = members.unionByName(heads).join(texts.withColumnRenamed("set_id", "node"), "node")
+    roles = _known_size(common.materialise(members.unionByName(heads), "roles"))
+    rows = texts.withColumnRenamed("set_id", "node").join(roles, "node")
     return (rows.select("query", "block", "role", "node", "text").repartition(n, "query", "block")
             .sortWithinPartitions("query", "block", "role").mapInArrow(_verify(width, num, den), "a long, b long"))
 
@@ -270,25 +304,35 @@ def _with_set_id(width: int):
     return run
 
 
+def _alike(num: int, den: int):
+    """Whether sizes and bitmaps of a query (qn, q...) and a node (sn, ...) allow the similarity."""
+    differ = sum((F.bit_count(F.col(f"q{b}").bitwiseXOR(F.col(b))) for b in _BITMAP), F.lit(0))
+    return ((F.col("sn") * den >= F.col("qn") * num) & (F.col("qn") * den >= F.col("sn") * num)
+            & (differ * (den + num) <= (F.col("sn") + F.col("qn")) * (den - num)))
+
+
+def _as_query(sets: DataFrame) -> DataFrame:
+    return sets.select(F.col("set_id").alias("query"), F.col("sn").alias("qn"), *[F.col(b).alias(f"q{b}") for b in _BITMAP],
+                       F.col("wide").alias("qwide"))
+
+
 def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (query, node) whose sizes and bitmaps allow the similarity."""
-    query = sets.select(F.col("set_id").alias("query"), F.col("sn").alias("qn"), *[F.col(b).alias(f"q{b}") for b in _BITMAP])
-    node = sets.withColumnRenamed("set_id", "node")
-    differ = sum((F.bit_count(F.col(f"q{b}").bitwiseXOR(F.col(b))) for b in _BITMAP), F.lit(0))
-    return (pairs.join(query, "query").join(node, "node")
-            .where((F.col("sn") * den >= F.col("qn") * num) & (F.col("qn") * den >= F.col("sn") * num)
-                   & (differ * (den + num) <= (F.col("sn") + F.col("qn")) * (den - num))).select("query", "node"))
+    met = pairs.join(_as_query(sets), "query").join(sets.withColumnRenamed("set_id", "node"), "node").where(_alike(num, den))
+    return (met.select("query", "node", (F.col("sn") + F.col("qn")).alias("size"), "qwide", "wide")
+            .mapInArrow(_wide_filter(num, den), "query long, node long"))
 
 
 def _texts(rows: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """One text (set_id, text) of each set in the pairs; their ids are broadcast only up to a checked number."""
+    """Texts (set_id, text) of the sets in the pairs, one document each; their ids are broadcast only up to a checked number."""
     wanted = pairs.select(F.col("node").alias("set_id")).unionByName(pairs.select(F.col("query").alias("set_id"))).distinct()
     wanted = common.materialise(wanted, "wanted")
     ids = members.join(wanted, "set_id").groupBy("set_id").agg(F.min("id").alias("id")).select("id")
     ids = _known_size(common.materialise(ids, "wanted-ids"))
-    chosen = (rows.join(ids, "id", "left_semi").unionByName(rows.where("id is null"))
-              .mapInArrow(_with_set_id(width), "set_id long, text string"))
-    return common.materialise(chosen.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "texts")
+    with_set = _with_set_id(width)
+    schema = "set_id long, text string"
+    unnamed = rows.where("id is null").mapInArrow(with_set, schema).join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"])
+    return common.materialise(rows.join(ids, "id", "left_semi").mapInArrow(with_set, schema).unionByName(unnamed), "texts")
 
 
 def _size_runs(lists: DataFrame, by: list[str], num: int, den: int) -> DataFrame:
@@ -320,14 +364,21 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     classes = spark.sparkContext.broadcast([bytes(r.classes) for r in sketch])
 
     postings = rows.mapInArrow(_postings(width, num, den, classes, sketch_bits, max_salt_bits),
-                               "key long, set_id long, n int, salt int, salted boolean")
+                               "key long, set_id long, n int, rare int, salt int, salted boolean")
     lists = common.materialise(
         _size_runs(postings, ["key", "salt"], num, den).where("set_id <> pivot or followed or salted")
-        .select("key", "set_id", "n", "salted", "pivot"), "lists")
-    # a long list has pivots for each salt; their first is the list's
-    tops = (lists.where("salted and set_id = pivot").select("key", "pivot", "n").distinct()
-            .withColumn("top", F.first("pivot").over(Window.partitionBy("key").orderBy("n", "pivot"))))
-    sets = common.materialise(base.where("kind = 0 and n > 0").select("set_id", F.col("n").alias("sn"), *_BITMAP)
+        .select("key", "set_id", "n", "rare", "salt", "salted", "pivot"), "lists")
+    # In long lists the pivot is the set with the fewest rare shingles, which is the least edited of a family of
+    # copies; each salt has its own, and the least of them all is the list's.
+    fewest = F.min(F.struct("rare", "set_id"))
+    hot = lists.where("salted").withColumn("_p", fewest.over(Window.partitionBy("key", "salt", "pivot")))
+    hot = hot.select("key", "set_id", "n", "salted", F.col("_p.set_id").alias("pivot"), F.col("_p.rare").alias("pivot_rare"))
+    lists = common.materialise(lists.where("not salted").select("key", "set_id", "n", "salted", "pivot", F.lit(0).alias("pivot_rare"))
+                               .unionByName(hot), "pivoted-lists")
+    heads = lists.where("salted").select("key", "pivot", F.col("pivot_rare").alias("rare")).distinct()
+    tops = (heads.withColumn("_t", F.min(F.struct("rare", "pivot")).over(Window.partitionBy("key")))
+            .select("key", "pivot", F.col("_t.pivot").alias("top")))
+    sets = common.materialise(base.where("kind = 0 and n > 0").select("set_id", F.col("n").alias("sn"), *_BITMAP, "wide")
                               .dropDuplicates(["set_id"]), "distinct-sets")
     pairs = (lists.where("set_id <> pivot").select(F.col("pivot").alias("query"), F.col("set_id").alias("node"))
              .unionByName(tops.where("pivot <> top").select(F.col("top").alias("query"), F.col("pivot").alias("node"))))
@@ -336,27 +387,34 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     roots = connected_components(edges)
 
     # whoever is not yet connected with its run's pivot is searched against the whole list
-    listed = (lists.select("key", "set_id", "n", "pivot").distinct()
-              .join(tops.select("key", "pivot", "top"), ["key", "pivot"], "left")
-              .withColumn("pivot", F.coalesce("top", "pivot")).drop("top"))
     of_set = roots.select(F.col("node").alias("set_id"), F.col("root").alias("set_root"))
     of_pivot = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-    listed = (listed.join(of_set, "set_id", "left").join(of_pivot, "pivot", "left")
-              .select("key", "set_id", "n", F.coalesce("set_root", "set_id").alias("root"),
-                      F.coalesce("pivot_root", "pivot").alias("pivot_root"))
-              .withColumn("apart", F.col("root") != F.col("pivot_root")).drop("pivot_root"))
-    # similar sets are in the same size class or in neighbouring ones
-    unit = math.log(den / num) * 1.001
-    listed = common.materialise(listed.withColumn("class", F.floor(F.log("n") / unit)), "listed")
-    apart = listed.where("apart").select("key", F.col("set_id").alias("query"), F.col("n").alias("qn"),
-                                         F.col("root").alias("query_root"),
-                                         F.explode(F.expr("array(class - 1, class, class + 1)")).alias("class"))
-    fits = (F.col("n") * den >= F.col("qn") * num) & (F.col("qn") * den >= F.col("n") * num)
-    later = (listed.join(apart, ["key", "class"])
-             .where((F.col("root") != F.col("query_root")) & fits & (~F.col("apart") | (F.col("query") < F.col("set_id"))))
-             .select("query", F.col("set_id").alias("node")).distinct())
+    unit = math.log(den / num) * 1.001  # similar sets are in the same size class or in neighbouring ones
+
+    def listed(rows: DataFrame, by: str) -> DataFrame:
+        rows = rows.join(of_set, "set_id", "left").join(of_pivot, "pivot", "left").select(
+            F.col(by).alias("by"), "set_id", "n", F.coalesce("set_root", "set_id").alias("root"),
+            F.coalesce("pivot_root", "pivot").alias("pivot_root"))
+        return common.materialise(rows.select("by", "set_id", "n", "root", (F.col("root") != F.col("pivot_root")).alias("apart"),
+                                              F.floor(F.log("n") / unit).alias("class")), "listed")
+
+    def against_all(listed: DataFrame, more) -> DataFrame:
+        apart = listed.where("apart").select("by", F.col("set_id").alias("query"), F.col("n").alias("qn"),
+                                             F.col("root").alias("query_root"),
+                                             F.explode(F.expr("array(class - 1, class, class + 1)")).alias("class"))
+        fits = (F.col("n") * den >= F.col("qn") * num) & (F.col("qn") * den >= F.col("n") * num)
+        other = (F.col("root") != F.col("query_root")) & (~F.col("apart") | (F.col("query") < F.col("set_id")))
+        return more(listed, apart, fits & other).select("query", F.col("set_id").alias("node")).distinct()
+
+    short = listed(lists.where("not salted").select("key", "set_id", "n", "pivot").distinct(), "key")
+    # the long lists of one pivot are one group: its sets meet once and not once per list
+    long = listed(lists.where("salted").join(tops, ["key", "pivot"]).select("set_id", "n", F.col("top").alias("pivot")).distinct(), "pivot")
+    bits = sets.drop("wide")
+    later = (against_all(short, lambda a, b, on: a.join(b, ["by", "class"]).where(on))
+             .unionByName(against_all(long, lambda a, b, on: a.join(bits, "set_id").join(
+                 b.join(_as_query(bits.withColumn("wide", F.lit(None))).drop("qn"), "query"), ["by", "class"]).where(on & _alike(num, den)))))
     known = pairs.unionByName(pairs.select(F.col("node").alias("query"), F.col("query").alias("node")))
-    later = common.materialise(_possible(later.join(known, ["query", "node"], "left_anti"), sets, num, den), "later")
+    later = common.materialise(_possible(later.distinct().join(known, ["query", "node"], "left_anti"), sets, num, den), "later")
     if not later.isEmpty():
         more = _search(later, _texts(rows, members, later, width), width, num, den, block_rows)
         links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))

@@ -54,7 +54,7 @@ def evaluate(captures: DataFrame, events: DataFrame, *, id_col: str = "page_id",
              day_col: str = "day") -> DataFrame:
     """One row per capture: id, host, day, n_active (entries active then), pattern (the most specific), valid_from, blocked."""
     intervals = common.materialise(validity(events), "intervals")
-    if intervals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if intervals.count() <= BROADCAST_ROWS:
         intervals = F.broadcast(intervals)
     rows = captures.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), host(F.col(url_col)).alias("host"),
                            F.col(day_col).alias("day"))
