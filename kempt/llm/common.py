@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,32 @@ def held_out(column: str, divisor: int, remainder: int):
     return F.coalesce(crc32_mod(column, divisor) == remainder, F.lit(False))
 
 
-def bounded_sample(df: DataFrame, key: str, limit: int, seed: str) -> DataFrame:
-    """At most ``limit`` rows with the smallest hashes of ``key``: a fixed sample, whatever the partitioning."""
-    return (df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key).cast("string")))
-            .orderBy("_h", key).limit(limit).drop("_h"))
+def bounded_sample(ids: DataFrame, key: str, limit: int, seed: str) -> DataFrame:
+    """At most ``limit`` rows with the smallest hashes of ``key``: the same sample, whatever the partitioning.
+
+    Rows far beyond the limit are dropped by their hash before the sort, so
+    the sort sees little more than ``limit`` rows of any table.
+    """
+    total = ids.count()
+    h = F.xxhash64(F.lit(seed), F.col(key).cast("string"))
+    share = min(1.0, 1.3 * limit / max(total, 1))
+    near = ids.withColumn("_h", h).where(F.pmod("_h", F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1))
+    return near.orderBy(F.pmod("_h", F.lit(1 << 30)), "_h", key).limit(limit).drop("_h")
+
+
+def fit_in_task(sample: DataFrame, function: Callable[[pa.Table], Any]) -> Any:
+    """``function`` over a bounded sample, run in one task; None where the sample is empty.
+
+    Keeps the sample's texts off the driver: only the fitted model comes back.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [b for b in batches if b.num_rows]
+        if rows:
+            yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(function(pa.Table.from_batches(rows)))]})
+
+    row = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(bytes(row[0])) if row else None
 
 
 def text_slices(batch: pa.RecordBatch, text: str = "text",

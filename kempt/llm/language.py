@@ -120,11 +120,15 @@ def pooled(model: dict, data: np.ndarray, offsets: np.ndarray, batch: int = 2048
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         max_rows: int = 3000, **options) -> dict | None:
     """Train on at most ``max_rows`` rows with text and language, chosen by a hash of the id."""
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     chosen = common.bounded_sample(rows.select(id_col), id_col, max_rows, "language")
-    sample = rows.join(F.broadcast(chosen), id_col, "left_semi").select(text_col, lang_col).limit(2 * max_rows).collect()
-    kept = sorted((r[0].encode(), r[1]) for r in sample if _LETTER.search(r[0]))
-    return train([t for t, _ in kept], [y for _, y in kept], **options) if kept else None
+    sample = rows.join(F.broadcast(chosen), id_col, "left_semi").dropDuplicates([id_col])
+
+    def learn(table: pa.Table) -> dict | None:
+        kept = sorted((t.encode(), y) for t, y in zip(*(c.to_pylist() for c in table.columns)) if _LETTER.search(t))
+        return train([t for t, _ in kept], [y for _, y in kept], **options) if kept else None
+
+    return common.fit_in_task(sample.select(text_col, lang_col), learn)
 
 
 def predict(docs: DataFrame, model: dict | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -64,7 +64,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_toxicity(spark: SparkSession, sf_dir: str) -> dict | None:
     """The toxicity model of a snapshot: labels of rows whose crc32 remainder is not 1."""
     labels = documents(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out("doc_id", 3, 1))
-    return toxicity.fit(documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.fit(documents(spark, sf_dir), labels)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
