@@ -152,8 +152,8 @@ def _pack(texts: list[bytes]):
     return read_words(np.frombuffer(b"".join(texts), np.uint8), offsets)
 
 
-def train(texts: list[bytes], toxic: list[int], negatives_per_row: float = 1.0, *, hidden: int = 8, dims: int = 8,
-          per_text: int = 10, epochs: int = 5, min_steps: int = 150, batch: int = 256, rate: float = 0.01, seed: int = 7) -> dict:
+def train(texts: list[bytes], toxic: list[int], negatives_per_row: float = 1.0, *, hidden: int = 12, dims: int = 12,
+          per_text: int = 10, epochs: int = 5, min_steps: int = 300, batch: int = 256, rate: float = 0.01, seed: int = 7) -> dict:
     """A model from labelled texts; each negative row stands for ``negatives_per_row`` of them in the calibration."""
     rng = np.random.default_rng(seed)
     p = {"word": 0.1 * rng.standard_normal((WORD_ROWS, dims)), "gram": 0.3 * rng.standard_normal((GRAM_ROWS, dims)),
