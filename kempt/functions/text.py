@@ -195,13 +195,23 @@ def collapse_spaces(c: str | Column, single_pass: bool = True) -> Column:
     return F.regexp_replace(c, " {2,}", " ")
 
 
+def _quoted(literal: str) -> str:
+    """A literal as a regular expression."""
+    return "".join(ch if ch.isalnum() or ch == " " else f"\\{ch}" for ch in literal)
+
+
+def _replacement(literal: str) -> str:
+    """A literal as a replacement string."""
+    return literal.replace("\\", "\\\\").replace("$", "\\$")
+
+
 def append_if_endswith(c: str | Column, suffix: str, addition: str) -> Column:
-    """``c || addition`` when ``c`` ends with ``suffix`` (case-sensitive), else ``c``."""
-    c = _col(c)
-    return F.when(c.endswith(suffix), F.concat(c, F.lit(addition))).otherwise(c)
+    """``c || addition`` when ``c`` ends with ``suffix`` (case-sensitive), else ``c``.
+
+    One evaluation of ``c``, so chains stay linear and inside generated code."""
+    return F.regexp_replace(_col(c), f"(?<={_quoted(suffix)})\\z", _replacement(addition))
 
 
 def replace_when_endswith(c: str | Column, suffix: str, search: str, replacement: str) -> Column:
-    """``replace(c, search, replacement)`` for values ending with ``suffix``."""
-    c = _col(c)
-    return F.when(c.endswith(suffix), F.replace(c, F.lit(search), F.lit(replacement))).otherwise(c)
+    """``replace(c, search, replacement)`` for values ending with ``suffix``, in one evaluation of ``c``."""
+    return F.regexp_replace(_col(c), f"(?=(?s:.*)(?<={_quoted(suffix)})\\z){_quoted(search)}", _replacement(replacement))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from kempt.functions import text
 from kempt.model import load_order
 from kempt.operators.broadcast import DEFAULT_MAX_ROWS, fits, fixed_row_bytes, measure, size_checked_broadcast
+from kempt.session import cut_lineage
 
 # ---------------------------------------------------------------------------
 # scalar metrics (aggregate expressions)
@@ -105,7 +106,9 @@ def text_hygiene(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _keys(keys: Sequence[str], case_insensitive: bool) -> list[Column]:
+def _keys(keys: Sequence[str], case_insensitive: bool, collation: str | None = None) -> list[Column]:
+    if collation:
+        return [F.collate(F.col(k), collation).alias(k) for k in keys]
     if not case_insensitive:
         return [F.col(k) for k in keys]
     # lower() rather than a UTF8_LCASE collated key: same groups for these
@@ -115,11 +118,14 @@ def _keys(keys: Sequence[str], case_insensitive: bool) -> list[Column]:
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str], *, case_insensitive: bool = False,
-                     count_col: str = "n_rows", extra: Mapping[str, Column] | None = None) -> DataFrame:
+                     collation: str | None = None, count_col: str = "n_rows",
+                     extra: Mapping[str, Column] | None = None) -> DataFrame:
     """Key groups holding more than one row.  NULL keys form one group, as in SQL GROUP BY.
+    ``case_insensitive`` compares lower-cased keys; ``collation`` (e.g. ``UTF8_LCASE``)
+    compares them by that collation instead, at the price of a sort-based aggregate.
     ``extra`` adds more aggregates per group (e.g. distinct spellings)."""
     aggs = [row_count().alias(count_col)] + [e.alias(n) for n, e in (extra or {}).items()]
-    return df.groupBy(*_keys(keys, case_insensitive)).agg(*aggs).where(F.col(count_col) > 1)
+    return df.groupBy(*_keys(keys, case_insensitive, collation)).agg(*aggs).where(F.col(count_col) > 1)
 
 
 def duplicate_summary(groups: DataFrame, count_col: str = "n_rows") -> DataFrame:
@@ -161,7 +167,7 @@ def duplicate_text_groups(df: DataFrame, column: str, *, broadcast_max_rows: int
     """
     h = F.xxhash64(F.col(column)).alias("_h")
     cand = (df.select(h).groupBy("_h").agg(row_count().alias("_n")).where(F.col("_n") > 1).select("_h"))
-    cand, _ = size_checked_broadcast(cand, broadcast_max_rows)
+    cand, _ = size_checked_broadcast(cut_lineage(cand), broadcast_max_rows)  # hashed once, then measured
     rows = df.select(F.col(column), h).join(cand, "_h", "left_semi")
     return rows.groupBy(column).agg(row_count().alias(count_col)).where(F.col(count_col) > 1)
 
@@ -238,7 +244,7 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional
             F.col(fk).alias("_fk"))
         return missing.agg(
             F.count(F.lit(1)).alias("orphan_rows"),
-            (F.count_distinct("_fk") + F.max(F.when(F.col("_fk").isNull(), 1).otherwise(0)))
+            (F.count_distinct("_fk") + F.coalesce(F.max(F.when(F.col("_fk").isNull(), 1).otherwise(0)), F.lit(0)))
             .cast("bigint").alias("orphan_keys"))
     per_key = child.groupBy(F.col(fk).alias("_fk")).agg(row_count().alias("_n"))
     missing = per_key.join(keys, F.col("_fk") == F.col("_pk"), "left").where(F.col("_pk").isNull())
@@ -246,12 +252,16 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str, optional
                        F.count(F.lit(1)).alias("orphan_keys"))
 
 
-def _parents_small(relations: Sequence[Relation], sizes: Sequence[int], max_rows: int) -> bool:
-    for r, n in zip(relations, sizes):
-        width = fixed_row_bytes(_parent_keys(r.parent, r.pk).schema)
-        if width is None or not fits(n, n * width, max_rows):
-            return False
-    return True
+def _fusable(relations: Sequence[Relation], sizes: Sequence[int], max_rows: int) -> list[int]:
+    """Positions of the relations whose parents fit into one pass *together*: smallest parents
+    first, as long as the sum of their rows and bytes stays within the broadcast bounds."""
+    chosen, rows, nbytes = [], 0, 0
+    for i in sorted(range(len(relations)), key=lambda i: sizes[i]):
+        width = fixed_row_bytes(_parent_keys(relations[i].parent, relations[i].pk).schema)
+        if width is not None and fits(rows + sizes[i], nbytes + sizes[i] * width, max_rows):
+            chosen.append(i)
+            rows, nbytes = rows + sizes[i], nbytes + sizes[i] * width
+    return sorted(chosen)
 
 
 def fused_child_checks(child: DataFrame, relations: Sequence[Relation],
@@ -261,10 +271,11 @@ def fused_child_checks(child: DataFrame, relations: Sequence[Relation],
     The child is left-joined to the *distinct* key set of every parent
     (broadcast: callers check the parents are small), so rows are neither
     multiplied nor shuffled, and one aggregate counts the misses of every
-    relation together with the extra metrics.  Output: ``(check_name, issue_count)``.
+    relation together with the extra metrics.  Output: ``(check_name, issue_count)``,
+    one row per relation and metric even where names repeat.
     """
     joined = child
-    metrics: dict[str, Column] = dict(extra or {})
+    metrics: list[tuple[str, Column]] = list((extra or {}).items())
     for i, r in enumerate(relations):
         keys = (_parent_keys(r.parent, r.pk).distinct()
                 .select(F.col("_pk").alias(f"_pk{i}"), F.lit(True).alias(f"_hit{i}")))
@@ -272,8 +283,29 @@ def fused_child_checks(child: DataFrame, relations: Sequence[Relation],
         miss = F.col(f"_hit{i}").isNull()
         if r.optional:
             miss = miss & child[r.fk].isNotNull()
-        metrics[r.name] = count_where(miss)
-    return to_long(joined.agg(*[e.alias(n) for n, e in metrics.items()]), "check_name", "issue_count")
+        metrics.append((r.name, count_where(miss)))
+    wide = joined.agg(*[e.alias(f"_m{i}") for i, (_, e) in enumerate(metrics)])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"_m{i}").alias("issue_count"))
+                                          for i, (n, _) in enumerate(metrics)])))
+
+
+def _relation_checks(child: DataFrame, relations: Sequence[Relation], sizes: Sequence[int], max_rows: int,
+                     extra: Mapping[str, Column] | None = None) -> list[DataFrame]:
+    """One pass for the extra metrics and every small parent, one plan each for the other relations."""
+    fused = _fusable(relations, sizes, max_rows)
+    parts = []
+    if len(fused) > 1 or (fused and extra):
+        parts.append(fused_child_checks(child, [relations[i] for i in fused], extra))
+    else:
+        fused = []
+        if extra:
+            parts.append(to_long(run_checks(child, extra), "check_name", "issue_count"))
+    for i, r in enumerate(relations):
+        if i not in fused:
+            parts.append(orphan_count(r.child, r.fk, r.parent, r.pk, r.optional, broadcast_max_rows=max_rows,
+                                      parent_key_rows=sizes[i])
+                         .select(F.lit(r.name).alias("check_name"), F.col("orphan_rows").alias("issue_count")))
+    return parts
 
 
 def _parent_sizes(relations: Sequence[Relation]) -> list[int]:
@@ -289,10 +321,10 @@ def integrity_report(relations: Sequence[Relation], *,
     """One ``(check_name, issue_count)`` row per relation, unioned.
 
     The size checks of all parents run as *one* job (a union of row counts,
-    collected as one row per relation).  A child whose parents are all proven
-    small is checked for every relation in a single pass
-    (``fused_child_checks``); otherwise each relation gets the plan its parent
-    size allows (see ``orphan_count``).
+    collected as one row per relation).  All relations of a child whose parents
+    are proven small together are checked in a single pass
+    (``fused_child_checks``); each other relation gets the plan its parent size
+    allows (see ``orphan_count``).
     """
     sizes = _parent_sizes(relations)
     by_child: dict[int, list[int]] = {}
@@ -301,14 +333,7 @@ def integrity_report(relations: Sequence[Relation], *,
     parts: list[DataFrame] = []
     for idx in by_child.values():
         rels = [relations[i] for i in idx]
-        if len(rels) > 1 and _parents_small(rels, [sizes[i] for i in idx], broadcast_max_rows):
-            parts.append(fused_child_checks(rels[0].child, rels))
-            continue
-        parts += [orphan_count(relations[i].child, relations[i].fk, relations[i].parent, relations[i].pk,
-                               relations[i].optional, broadcast_max_rows=broadcast_max_rows,
-                               parent_key_rows=sizes[i])
-                  .select(F.lit(relations[i].name).alias("check_name"), F.col("orphan_rows").alias("issue_count"))
-                  for i in idx]
+        parts += _relation_checks(rels[0].child, rels, [sizes[i] for i in idx], broadcast_max_rows)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -356,14 +381,7 @@ def spec_report(tables: Mapping[str, DataFrame], specs) -> DataFrame:
         nulls = {f"{name}.{c} is null": null_count(c) for c in spec.required_columns()}
         idx = [i for i, r in enumerate(relations) if r.child is df]
         rels = [relations[i] for i in idx]
-        if rels and _parents_small(rels, [sizes[i] for i in idx], DEFAULT_BROADCAST_MAX_ROWS):
-            parts.append(fused_child_checks(df, rels, nulls))        # one pass: NULLs + every FK
-        else:
-            if nulls:
-                parts.append(to_long(run_checks(df, nulls), "check_name", "issue_count"))
-            parts += [orphan_count(r.child, r.fk, r.parent, r.pk, r.optional, parent_key_rows=sizes[i])
-                      .select(F.lit(r.name).alias("check_name"), F.col("orphan_rows").alias("issue_count"))
-                      for i, r in zip(idx, rels)]
+        parts += _relation_checks(df, rels, [sizes[i] for i in idx], DEFAULT_BROADCAST_MAX_ROWS, nulls)
         for key in (spec.primary_key, *spec.unique):
             if key:
                 label = f"{name} duplicate ({', '.join(key)})"

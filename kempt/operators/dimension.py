@@ -183,6 +183,8 @@ def plan_dimension_merge(dim: DataFrame, id_col: str, name_col: str, *, placehol
     members = classify_members(dim, name_col, delim)
     fold = F.lower if case_insensitive else (lambda c: c)
     members = members.select("*", fold(F.col(_KEY)).alias("_match"), fold(F.col("_st")).alias("_full"))
+    # classified once; both minima and the mapping read the classified members
+    members = cut_lineage(members)
     # survivors of clean names: min id among clean and strippable members
     survivors = (members.where(F.col(_CLS).isin(CLEAN, STRIP))
                  .groupBy("_match").agg(F.min(id_col).alias(_KEEP)))
@@ -219,11 +221,12 @@ def add_member_once(dim: DataFrame, id_col: str, row: dict) -> DataFrame:
     """Insert a literal member unless its id already exists (INSERT ... placeholder).
 
     The existence test reads only rows with that id (pushed-down equality on the
-    primary key, so at most one row reaches the anti join, which is broadcast).
+    primary key) and keeps one of them, so the broadcast is one row even where
+    the id repeats.
     """
     spark = dim.sparkSession
     lit_row = spark.createDataFrame([tuple(row.get(c) for c in dim.columns)], dim.schema)
-    present = dim.where(F.col(id_col) == F.lit(row[id_col])).select(id_col)
+    present = dim.where(F.col(id_col) == F.lit(row[id_col])).select(id_col).limit(1)
     return dim.unionByName(lit_row.join(F.broadcast(present), id_col, "left_anti"))
 
 
@@ -233,7 +236,7 @@ def reassign_by_parent(child: DataFrame, fk: str, parent: DataFrame, pk: str, pr
     (``UPDATE child SET fk = v WHERE fk IN (SELECT pk FROM parent WHERE p)``)."""
     flagged = parent.where(predicate).select(F.col(pk).alias("source_id")).distinct()
     flagged = flagged.withColumn("target_id", F.lit(value))
-    flagged, _ = size_checked_broadcast(flagged, broadcast_max_rows)
+    flagged, _ = size_checked_broadcast(cut_lineage(flagged), broadcast_max_rows)
     return remap_foreign_key(child, fk, flagged)
 
 

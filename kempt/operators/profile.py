@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kempt.functions import text
-from kempt.operators.broadcast import bounded_by_rows
+from kempt.operators.broadcast import bounded_by_rows, size_checked_broadcast
 from kempt.operators.checks import count_where, row_count
+from kempt.session import cut_lineage
 
 
-def frequency(df: DataFrame, column: str | Column, count_col: str = "frequency") -> DataFrame:
-    """Value -> row count, most frequent first."""
-    return df.groupBy(column).agg(row_count().alias(count_col)).orderBy(F.desc(count_col))
+def frequency(df: DataFrame, column: str | Column, count_col: str = "frequency", *, ordered: bool = True) -> DataFrame:
+    """Value -> row count, most frequent first unless the caller needs no order (e.g. before a union)."""
+    counts = df.groupBy(column).agg(row_count().alias(count_col))
+    return counts.orderBy(F.desc(count_col)) if ordered else counts
 
 
 def group_sizes(df: DataFrame, key: Sequence[str], size_col: str = "group_size") -> DataFrame:
@@ -33,10 +35,10 @@ def cardinality_histogram(df: DataFrame, key: Sequence[str], size_col: str = "ch
             .agg(row_count().alias(count_col)).orderBy(size_col))
 
 
-def numeric_range(df: DataFrame, column: str) -> DataFrame:
-    """min / max / avg / non-NULL count of a numeric column."""
+def numeric_range(df: DataFrame, column: str, *, with_sum: bool = False) -> DataFrame:
+    """min / max / avg / non-NULL count of a numeric column, and its sum if asked for."""
     c = F.col(column)
-    return df.agg(F.min(c).alias("min_value"), F.max(c).alias("max_value"),
+    return df.agg(F.min(c).alias("min_value"), F.max(c).alias("max_value"), *([F.sum(c).alias("sum_value")] if with_sum else []),
                   F.avg(c).alias("avg_value"), F.count(c).alias("non_null_rows"))
 
 
@@ -45,11 +47,11 @@ def first_artifact_discovery(df: DataFrame, column: str, width: int = 3, *,
     """Code points at the first non-printable-ASCII position of each affected row,
     grouped: ``char1..charN, example, affected_rows``.
 
-    The example is the smallest value of the group (``MIN(text)``), which makes
-    Spark plan a sort-based aggregate: string buffers cannot live in the hash
-    aggregation map.  With ``example_key`` the example is the smallest key of
-    the group instead (``example_key`` column), which keeps the aggregate
-    hash-based -- the cheaper choice for long texts at scale.
+    With ``example_key`` the example is the smallest key of the group
+    (``example_<key>`` column), which keeps the aggregate hash-based;
+    ``first_artifact_examples`` fetches the texts of those few keys.  Without
+    it the example is the smallest value (``MIN(text)``): Spark then plans a
+    sort-based aggregate over whole texts, so keep that for short columns.
     """
     pos = text.first_non_ascii_pos(column)
     chars = [text.code_point_at(column, pos + i).alias(f"char{i + 1}") for i in range(width)]
@@ -60,6 +62,15 @@ def first_artifact_discovery(df: DataFrame, column: str, width: int = 3, *,
             .agg(example, row_count().alias("affected_rows")))
 
 
+def first_artifact_examples(df: DataFrame, column: str, key: str, width: int = 3) -> DataFrame:
+    """``first_artifact_discovery`` with the text of each group's smallest key as ``example``."""
+    groups = cut_lineage(first_artifact_discovery(df, column, width, example_key=key))
+    side, _ = size_checked_broadcast(groups)
+    texts = df.select(F.col(key).alias(f"example_{key}"), F.col(column).alias("example"))
+    return (texts.join(side, f"example_{key}").dropDuplicates([f"char{i + 1}" for i in range(width)])
+            .select(*[f"char{i + 1}" for i in range(width)], "example", "affected_rows"))
+
+
 def all_artifact_runs(df: DataFrame, column: str, id_col: str) -> DataFrame:
     """Every maximal non-ASCII run in every row (not only the first one):
     ``artifact, char1, occurrences, affected_rows``."""
@@ -147,8 +158,8 @@ def top_n_with_parent(child: DataFrame, fk: str, parent: DataFrame, pk: str, ord
     the exact top ``n`` of the join.
     """
     ordered = [F.col(c) for c in order]
-    head = child.orderBy(*ordered).limit(n)
-    joined = bounded_by_rows(head, n).join(parent, F.col(fk) == parent[pk])
+    head = cut_lineage(child.orderBy(*ordered).limit(n))
+    joined = cut_lineage(bounded_by_rows(head, n).join(parent, F.col(fk) == parent[pk]))  # n rows where keys are unique
     if joined.count() == n:
         return joined.drop(pk) if pk != fk else joined
     full = child.join(parent, child[fk] == parent[pk]).orderBy(*ordered).limit(n)

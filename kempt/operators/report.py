@@ -50,8 +50,8 @@ def validate(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def assert_valid(report: DataFrame) -> None:
-    """Fail loudly (raise) when any check failed; only failing rows are collected."""
-    failed = report.where(F.col("status") == FAIL).limit(50).collect()
+    """Fail loudly (raise) when any check failed; all failing rows are named (at most one per declared check)."""
+    failed = report.where(F.col("status") == FAIL).orderBy("check_name").collect()
     if failed:
         raise AssertionError("validation failed: " + "; ".join(
             f"{r['check_name']} actual={r['actual']} expected={r['expected']}" for r in failed))
@@ -62,15 +62,20 @@ def diff_snapshots(before: DataFrame, after: DataFrame, key: Sequence[str]) -> D
 
     Output: key columns, ``change`` in {added, removed, changed, same} and the
     names of the changed columns.  Both sides are shuffled once on the key (a
-    single full outer join); values are compared exactly, NULL-safe.
+    single full outer join); keys and values are compared exactly, NULL-safe.
+    A column that only one side has is NULL on the other, so an added or
+    dropped column shows as changed wherever it holds a value.
     """
-    value_cols = [c for c in before.columns if c not in key]
-    b = before.select(*key, *[F.col(c).alias(f"_b_{c}") for c in value_cols], F.lit(True).alias("_in_b"))
-    a = after.select(*key, *[F.col(c).alias(f"_a_{c}") for c in value_cols if c in after.columns],
-                     F.lit(True).alias("_in_a"))
-    j = b.join(a, list(key), "full_outer")
-    diffs = [F.when(~F.col(f"_b_{c}").eqNullSafe(F.col(f"_a_{c}")), F.lit(c))
-             for c in value_cols if c in after.columns]
+    value_cols = [c for c in dict.fromkeys([*before.columns, *after.columns]) if c not in key]
+
+    def side(df: DataFrame, p: str) -> DataFrame:
+        values = [(F.col(c) if c in df.columns else F.lit(None)).alias(f"{p}v_{c}") for c in value_cols]
+        return df.select(*[F.col(c).alias(f"{p}k_{c}") for c in key], *values, F.lit(True).alias(f"{p}in"))
+
+    on = [F.col(f"_bk_{c}").eqNullSafe(F.col(f"_ak_{c}")) for c in key]
+    j = side(before, "_b").join(side(after, "_a"), on, "full_outer").withColumnsRenamed({"_bin": "_in_b", "_ain": "_in_a"})
+    j = j.select("*", *[F.coalesce(F.col(f"_bk_{c}"), F.col(f"_ak_{c}")).alias(c) for c in key])
+    diffs = [F.when(~F.col(f"_bv_{c}").eqNullSafe(F.col(f"_av_{c}")), F.lit(c)) for c in value_cols]
     changed = F.array_compact(F.array(*diffs)) if diffs else F.array().cast("array<string>")
     change = (F.when(F.col("_in_b").isNull(), F.lit("added"))
               .when(F.col("_in_a").isNull(), F.lit("removed"))

@@ -105,7 +105,8 @@ def apply_keyed_replacements(df: DataFrame, key: str, column: str, rule_table: D
 
     Rules are grouped per key into an ordered array and folded over the value
     with the ``aggregate`` higher-order function, so a key can carry several
-    ordered corrections.  The per-key rule table is broadcast when its checked
+    ordered corrections.  The rule table is authored by hand, so one key's
+    array holds the few corrections someone wrote for it.  The per-key rule table is broadcast when its checked
     row count is under the bound (the data side is then never shuffled);
     otherwise it is a shuffle join, where AQE splits a hot key.
     """

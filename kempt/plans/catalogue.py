@@ -18,7 +18,7 @@ from kempt.functions import casts, text
 from kempt.model import STAR_SCHEMA, TableSpec
 from kempt.operators import broadcast, checks, dimension, profile, report, rules
 from kempt.plans.views import TABLES, table, view
-from kempt.session import scratch_path
+from kempt.session import cut_lineage, scratch_path
 from kempt.sources import delimited, snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +52,13 @@ SUPPLIER_KEYED_FIXES = (
     (30, 1, "pharmaceuticls", "Pharmaceuticals"),
 )
 
-# Container format labels by NULL pattern of (size, price).
+# Names with a sharp s where beta was meant (key, order, search, replacement).
+PART_BETA_FIXES = ((7, 1, *text.SHARP_S_TO_BETA), (8, 1, *text.SHARP_S_TO_BETA))
+
+# Special characters looked for in names, each in its own count.
+SPECIAL_CHARACTERS = (("comma", ","), ("parenthesis", "("), ("double_dash", "--"), ("slash", "/"))
+
+# Container format labels by NULL pattern of (size, price); reports are compared by these names.
 FORMAT_LABELS = ("Format B — unit-priced", "Format Mixed — both populated",
                  "Format Placeholder — no pricing", "Empty — both NULL")
 
@@ -90,10 +96,11 @@ def _t(spark, sf, name):
 def supplier_repair_rules() -> list[rules.Rule]:
     """Ordered name repairs: double spaces, edge spaces, missing period, suffix case."""
     return [
-        rules.Rule("collapse_double_space", "nm", text.collapse_spaces, lambda c: c.contains("  ")),
-        rules.Rule("trim_edges", "nm", F.trim, text.has_edge_whitespace),
-        rules.Rule("append_period", "nm", lambda c: F.concat(c, F.lit(".")), lambda c: c.endswith("Ltd")),
-        rules.replace_rule("suffix_case", "nm", "ltd.", "Ltd.", lambda c: c.endswith("ltd.")),
+        # each repair implies its own condition, so every rule reads its input once
+        rules.Rule("collapse_double_space", "nm", text.collapse_spaces),
+        rules.Rule("trim_edges", "nm", F.trim),
+        rules.Rule("append_period", "nm", lambda c: text.append_if_endswith(c, "Ltd", ".")),
+        rules.Rule("suffix_case", "nm", lambda c: text.replace_when_endswith(c, "ltd.", "ltd.", "Ltd.")),
     ]
 
 
@@ -161,7 +168,7 @@ def q06_non_ascii_rows(spark, sf):
 
 def q07_code_point_discovery_first(spark, sf):
     """Code points at the first artifact, grouped, with example and count (QC8, AG7, AG11)."""
-    return profile.first_artifact_discovery(_v(spark, sf, "dirty_docs"), "text", width=3)
+    return profile.first_artifact_examples(_v(spark, sf, "dirty_docs"), "text", "doc_id", width=3)
 
 
 def q08_code_point_discovery_all(spark, sf):
@@ -359,8 +366,8 @@ def q32_cardinality_histogram(spark, sf):
 
 def q33_frequency_table(spark, sf):
     """Value frequencies, most frequent first (QC24, AG4)."""
-    docs = profile.frequency(_t(spark, sf, "documents"), F.col("source").alias("value"))
-    evts = profile.frequency(_t(spark, sf, "events"), F.col("event_type").alias("value"))
+    docs = profile.frequency(_t(spark, sf, "documents"), F.col("source").alias("value"), ordered=False)
+    evts = profile.frequency(_t(spark, sf, "events"), F.col("event_type").alias("value"), ordered=False)
     return (docs.select(F.lit("documents.source").alias("column_name"), "value", "frequency")
             .unionByName(evts.select(F.lit("events.event_type").alias("column_name"), "value", "frequency")))
 
@@ -410,16 +417,14 @@ def q38_distinct_coverage(spark, sf):
 def q39_numeric_range(spark, sf):
     """Min / max / sum / avg of a decimal column (QC18, AG9)."""
     li = _t(spark, sf, "lineitem").select(F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
-    return li.agg(F.min("price").alias("min_value"), F.max("price").alias("max_value"),
-                  F.sum("price").alias("sum_value"),
-                  F.round(F.avg("price").cast("double"), 4).alias("avg_value"),
-                  F.count("price").alias("non_null_rows"))
+    return (profile.numeric_range(li, "price", with_sum=True)
+            .withColumn("avg_value", F.round(F.col("avg_value").cast("double"), 4)))
 
 
 def q40_max_row_with_context(spark, sf):
     """Rows at the column maximum joined to their parents (QC19, FLT19, JN2)."""
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    top, _ = broadcast.size_checked_broadcast(profile.rows_at_max(li, "l_extendedprice"))
+    top, _ = broadcast.size_checked_broadcast(cut_lineage(profile.rows_at_max(li, "l_extendedprice")))
     orders = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     part = _t(spark, sf, "part").select("p_partkey", "p_name")
     j = top.join(orders, top["l_orderkey"] == orders["o_orderkey"])
@@ -518,12 +523,12 @@ def _staged_orders(spark, sf, lenient=True):
 
 
 def q49_lenient_integer_load(spark, sf):
-    """Text ids to BIGINT via DOUBLE; NULL on junk (SRC2, SNK2, SNK4)."""
+    """Text ids to BIGINT, exact beyond 2^53; NULL on junk (SRC2, SNK2, SNK4)."""
     return _staged_orders(spark, sf).select("o_orderkey", "o_custkey")
 
 
 def q50_lenient_decimal_load(spark, sf):
-    """Text prices to DECIMAL(10,2) via DOUBLE; NULL on junk (SRC3)."""
+    """Text prices to DECIMAL(10,2); NULL on junk (SRC3)."""
     return _staged_orders(spark, sf).select("o_orderkey", "o_totalprice")
 
 
@@ -540,6 +545,7 @@ def q52_csv_round_trip(spark, sf):
     """Ordered CSV export to the shared folder and typed read-back (SRC1, SNK1, SNK5)."""
     spec = STAR_SCHEMA["supplier"]
     src = _t(spark, sf, "supplier").select(*spec.columns)
+    src = src.withColumn("s_suppkey", F.col("s_suppkey") + F.lit(9007199254740993))  # keys no double holds
     path = scratch_path(spark, "supplier-csv")
     snapshot.export_csv(src, path, spec.primary_key, integer_columns=("s_suppkey", "s_nationkey"))
     return delimited.read_delimited(spark, path, spec.schema)
@@ -621,6 +627,61 @@ def q61_code_point_discovery_by_key(spark, sf):
     sort of whole texts (QC8 at scale)."""
     return profile.first_artifact_discovery(_v(spark, sf, "dirty_docs"), "text", width=3, example_key="doc_id")
 
+
+
+def q62_orphans_of_clean_relation(spark, sf):
+    """A relation without orphans, on both sides of the broadcast bound: 0 rows and 0 keys each (QC20, QC21, QC34)."""
+    li, part = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
+    broadcasted = checks.orphan_count(li, "l_partkey", part, "p_partkey")
+    shuffled = checks.orphan_count(li, "l_partkey", part, "p_partkey", broadcast_max_rows=0)
+    return (broadcasted.select(F.lit("broadcast").alias("plan"), "*")
+            .unionByName(shuffled.select(F.lit("shuffle").alias("plan"), "*")))
+
+
+def q63_diff_with_schema_drift(spark, sf):
+    """Diff of two snapshots where a column was added, one dropped, and a key is NULL (QC37)."""
+    sup = _t(spark, sf, "supplier")
+    key = F.when(F.col("s_suppkey") != 3, F.col("s_suppkey")).alias("id")
+    before = sup.select(key, "s_name", F.when(F.col("s_suppkey") % 5 == 0, F.lit("old")).alias("legacy"))
+    after = sup.where(F.col("s_suppkey") != 4).select(key, "s_name", F.when(F.col("s_suppkey") % 7 == 0, F.lit("new")).alias("tag"))
+    return report.diff_snapshots(before, after, ["id"])
+
+
+def q64_strict_integer_load(spark, sf):
+    """Strict cast of clean id text, exact beyond 2^53; bad text would raise (SRC1, SC11)."""
+    raw = _t(spark, sf, "orders").select("o_orderkey", F.concat(
+        (F.col("o_custkey") + F.lit(9007199254740993)).cast("string"), F.when(F.col("o_orderkey") % 2 == 0, F.lit(".0")).otherwise(
+            F.lit(""))).alias("raw"))
+    return raw.select("o_orderkey", casts.strict_int("raw", "bigint").alias("o_custkey"))
+
+
+def q65_special_characters(spark, sf):
+    """Rows holding a comma, parenthesis, double dash or slash (QC12)."""
+    nm = F.concat("nm", F.when(F.col("id") % 5 == 0, F.lit(" (Pvt)")).when(F.col("id") % 5 == 1, F.lit(" -- x"))
+                  .when(F.col("id") % 5 == 2, F.lit(" a/b")).otherwise(F.lit("")))
+    return checks.run_checks(_v(spark, sf, "dirty_part").select(nm.alias("nm")),
+                             {label: checks.contains_count("nm", needle) for label, needle in SPECIAL_CHARACTERS})
+
+
+def q66_full_dimension_pipeline(spark, sf):
+    """Strip, merge, split and encode one dimension, then the keyed beta repair (FX14, FX18, FX20, FX21)."""
+    part = _v(spark, sf, "dirty_part")
+    part = part.select("id", F.when(F.col("id").isin(7, 8), F.concat("nm", F.lit(" ß-blocker")))
+                       .when(F.col("id") % 40 == 9, F.concat("nm", F.lit(" Doctorâ€™s"))).otherwise(F.col("nm")).alias("nm"))
+    merged = dimension.plan_dimension_merge(part, "id", "nm", placeholder=PART_PLACEHOLDER).dimension()
+    encoded = rules.apply_rules(merged, [rules.Rule("encode", "nm", text.repair_mojibake)])
+    fixes = spark.createDataFrame(list(PART_BETA_FIXES), "id long, seq int, search string, replacement string")
+    return rules.apply_keyed_replacements(encoded, "id", "nm", fixes)
+
+
+def q67_case_insensitive_collation(spark, sf):
+    """Names equal under the case-insensitive collation, with their distinct spellings (FLT16)."""
+    pv = _v(spark, sf, "part_variants")
+    groups = checks.duplicate_groups(pv.select(F.col("nm").alias("name_key"), "nm"), ["name_key"], collation="UTF8_LCASE",
+                                     extra={"n_spellings": F.count_distinct("nm")})
+    return groups.select(F.lower(F.collate("name_key", "UTF8_BINARY")).alias("name_key"), "n_rows", "n_spellings")
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

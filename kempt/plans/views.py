@@ -9,8 +9,6 @@ both engines start from identical inputs.  Only portable SQL is used here
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 from kempt.session import ensure_parallelism
@@ -45,7 +43,7 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("doc_id", "doc_id"),
         ("text", "CASE doc_id % 6 "
                  "WHEN 0 THEN replace(replace(text, 'é', 'Ã©'), 'ö', 'Ã¶') || ' Doctorâ€™s note' "
-                 "WHEN 1 THEN replace(replace(text, 'é', 'Ã©'), 'ö', 'Ã¶') || ' costÂ free' "
+                 "WHEN 1 THEN replace(replace(text, 'é', 'Ã©'), 'ö', 'Ã¶') || ' costÂfree' "
                  "WHEN 2 THEN replace(replace(text, 'é', 'Ã©'), 'ö', 'Ã¶') || ' 5Â+Â10' "
                  "WHEN 3 THEN replace(replace(text, 'é', 'Ã©'), 'ö', 'Ã¶') || ' Î²-blocker' "
                  "ELSE replace(replace(text, 'é', 'Ã©'), 'ö', 'Ã¶') END"),
@@ -62,11 +60,13 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     # staging text: ids and prices as they arrive in a loosely typed snapshot
     "raw_orders_text": ("orders", [
         ("o_orderkey", "o_orderkey"),
-        ("o_custkey", "CASE o_orderkey % 10 WHEN 0 THEN CAST(o_custkey AS STRING) || '.0' "
+        ("o_custkey", "CASE o_orderkey % 16 WHEN 0 THEN CAST(o_custkey AS STRING) || '.0' "
                       "WHEN 1 THEN '' WHEN 2 THEN 'abc' WHEN 3 THEN NULL "
-                      "WHEN 4 THEN CAST(o_custkey AS STRING) || '.7' ELSE CAST(o_custkey AS STRING) END"),
+                      "WHEN 4 THEN CAST(o_custkey AS STRING) || '.7' WHEN 5 THEN '9007199254740993' "
+                      "WHEN 6 THEN '12d' WHEN 7 THEN '3f' WHEN 8 THEN 'NaN' WHEN 9 THEN '1e3' "
+                      "WHEN 10 THEN '99999999999999999999' ELSE CAST(o_custkey AS STRING) END"),
         ("o_totalprice", "CASE o_orderkey % 9 WHEN 0 THEN '' WHEN 1 THEN 'n/a' WHEN 2 THEN '1e9' "
-                         "WHEN 3 THEN NULL ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING) END"),
+                         "WHEN 3 THEN NULL WHEN 4 THEN '3f' ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING) END"),
     ]),
     "containers": ("part", [
         ("container_id", "p_partkey"),
@@ -89,37 +89,22 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-
-# Logical DataFrames of snapshot tables, per live session (see ``table``).
-_LOADED: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-# Tables whose rows carry whole texts (regex / replace work per row) and their keys.
-TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
+# Views whose consumers run regex and replace chains over whole texts.
+SPREAD = ("dirty_docs",)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The snapshot table as a DataFrame.
-
-    Snapshots are immutable (written once, never overwritten), so the logical
-    DataFrame for a path is built once per session and reused: file listing
-    and footer-based schema inference are not repeated for every query.  No
-    data is cached.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    loaded = _LOADED.setdefault(spark, {})
-    df = loaded.get(path)
-    if df is None:
-        df = spark.read.parquet(path)
-        if name in TEXT_TABLES:
-            df = ensure_parallelism(df, TEXT_TABLES[name])
-        loaded[path] = df
-    return df
+    """The snapshot table as a DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A dirty view: its source table through the shared projection."""
     source, cols = VIEWS[name]
-    return table(spark, sf_dir, source).selectExpr(*[f"{expr} AS {alias}" for alias, expr in cols])
+    rows = table(spark, sf_dir, source)
+    if name in SPREAD:
+        rows = ensure_parallelism(rows)
+    return rows.selectExpr(*[f"{expr} AS {alias}" for alias, expr in cols])
 
 
 def view_sql(name: str) -> str:

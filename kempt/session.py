@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,6 +20,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.driver.memory", driver_memory))
     for k, v in (extra_conf or {}).items():
         builder = builder.config(k, v)
@@ -36,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- Spark Connect: the server owns the checkpoint folder
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect: the server owns the checkpoint folder
         if configured:
             return configured.rstrip("/")
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors") from None
@@ -65,21 +67,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def ensure_parallelism(df: DataFrame, key: str | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread an under-partitioned input before CPU-heavy per-row work.
 
     A source with fewer partitions than the cluster's default parallelism (a
     single large row group, a few big files) would leave most cores idle
-    during regex and replace work on whole texts.  Only then are its rows
-    hash-partitioned on ``key`` (or round-robin) across the default
-    parallelism; inputs that already have enough splits -- any real 100 TB
-    table -- pass through untouched, with no shuffle added.
+    during regex and replace work on whole texts.  Only then are its rows dealt
+    round-robin across the default parallelism; inputs that already have enough
+    splits -- any real 100 TB table -- pass through untouched, with no shuffle
+    added.  The rows are the same either way.
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- e.g. Spark Connect: no RDD view; leave partitioning alone
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect has no RDD view
         return df
-    if have >= want:
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)
+    return df if have >= want else df.repartition(want)

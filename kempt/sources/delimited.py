@@ -30,10 +30,12 @@ CSV_OPTIONS = {
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, mode: str = "FAILFAST",
-                   options: Mapping[str, str] | None = None) -> DataFrame:
+                   multi_line: bool = False, options: Mapping[str, str] | None = None) -> DataFrame:
     """Typed CSV scan.  ``FAILFAST`` raises on a malformed record (strict load);
-    ``PERMISSIVE`` turns unparsable fields into NULL."""
-    opts = dict(CSV_OPTIONS, mode=mode, **(options or {}))
+    ``PERMISSIVE`` turns unparsable fields into NULL.  ``multi_line`` reads quoted
+    line breaks, which makes each file one unsplittable task: prefer Parquet
+    snapshots for large text columns."""
+    opts = {**CSV_OPTIONS, "mode": mode, "multiLine": str(multi_line).lower(), **(options or {})}
     return spark.read.schema(schema).options(**opts).csv(path)
 
 
@@ -41,8 +43,8 @@ def read_staged(spark: SparkSession, path: str, spec: TableSpec, text_columns: M
                 *, lenient: bool = True) -> DataFrame:
     """Read with the listed columns as text, then cast each to its declared type.
 
-    ``text_columns`` maps column -> cast kind: ``"int"`` (via DOUBLE, so
-    ``'299.0'`` -> 299) or ``"decimal"`` (via DOUBLE to the declared decimal).
+    ``text_columns`` maps column -> cast kind: ``"int"`` (``'299.0'`` -> 299)
+    or ``"decimal"`` (the declared decimal).
     Lenient casts give NULL on bad text; strict ones raise.
     """
     raw = read_delimited(spark, path, spec.staging_schema(text_columns), mode="FAILFAST")
@@ -65,8 +67,7 @@ def type_staged(raw: DataFrame, spec: TableSpec, text_columns: Mapping[str, str]
             dt = field.dataType
             if not isinstance(dt, T.DecimalType):
                 raise TypeError(f"{field.name}: decimal staging needs a DecimalType column")
-            e = casts.lenient_decimal(c, dt.precision, dt.scale) if lenient else \
-                c.cast("double").cast(dt)
+            e = casts.lenient_decimal(c, dt.precision, dt.scale) if lenient else F.trim(c).cast(dt)
             exprs.append(e.alias(field.name))
         else:
             raise ValueError(f"unknown cast kind {kind!r}")

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kempt.functions import casts
 from kempt.model import TableSpec, load_order
@@ -53,7 +55,9 @@ def read_snapshot(spark: SparkSession, root: str, names: Sequence[str] | None =
     """Tables of a *complete* snapshot (its manifest exists); all of them when ``names`` is None."""
     try:
         listed = [r["table_name"] for r in spark.read.parquet(f"{root}/{MANIFEST}").collect()]
-    except Exception as e:  # noqa: BLE001
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         raise FileNotFoundError(f"{root} has no manifest: the snapshot is incomplete or not a snapshot") from e
     wanted = list(names) if names is not None else listed
     missing = [n for n in wanted if n not in listed]
@@ -63,10 +67,20 @@ def read_snapshot(spark: SparkSession, root: str, names: Sequence[str] | None =
 
 
 def normalise_integers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nullable-integer normalisation before export: ``'299.0'``/299.0 -> 299, junk -> NULL."""
+    """Nullable-integer normalisation before export: ``'299.0'``/299.0 -> 299, junk -> NULL.
+
+    Integral columns stay as they are; decimals and doubles are truncated."""
     cols = set(columns)
-    return df.select(*[casts.nullable_long(F.col(c)).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+
+    def whole(c: str) -> Column:
+        kind = df.schema[c].dataType
+        if isinstance(kind, T.IntegralType):
+            return F.col(c)
+        if isinstance(kind, (T.DecimalType, T.FractionalType)):
+            return F.col(c).try_cast("bigint").alias(c)
+        return casts.nullable_long(F.col(c)).alias(c)
+
+    return df.select(*[whole(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def export_csv(df: DataFrame, path: str, key: Sequence[str], integer_columns: Sequence[str] = ()) -> int:

@@ -20,6 +20,8 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kempt-ckpt-"))
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from kempt.session import shared_dir

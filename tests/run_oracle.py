@@ -13,7 +13,7 @@ import __spark_entry__ as entry  # noqa: E402
 from kempt.session import local_session  # noqa: E402
 
 sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-names = sys.argv[1:] or sorted(entry.queries())
+names = sys.argv[1:] or sorted(entry.oracle_sql())
 spark = local_session(8)
 spark.sparkContext.setLogLevel("ERROR")
 con = duck(sf)

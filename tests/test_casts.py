@@ -9,6 +9,21 @@ def col_values(spark, values, expr):
     return [r["r"] for r in df.select(expr(F.col("v")).alias("r")).collect()]
 
 
+def test_long_keys_are_exact(spark):
+    values = ["9007199254740993", "-9223372036854775808", "9007199254740993.9", " 7 ", "99999999999999999999"]
+    expected = [9007199254740993, -9223372036854775808, 9007199254740993, 7, None]
+    assert col_values(spark, values, lambda c: casts.lenient_int(c, "bigint")) == expected
+    assert col_values(spark, values[:4], lambda c: casts.strict_int(c, "bigint")) == expected[:4]
+    assert col_values(spark, values, casts.nullable_long) == expected
+
+
+def test_only_decimal_numbers_are_numbers(spark):
+    values = ["12d", "3f", "NaN", "Infinity", "0x10", "1_000", ".", "+", "1e", "--1"]
+    assert col_values(spark, values, lambda c: casts.lenient_int(c, "bigint")) == [None] * len(values)
+    assert col_values(spark, values, casts.lenient_decimal) == [None] * len(values)
+    assert col_values(spark, ["1e3", ".5", "5.", "+4", "-2.9"], casts.lenient_int) == [1000, 0, 5, 4, -2]
+
+
 def test_lenient_int_through_double(spark):
     got = col_values(spark, ["299.0", "2.7", "", "abc", None, "12"], casts.lenient_int)
     assert got == [299, 2, None, None, None, 12]
