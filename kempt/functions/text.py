@@ -1,7 +1,7 @@
 """Column builders for text inspection and repair.
 
 Every function takes and returns a ``Column`` built from Spark SQL expressions,
-so it stays inside whole-stage codegen and can be used in ``select``,
+so it stays an expression of built-in functions and can be used in ``select``,
 ``where``, ``groupBy`` or ``agg`` alike.  Nothing here collects data.
 """
 

@@ -1,10 +1 @@
-"""Streaming.
-
-The reference is batch-only: it has no streams, watermarks, windows or state.
-Nothing here adds such operators.  What carries over unchanged is that every
-*stateless* piece of the library -- the column builders in
-``kempt.functions`` and ``operators.rules.apply_rules`` -- is a pure
-projection, so it accepts a streaming DataFrame exactly as it accepts a batch
-one (``spark.readStream...`` -> ``apply_rules`` -> ``writeStream``).  The
-aggregating checks and the dimension merge need the whole table and stay batch.
-"""
+"""No operators: the reference is batch-only (see README)."""

@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import __spark_entry__ as entry  # noqa: E402
+from kempt.plans.catalogue import QUERIES as CORE  # noqa: E402
 from kempt.session import local_session  # noqa: E402
 
 PATTERNS = {
@@ -44,7 +44,7 @@ def main() -> None:
     cols = ["scans"] + list(PATTERNS)
     print("| query | " + " | ".join(cols) + " |")
     print("|---" * (len(cols) + 1) + "|")
-    for name, build in sorted(entry.queries().items()):
+    for name, build in sorted(CORE.items()):
         plan = build(spark, sf)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |", flush=True)
