@@ -147,9 +147,43 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
-def _pack(texts: list[bytes]):
-    offsets = np.cumsum([0] + [len(t) for t in texts])
-    return read_words(np.frombuffer(b"".join(texts), np.uint8), offsets)
+def _training_windows(texts: list[bytes], chosen: np.ndarray, per_text: int, rng: np.random.Generator):
+    """At most ``per_text`` random windows of each chosen text, read slice by slice.
+
+    Returns (windows as word numbers, row of each), and the words' buckets,
+    trigrams and first trigrams.
+    """
+    windows, rows, buckets, grams, begins = [], [], [], [], []
+    n_words = n_grams = 0
+    for low, high in _slices(texts):
+        number, bucket, gram, begin, first = _read(texts[low:high])
+        index, row = window_index(first)
+        order = np.lexsort((rng.random(len(row)), row))
+        rank = np.arange(len(row)) - np.searchsorted(row[order], row[order])
+        use = np.sort(order[(rank < per_text) & chosen[low:high][row[order]]])
+        own = index[use]
+        windows.append(np.where(own >= 0, number[own] + n_words, -1).astype(np.int32))
+        rows.append(row[use] + low)
+        buckets.append(bucket)
+        grams.append(gram)
+        begins.append(begin + n_grams)
+        n_words, n_grams = n_words + len(bucket), n_grams + len(gram)
+    return tuple(np.concatenate(x) for x in (windows, rows, buckets, grams, begins))
+
+
+def _slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    low, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > common.SLICE_BYTES:
+            yield low, i + 1
+            low, size = i + 1, 0
+    if low < len(texts):
+        yield low, len(texts)
+
+
+def _read(texts: list[bytes]):
+    return read_words(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts]))
 
 
 def train(texts: list[bytes], toxic: list[int], negatives_per_row: float = 1.0, *, hidden: int = 12, dims: int = 12,
@@ -163,31 +197,31 @@ def train(texts: list[bytes], toxic: list[int], negatives_per_row: float = 1.0,
     p = {k: v.astype(np.float32) for k, v in p.items()} | {"uf": gru.init(rng, hidden), "ub": gru.init(rng, hidden)}
     y = np.array(toxic)
     train_rows = rng.random(len(texts)) < 0.75
-    number, bucket, gram, begin, first = _pack(texts)
+    index, row, bucket, gram, begin = _training_windows(texts, train_rows, per_text, rng)
     ends = np.append(begin, len(gram))
-    index, row = window_index(first)
-    index = np.where(index >= 0, number[index], -1)
-    order = np.lexsort((rng.random(len(row)), row))
-    rank = np.arange(len(row)) - np.searchsorted(row[order], row[order])
-    use = order[(rank < per_text) & train_rows[row[order]]]
-    weight = np.where(y == 1, 0.5 / max((y[row[use]] == 1).sum(), 1), 0.5 / max((y[row[use]] == 0).sum(), 1)) * len(use)
+    use = np.arange(len(row))
+
+    def batch_inputs(own: np.ndarray):
+        """The distinct words of some windows: their numbers, the windows over them, trigrams and inputs."""
+        words, place = np.unique(own[own >= 0], return_inverse=True)
+        local = np.full(own.shape, -1)
+        local[own >= 0] = place
+        sizes = ends[words + 1] - begin[words]
+        local_begin = np.cumsum(sizes) - sizes
+        grams = gram[np.repeat(begin[words] - local_begin, sizes) + np.arange(int(sizes.sum()))]
+        return words, local, sizes, grams, word_inputs(p, bucket[words], grams, local_begin)
+
     adam = gru.Adam(p, rate)
     epochs = max(epochs, -(-min_steps * batch // max(len(use), 1)))
     for epoch in range(epochs):
         adam.rate = rate * (1 - 0.9 * epoch / epochs)
+        weight = np.where(y == 1, 0.5 / max((y[row[use]] == 1).sum(), 1), 0.5 / max((y[row[use]] == 0).sum(), 1)) * len(use)
         rng.shuffle(use)
         for i in range(0, len(use), batch):
-            own = index[use[i:i + batch]]
-            words, place = np.unique(own[own >= 0], return_inverse=True)
-            local = np.full(own.shape, -1)
-            local[own >= 0] = place
-            sizes = ends[words + 1] - begin[words]
-            local_begin = np.cumsum(sizes) - sizes
-            grams = gram[np.repeat(begin[words] - local_begin, sizes) + np.arange(int(sizes.sum()))]
-            x = word_inputs(p, bucket[words], grams, local_begin)
+            words, local, sizes, grams, x = batch_inputs(index[use[i:i + batch]])
             logit, kept = _pooled_logit(p, _gates(p, x), local, keep=True)
             target = y[row[use[i:i + batch]]]
-            d = ((gru.sigmoid(logit) - target) * weight[row[use[i:i + batch]]] / len(own)).astype(np.float32)
+            d = ((gru.sigmoid(logit) - target) * weight[row[use[i:i + batch]]] / len(target)).astype(np.float32)
             grads, dx = _gradients(p, x, kept, d)
             grads["word"], grads["gram"] = np.zeros_like(p["word"]), np.zeros_like(p["gram"])
             _add_rows(grads["word"], bucket[words], dx[:, :dims])
@@ -197,7 +231,8 @@ def train(texts: list[bytes], toxic: list[int], negatives_per_row: float = 1.0,
     rest = np.flatnonzero(~train_rows)
     if len(set(y[rest].tolist())) < 2:
         rest = np.arange(len(y))
-    stats = _row_stats(model, *_pack([texts[i] for i in rest]))
+    held = [texts[i] for i in rest]
+    stats = np.concatenate([_row_stats(model, *_read(held[low:high])) for low, high in _slices(held)])
     model["calibration"] = _logistic(stats, y[rest], np.where(y[rest] == 1, 1.0, negatives_per_row))
     return model
 
@@ -227,20 +262,28 @@ def score(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(stats @ w[:-1] + w[-1], -30, 30)))
 
 
-def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         max_rows: int = 4000, **options) -> dict | None:
-    """Train on at most ``max_rows`` rows of each label, chosen by a hash of the id."""
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isin(0, 1)).select(id_col, text_col, label_col)
-    counts = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}
+    """Train on documents of at most ``max_rows`` labels of each kind, chosen by a hash of the id.
+
+    Only the chosen ids (a bounded number) are broadcast to the documents.
+    """
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).alias("_label"))
+    counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
     if len(counts) < 2:
         return None
-    sample = []
-    for label in (0, 1):
-        chosen = common.bounded_sample(rows.where(F.col(label_col) == label), id_col, max_rows, "toxicity")
-        sample += sorted(r[0].encode() for r in chosen.select(text_col).collect())
-    n = [min(counts[k], max_rows) for k in (0, 1)]
-    labels = [0] * (len(sample) - n[1]) + [1] * n[1]
-    return train(sample, labels, (counts[0] / n[0]) / (counts[1] / n[1]), **options)
+    chosen = [common.bounded_sample(known.where(F.col("_label") == k), id_col, max_rows, "toxicity") for k in (0, 1)]
+    sample = (docs.select(id_col, F.col(text_col).alias("_text")).where("_text is not null")
+              .join(F.broadcast(chosen[0].unionByName(chosen[1])), id_col).dropDuplicates([id_col]))
+
+    def learn(table: pa.Table) -> dict | None:
+        rows = sorted((t.encode(), y) for t, y in zip(table["_text"].to_pylist(), table["_label"].to_pylist()))
+        n = [sum(y == k for _, y in rows) for k in (0, 1)]
+        if not min(n):
+            return None
+        return train([t for t, _ in rows], [y for _, y in rows], (counts[0] / n[0]) / (counts[1] / n[1]), **options)
+
+    return common.fit_in_task(sample.select("_text", "_label"), learn)
 
 
 def predict(docs: DataFrame, model: dict | None, *, id_col: str = "doc_id", text_col: str = "text",
