@@ -257,12 +257,14 @@ def edit_distance(a: str, b: str, most: int) -> int:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", band_slots: int = 8,
-                    least_likeness: float = 0.5, most_edits: float = 0.2) -> DataFrame:
+                    least_likeness: float = 0.25, most_edits: float = 0.2) -> DataFrame:
     """One row per document: id and component_id, the least id reachable over links.
 
     Two texts link when they share a band of ``band_slots`` slots, their
     fingerprints are alike enough, and their edit distance is at most
-    ``most_edits`` of the longer text.  Equal texts are one class and are
+    ``most_edits`` of the longer text.  Bands sample the embedding, so a pair
+    that meets the distance is found with a probability that grows with its
+    likeness; no candidate is dropped for the size of its bucket.  Equal texts are one class and are
     compared once.  Empty texts are linked with nothing; a NULL id never
     names a component.
     """
