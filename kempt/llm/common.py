@@ -17,8 +17,18 @@ from kempt.session import scratch_path
 SLICE_BYTES = 1 << 21
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    """A table of the given snapshot folder."""
+    """A table of the given snapshot folder.
+
+    Spark's default of 10,000 rows to an Arrow batch is made for narrow rows;
+    with whole texts it holds tens of MB twice per task, so a session that
+    still has the default gets 1,000.
+    """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "1000")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 

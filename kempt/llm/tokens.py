@@ -3,7 +3,8 @@
 The tokenizer drops white space and never joins characters across it, so a
 text's ids are the ids of its blank-separated chunks in order.  Each distinct
 chunk is encoded once per worker (in bulk, separated by a special token) and
-looked up afterwards; the dictionary is emptied when it reaches its bound.
+looked up afterwards; when the dictionary reaches its bound, only the chunks of
+the texts at hand stay in it.
 """
 
 from __future__ import annotations
@@ -31,15 +32,16 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 class ChunkEncoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does."""
 
-    def __init__(self, path: str, max_chunks: int = 1_200_000):
+    def __init__(self, path: str, max_chunks: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.word_final = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
-        self.word_final[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_final = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_final[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.max_chunks = max_chunks
         self._clear()
 
@@ -58,6 +60,16 @@ class ChunkEncoder:
         self.ends[n:n + len(chunks)] = old + np.cumsum(counts)
         self.index.update(zip(chunks, range(n, n + len(chunks))))
 
+    def _shrink(self, keep: set[str]) -> None:
+        """Forget all chunks but those of ``keep``: frequent words are in every slice and stay."""
+        kept = [c for c in keep if c in self.index]
+        at = np.array([self.index[c] for c in kept], np.int64)
+        starts = np.where(at > 0, self.ends[at - 1], 0)
+        counts = self.ends[at] - starts
+        ids = self.ids[ragged(starts, counts)].astype(np.int64)
+        self._clear()
+        self._append(kept, counts, ids)
+
     def _encode_stems(self, stems: list[str]) -> None:
         """Bulk encoding: plain words are separated by blanks (a word ends at a word-final token), others by a special token."""
         for plain in (True, False):
@@ -116,10 +128,10 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, offsets with len(texts) + 1 entries); NULL is the empty text."""
-        if len(self.index) > self.max_chunks:
-            self._clear()
         counts = [t.count(" ") + t.count("\n") + 1 if t else 1 for t in texts]
         chunks = " ".join([t or "" for t in texts]).replace("\n", " ").split(" ")
+        if len(self.index) > self.max_chunks:
+            self._shrink(set(chunks))
         new = set(chunks).difference(self.index) if texts else ()
         if new:
             self._learn(list(new))
