@@ -13,9 +13,11 @@ position with the probability of their length ratio.  The share of equal
 slots thus estimates the likeness of the sequences, whatever their lengths.
 Slots are drawn from whole texts, however long.
 
-Near duplicates: bands of sampled slots name buckets, the members of a bucket
-are compared with its least member and, if they stay apart from it, with the
-whole bucket; an edit-distance computation verifies each candidate.
+Near duplicates: bands of sampled slots name buckets, and so do segments of
+the text, sampled min-wise by their hash: edits all over a long text soon drive
+whole walks apart, yet always leave some segments whole.  The members of a
+bucket are compared with its least member and, if they stay apart from it, with
+the whole bucket; an edit-distance computation decides on each candidate.
 
 NULL texts are empty; the fingerprint of an empty text is all zeros, like
 itself and unlike any other.  Equal texts have equal fingerprints.
@@ -35,6 +37,11 @@ from kempt.llm import common
 from kempt.llm.components import connected_components
 
 SLOTS = 128
+SEGMENT_SLOTS = 96
+#: Characters of a segment, and from which length of text on.
+_SEGMENTS = ((4, 0), (6, 50), (12, 400))
+_SEGMENT_BASE = np.uint64(0x9E3779B97F4A7C15)
+_NO_SEGMENT = np.uint64((1 << 64) - 1)
 _END = 255  # stands after each text; slot value 0 is "no character"
 _PERIOD = 1 << 12
 _FEW = 24  # so few texts are walked one by one
@@ -224,12 +231,50 @@ def fingerprint_table(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, "id long, text string, fingerprint string")
 
 
+def segment_keys(text: str, most_edits: float = 0.2) -> np.ndarray:
+    """Hashes of sampled segments: of the segments in each of ``SEGMENT_SLOTS`` hash classes, the least hash.
+
+    Shorter texts have shorter segments.  A text that can be within
+    ``most_edits`` of one in the next class of lengths is sampled for both.
+    """
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    found = []
+    for k, (width, least) in enumerate(_SEGMENTS):
+        until = _SEGMENTS[k + 1][1] if k + 1 < len(_SEGMENTS) else len(codes) + 1
+        n = len(codes) - width + 1
+        if n > 0 and least * (1 - most_edits) <= len(codes) < until:
+            h = np.full(n, k + 1, np.uint64)
+            for j in range(width):
+                h = h * _SEGMENT_BASE + codes[j:j + n]
+            h = common.mix64(h)
+            slots = np.full(SEGMENT_SLOTS, _NO_SEGMENT)
+            np.minimum.at(slots, (h % np.uint64(SEGMENT_SLOTS)).astype(np.int64), h)
+            found.append(slots[slots != _NO_SEGMENT])
+    return np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
-    """Levenshtein distance of two texts, or ``most + 1`` if it is more: furthest-reaching diagonals, O(length + most^2)."""
+    """Levenshtein distance of two texts, or ``most + 1`` if it is more.
+
+    Furthest-reaching diagonals, O(length + distance^2), as long as that is
+    less work than bit-parallel columns, O(length^2 / word).
+    """
     if abs(len(a) - len(b)) > most:
         return most + 1
-    x, y = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in (a, b))
+    x, y = _points(a), _points(b)
+    n = max(len(x), len(y))
+    few = min(most, max(32, int((n * (0.5 + 0.00013 * n)) ** 0.5)))
+    d = _by_diagonals(x, y, few)
+    if d <= few:
+        return d
+    return _by_columns(x, y, most) if few < most else most + 1
 
+
+def _by_diagonals(x: np.ndarray, y: np.ndarray, most: int) -> int:
     def slide(i: int, j: int) -> int:
         n, width = min(len(x) - i, len(y) - j), 64
         done = 0
@@ -256,27 +301,60 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return most + 1
 
 
+def _by_columns(x: np.ndarray, y: np.ndarray, most: int) -> int:
+    """Whole columns of the distance table as bits of one integer; ends once the rest of ``y`` cannot bring it to ``most``."""
+    m, n = len(x), len(y)
+    at = {int(c): int.from_bytes(np.packbits(x == c, bitorder="little").tobytes(), "little") for c in np.unique(x)}
+    every, last = (1 << m) - 1, 1 << (m - 1)
+    up, down, distance = every, 0, m
+    for j, c in enumerate(y.tolist(), 1):
+        same = at.get(c, 0)
+        across = (((same & up) + up) ^ up) | same
+        more, less = down | (every & ~(across | up)), up & across
+        distance += 1 if more & last else -1 if less & last else 0
+        if distance - (n - j) > most:
+            return most + 1
+        more, less, vertical = (more << 1 | 1) & every, (less << 1) & every, same | down
+        up, down = less | (every & ~(vertical | more)), more & vertical
+    return distance
+
+
+def _unlike(a: str, b: str) -> int:
+    """A lower bound of the edit distance: one edit takes at most one character away and adds at most one."""
+    more = np.bincount(_points(a) & 1023, minlength=1024) - np.bincount(_points(b) & 1023, minlength=1024)
+    return int(max(more[more > 0].sum(), -more[more < 0].sum()))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", band_slots: int = 8,
-                    least_likeness: float = 0.25, most_edits: float = 0.2) -> DataFrame:
+                    most_edits: float = 0.2) -> DataFrame:
     """One row per document: id and component_id, the least id reachable over links.
 
-    Two texts link when they share a band of ``band_slots`` slots, their
-    fingerprints are alike enough, and their edit distance is at most
-    ``most_edits`` of the longer text.  Bands sample the embedding, so a pair
-    that meets the distance is found with a probability that grows with its
-    likeness; no candidate is dropped for the size of its bucket.  Equal texts are one class and are
-    compared once.  Empty texts are linked with nothing; a NULL id never
+    Two texts link when they share a band of ``band_slots`` slots or a sampled
+    segment, and their edit distance is at most ``most_edits`` of the longer
+    text.  Bands and segments are samples, so a pair that meets the distance is
+    found with a probability (README: by edits and length), which does not fall
+    with the length; no candidate is dropped for the size of its bucket or for
+    its likeness.  Equal texts are one class and are compared once.  Empty texts are linked with nothing; a NULL id never
     names a component.
     """
     spark = docs.sparkSession
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [segment_keys(t, most_edits) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(k) for k in keys])),
+                                              pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))], names=["node", "value"])
+
     table = common.materialise(
         fingerprint_table(docs, id_col=id_col, text_col=text_col)
         .withColumn("node", F.when(F.col("text") != "", F.xxhash64("text"))), "fingerprints")
     classes = table.where("node is not null").select("node", "text", "fingerprint").dropDuplicates(["node"])
     width = 2 * band_slots
-    bands = [F.struct(F.lit(k).alias("band"), F.substring("fingerprint", 1 + k * width, width).alias("value"))
+    bands = [F.struct(F.lit(k).alias("band"), F.xxhash64(F.substring("fingerprint", 1 + k * width, width)).alias("value"))
              for k in range(SLOTS // band_slots)]
     buckets = classes.select("node", F.explode(F.array(*bands)).alias("b")).select("node", "b.band", "b.value")
+    segments = classes.select("node", "text").mapInArrow(sampled, "node long, value long")
+    buckets = buckets.unionByName(segments.select("node", F.lit(-1).alias("band"), "value"))
     least = buckets.groupBy("band", "value").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last")
     buckets = common.materialise(buckets.join(least.drop("last"), ["band", "value"]), "buckets")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -285,19 +363,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             a, b = [], []
             for x, y, s, t in zip(*(c.to_pylist() for c in batch.columns[:4])):
-                longer = max(len(s), len(t))
-                if edit_distance(s, t, int(most_edits * longer)) <= most_edits * longer:
+                most = int(most_edits * max(len(s), len(t)))
+                if abs(len(s) - len(t)) <= most and _unlike(s, t) <= most and edit_distance(s, t, most) <= most:
                     a.append(x)
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    slot = F.expr(f"aggregate(sequence(0, {SLOTS - 1}), 0, (n, i) -> n + if(substr(xp, 2 * i + 1, 2) = substr(yp, 2 * i + 1, 2), 1, 0))")
-
     def verified(pairs: DataFrame) -> DataFrame:
-        own = classes.select(F.col("node").alias("x"), F.col("text").alias("xt"), F.col("fingerprint").alias("xp"))
-        other = classes.select(F.col("node").alias("y"), F.col("text").alias("yt"), F.col("fingerprint").alias("yp"))
-        alike = pairs.distinct().join(own, "x").join(other, "y").where(slot >= least_likeness * SLOTS)
-        return common.materialise(alike.select("x", "y", "xt", "yt").repartition(n).mapInArrow(verify, "a long, b long"), "links")
+        own = classes.select(F.col("node").alias("x"), F.col("text").alias("xt"))
+        other = classes.select(F.col("node").alias("y"), F.col("text").alias("yt"))
+        met = pairs.distinct().join(own, "x").join(other, "y")
+        return common.materialise(met.select("x", "y", "xt", "yt").repartition(n).mapInArrow(verify, "a long, b long"), "links")
 
     links = verified(buckets.where("node <> pivot").select(F.col("pivot").alias("x"), F.col("node").alias("y")))
     roots = connected_components(links)

@@ -92,3 +92,34 @@ def test_near_duplicates_join_edited_copies(docs_of):
     assert {i: got[i] for i in (100, 101, 102, 103)} == {100: 100, 101: 101, 102: 102, 103: 1}
     assert all((got[i] - 1) // 6 == (least - 1) // 6 for i, least in family.items())  # no two families meet
     assert sum(got[i] == least for i, least in family.items()) >= 0.95 * len(family)  # bands are sampled
+
+
+def test_defaults_find_edited_copies_up_to_the_stated_distance(docs_of):
+    rng = random.Random(8)
+    rows, pairs = [], []
+    for words in (5, 40, 400):
+        for rate in (0.01, 0.05, 0.1, 0.19):
+            for _ in range(8):
+                base = prose(rng, words)
+                near = edits(rng, base, max(1, int(rate * len(base))))
+                if ef.edit_distance(base, near, len(base)) <= 0.2 * max(len(base), len(near)):
+                    pairs.append((len(rows), len(rows) + 1))
+                rows += [(len(rows), base), (len(rows) + 1, near)]
+    got = {r.doc_id: r.component_id for r in ef.near_duplicates(docs_of(rows)).collect()}
+    assert len(pairs) >= 80 and sum(got[a] == got[b] for a, b in pairs) >= 0.95 * len(pairs)
+    assert all(got[i] // 2 == i // 2 for i in got if len(rows[i][1]) > 100)  # no other long texts meet
+
+
+def test_far_distances_equal_dynamic_programme():
+    rng = random.Random(9)
+    for _ in range(40):
+        a, b = ("".join(rng.choices("abcé😀", k=rng.randint(60, 160))) for _ in range(2))
+        table = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(table[j] + 1, new[-1] + 1, table[j - 1] + (x != y)))
+            table = new
+        assert ef._unlike(a, b) <= table[-1] == ef.edit_distance(a, b, 200)
+        for most in (33, table[-1] - 1, table[-1]):
+            assert ef.edit_distance(a, b, most) == (min(table[-1], most + 1) if abs(len(a) - len(b)) <= most else most + 1)
