@@ -160,3 +160,16 @@ def test_bounded_sample_is_bounded_and_fixed(spark):
     first = {r[0] for r in bounded_sample(ids, "doc_id", 100, "s").collect()}
     assert len(first) == 100 and first == {r[0] for r in bounded_sample(ids.repartition(7), "doc_id", 100, "s").collect()}
     assert bounded_sample(ids.limit(0), "doc_id", 10, "s").count() == 0 and bounded_sample(ids.limit(9), "doc_id", 10, "s").count() == 9
+
+
+def test_runs_without_digits_are_candidates_and_labelled(docs_of):
+    text = "é say correcthorsebatterystaple or token=abcdefghijklmnop and 123 more"
+    data = np.frombuffer(text.encode(), np.uint8)
+    starts, ends = secrets.candidates(data, np.array([0, len(data)]))
+    assert [data[a:b].tobytes() for a, b in zip(starts, ends)] == [b"correcthorsebatterystaple", b"token=abcdefghijklmnop"]
+    assert sorted(r.found for r in secrets.labelled_pieces(docs_of([(1, text)])).collect()) == [False, True]
+    rng = np.random.default_rng(1)
+    symbols, inside, _ = secrets.pieces(data, np.array([0, len(data)]), starts, ends)
+    model = secrets.train(np.repeat(symbols, 8, axis=0), np.repeat(inside, 8, axis=0), rng.integers(0, 2, 16).astype(float), min_steps=1)
+    (row,) = secrets.scan(docs_of([(1, text)]), model | {"threshold": 0.0}).collect()
+    assert row.spans == "model:6:31,assign:35:57"
