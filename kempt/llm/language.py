@@ -4,7 +4,7 @@ Whole texts are cut into segments of 64 bytes.  The network reads each segment
 in both directions and gives every byte a distribution over the languages; a
 document's probabilities are the mean over all its bytes.  It is trained by
 backpropagation through time on segments of a bounded, hash-chosen sample of
-labelled rows.
+the labelled rows of each language.
 
 A NULL text or one without a letter is ``und`` with score 0; so is every text
 where there is nothing to learn from.  Ties go to the language that sorts
@@ -14,11 +14,12 @@ first; repeated rows are scored alike.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kempt.llm import common, gru
@@ -117,18 +118,55 @@ def pooled(model: dict, data: np.ndarray, offsets: np.ndarray, batch: int = 2048
     return total / np.maximum(np.diff(offsets), 1)[:, None]
 
 
+def _sampled_segments(text: str, per_text: int) -> bytes:
+    """At most ``per_text`` segments of a text, chosen by a hash of it, in their order."""
+    data = text.encode()
+    count = -(-len(data) // SEGMENT)
+    if count <= per_text:
+        return data
+    pick = np.sort(np.random.default_rng(zlib.crc32(data)).permutation(count)[:per_text])
+    return b"".join(data[i * SEGMENT:(i + 1) * SEGMENT] for i in pick.tolist())
+
+
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        max_rows: int = 3000, **options) -> dict | None:
-    """Train on at most ``max_rows`` rows with text and language, chosen by a hash of the id."""
-    rows = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    chosen = common.bounded_sample(rows.select(id_col), id_col, max_rows, "language")
-    sample = rows.join(F.broadcast(chosen), id_col, "left_semi").dropDuplicates([id_col])
+        max_rows: int = 3000, per_text: int = 4, **options) -> dict | None:
+    """Train on at most ``max_rows`` rows of each language, chosen by a hash of the id.
+
+    Spark counts the rows of every language first, so that each gets its own
+    sample: a language is in the model however rare it is.  Only rows with a
+    letter are sampled, and only ``per_text`` segments of each reach the task
+    that trains.
+    """
+    rows = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+
+    def lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["id", "lang"]).filter(pa.array([bool(t and _LETTER.search(t)) for t in batch["text"].to_pylist()], pa.bool_()))
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    known = common.materialise(rows.mapInArrow(lettered, f"id {id_type}, lang string").distinct(), "languages")
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    spread = F.pmod(F.xxhash64(F.lit("language"), F.col("id").cast("string")), F.lit(1 << 30))
+    # rows far beyond a language's bound are dropped by their hash before any sort
+    near = known.join(F.broadcast(counts), "lang").withColumn("h", spread).where(
+        F.col("h") < (F.least(F.lit(1.0), F.lit(2.0 * max_rows) / F.col("n")) * (1 << 30)))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    chosen = near.withColumn("rank", rank).where(F.col("rank") <= max_rows).select("id", "lang")
+    sample = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi").dropDuplicates(["id", "lang"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [(_sampled_segments(t, per_text), y) for t, y in zip(batch["text"].to_pylist(), batch["lang"].to_pylist())
+                    if t and _LETTER.search(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in kept], pa.binary()), pa.array([y for _, y in kept], pa.string())],
+                                             names=["text", "lang"])
 
     def learn(table: pa.Table) -> dict | None:
-        kept = sorted((t.encode(), y) for t, y in zip(*(c.to_pylist() for c in table.columns)) if _LETTER.search(t))
-        return train([t for t, _ in kept], [y for _, y in kept], **options) if kept else None
+        kept = sorted(zip(*(c.to_pylist() for c in table.columns)))
+        return train([t for t, _ in kept], [y for _, y in kept], per_text=per_text, **options) if kept else None
 
-    return common.fit_in_task(sample.select(text_col, lang_col), learn)
+    return common.fit_in_task(sample.select("text", "lang").mapInArrow(cut, "text binary, lang string"), learn)
 
 
 def predict(docs: DataFrame, model: dict | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -173,3 +173,14 @@ def test_runs_without_digits_are_candidates_and_labelled(docs_of):
     model = secrets.train(np.repeat(symbols, 8, axis=0), np.repeat(inside, 8, axis=0), rng.integers(0, 2, 16).astype(float), min_steps=1)
     (row,) = secrets.scan(docs_of([(1, text)]), model | {"threshold": 0.0}).collect()
     assert row.spans == "model:6:31,assign:35:57"
+
+
+def test_rare_language_is_learned(spark, docs_of):
+    rng = random.Random(6)
+    pool = {name: [text_of(rng, LANGUAGES[name], 20) for _ in range(40)] for name in LANGUAGES}
+    rows = [(k, "cc" if k % 5000 == 77 else "aa" if k % 2 else "bb") for k in range(10_000)]  # cc: 0.02 %
+    docs = spark.createDataFrame([(k, rng.choice(pool[name]), name) for k, name in rows], "doc_id long, text string, lang string").repartition(3)
+    model = language.fit(docs, max_rows=60)
+    assert model["names"] == ["aa", "bb", "cc"]
+    test = docs_of([(k, text_of(rng, LANGUAGES["cc"], 20)) for k in range(40)])
+    assert language.predict(test, model).where("lang_pred = 'cc'").count() >= 36
