@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm import (decontaminate, edit_fingerprints, jaccard, language, packing, quality, secrets, token_files, tokens,
-                       toxicity, url_filters)
+from kempt.llm import (alignment, conversations, decontaminate, edit_fingerprints, jaccard, language, packing, quality, secrets,
+                       token_files, tokens, top_k, toxicity, url_filters)
 from kempt.llm.common import documents, held_out, materialise
 from kempt.session import scratch_path
 
@@ -93,10 +93,31 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best inner products of every vector whose id is divisible by 100, against all other vectors."""
+    return top_k.top_k(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document, the links weighed by how many documents hold their pair."""
+    aligned = alignment.align(documents(spark, sf_dir), path_a=tokens.public_path("byte_bpe_50k.json"),
+                              path_b=tokens.public_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    aligned = materialise(aligned.withColumn("groups", digest).withColumnRenamed("groups", "groups_sha256"), "aligned")
+    return (aligned.drop("pairs", "times").join(alignment.link_scores(aligned), "rid")
+            .select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after the stated damage, its cheapest repair and the digest of the repaired rows."""
+    damaged = conversations.damage(documents(spark, sf_dir, "conversations"))
+    return conversations.report(conversations.repair(damaged, gone_col="gone", times_col="times"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_edit_fingerprints, op2_ngram_jaccard_join, op3_harmonic_packing, op4_quality_discriminant,
                             op5_url_filters, op6_secret_scan, op7_toxicity, op8_benchmark_decontamination, op9_token_files,
-                            op10_language_id)
+                            op10_language_id, op11_exact_top_k, op12_tokenizer_alignment, op13_conversation_repair)
 }
 
 #: The words, windows and hits of op8, window by window.
@@ -142,4 +163,13 @@ WITH captures AS (SELECT row_number() OVER () AS r, page_id, (page_id * 7919) %
 SELECT page_id, host, day, coalesce(n, 0) AS n_active, best.pattern AS pattern, best.since AS valid_from,
        coalesce(n, 0) > 0 AS blocked FROM captures LEFT JOIN active USING (r)"""
 
-ORACLE: dict[str, str] = {"op5_url_filters": _OP5, "op8_benchmark_decontamination": _OP8}
+#: Every query against every other row.
+_OP11 = """
+WITH vectors AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+         FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     scored AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+         FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.r <> c.r)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10"""
+
+ORACLE: dict[str, str] = {"op5_url_filters": _OP5, "op8_benchmark_decontamination": _OP8, "op11_exact_top_k": _OP11}

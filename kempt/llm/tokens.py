@@ -153,8 +153,13 @@ def encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
-def default_tokenizer() -> str:
-    """Path of the public word-level BPE vocabulary the queries use."""
+def public_path(name: str) -> str:
+    """Path of a public tokenizer file."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def default_tokenizer() -> str:
+    """Path of the public word-level BPE vocabulary the queries use."""
+    return public_path("word_bpe_49k.json")
