@@ -10,9 +10,9 @@ tokens' decoded bytes, so that characters of several bytes are cut inside.  A
 text counts only if both tokenizers' bytes give it back.
 
 Neither tokenizer has a token that goes on over a blank after a visible
-character, so a text is aligned piece by piece between such places, and every
-distinct piece once per worker.  A text with a piece that does not come back
-is aligned again as a whole.
+character, or from a Latin letter to a mark, so a text is aligned piece by
+piece between such places, and every distinct piece once per worker.  A text
+with a piece that does not come back is aligned again as a whole.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,13 @@ from pyspark.sql import functions as F
 from kempt.llm.common import materialise
 from kempt.llm.tokens import ragged
 
-_CUT = re.compile(r"(?<=\S) ")
+#: Places that no token of either tokenizer goes over: after a visible character before a blank, line feed or tab, and
+#: between a Latin letter and a mark.  ``Aligner`` checks its vocabulary for them.
+_CUT = re.compile(r"(?<=\S)(?=[ \n\t])|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?#&*%$])")
+#: The same cuts, piece by piece: white space, then words that no mark follows and other characters, then one that a mark does.
+_PIECE = re.compile(r"\s*+(?:[A-Za-zÀ-ÖØ-öø-ÿ]++(?![.,;:!?#&*%$])|[^\sA-Za-zÀ-ÖØ-öø-ÿ]++|[^\S \n\t]\s*+)*+"
+                    r"(?:[A-Za-zÀ-ÖØ-öø-ÿ]++)?")
+_HEAD = " a"
 _FALLBACK = re.compile(r"<0x([0-9A-F]{2})>")
 #: Bits of a B id in a pair code.
 SHIFT = 24
@@ -64,6 +71,10 @@ class Aligner:
         self.sizes_a = np.zeros(max(self.bytes_a) + 1, np.int64)
         self.sizes_a[list(self.bytes_a)] = [len(x) for x in self.bytes_a.values()]
         self.sizes_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        over = [p for p in (self.b.id_to_piece(i).replace("▁", " ") for i in range(self.b.get_piece_size())) if _CUT.search(p)]
+        if over:
+            raise ValueError(f"pieces go over a cut: {over[:5]}")
+        self.names_a, self.names_b = (list(map(str, range(n))) for n in (len(self.sizes_a), len(self.sizes_b)))
         self.max_pieces = max_pieces
         self._clear()
 
@@ -100,12 +111,12 @@ class Aligner:
         codes = ids_a[np.searchsorted(ends_a, ends)] << SHIFT | ids_b[np.searchsorted(ends_b, ends)]
         return ends, codes, np.intersect1d(ends_a, ends_b, assume_unique=True)
 
-    @staticmethod
-    def _group_texts(aligned: tuple, cuts: np.ndarray) -> list[str]:
+    def _group_texts(self, aligned: tuple, cuts: np.ndarray) -> list[str]:
         ids_a, ends_a, ids_b, ends_b = aligned
-        a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
+        a, b = [self.names_a[i] for i in ids_a.tolist()], [self.names_b[i] for i in ids_b.tolist()]
         at_a, at_b = (np.searchsorted(ends_a, cuts) + 1).tolist(), (np.searchsorted(ends_b, cuts) + 1).tolist()
-        return [f"{','.join(a[i:k])}|{','.join(b[j:m])}" for i, k, j, m in zip([0, *at_a], at_a, [0, *at_b], at_b)]
+        return [f"{a[i]}|{b[j]}" if k - i == m - j == 1 else f"{','.join(a[i:k])}|{','.join(b[j:m])}"
+                for i, k, j, m in zip([0, *at_a], at_a, [0, *at_b], at_b)]
 
     def _entry(self, text: str) -> tuple[str, tuple, np.ndarray]:
         aligned = self.align(text)
@@ -128,38 +139,39 @@ class Aligner:
         self.index.update(zip(pieces, range(n, n + len(pieces))))
 
     def _learn(self, pieces: list[str]) -> None:
-        """Align pieces in bulk, one after the other in one text: no token of either goes over the blank that starts a piece."""
+        """Align pieces in bulk, one after the other in one text, each after a visible character or a letter as in its own text."""
         for chosen in ([p for p in pieces if p.isascii()], [p for p in pieces if not p.isascii()]):
             for start in range(0, len(chosen), 1024):
                 part = chosen[start:start + 1024]
                 # a piece that ends in white space would run into the next one's blank
                 joined = [p for p in part if not p[-1].isspace()]
-                aligned = self.align("".join(joined)) if joined else None
+                parts = [x for p in joined for x in ((p,) if p[0] in " \n\t" else (_HEAD, p))]
+                aligned = self.align("".join([_HEAD, *parts])) if joined else None
                 if aligned is not None:
                     ends, codes, cuts = self.links(aligned)
-                    bounds = np.cumsum([len(p.encode(errors="surrogatepass")) for p in joined])
-                    places = [np.concatenate([[0], np.searchsorted(x, bounds) + 1]) for x in (aligned[1], aligned[3], cuts, ends)]
-                    numbers = np.stack([*(np.diff(x) for x in places), np.ones(len(joined), np.int64)], axis=1)
-                    texts, at = self._group_texts(aligned, cuts), places[2].tolist()
-                    self._append(joined, numbers, codes, [";".join(texts[i:k]) for i, k in zip(at, at[1:])])
+                    sizes = [len(p.encode(errors="surrogatepass")) for p in joined]
+                    stops = np.cumsum(np.array([len(_HEAD) + n if p[0] not in " \n\t" else n for p, n in zip(joined, sizes)])) + len(_HEAD)
+                    starts = stops - sizes
+                    low, high = ([np.searchsorted(x, at) + 1 for x in (aligned[1], aligned[3], cuts, ends)] for at in (starts, stops))
+                    numbers = np.stack([*(h - k for k, h in zip(low, high)), np.ones(len(joined), np.int64)], axis=1)
+                    texts = self._group_texts(aligned, cuts)
+                    self._append(joined, numbers, codes[ragged(low[3], numbers[:, 3])],
+                                 [";".join(texts[i:k]) for i, k in zip(low[2].tolist(), high[2].tolist())])
                     part = [p for p in part if p[-1].isspace()]
                 for p in part:
-                    text, numbers, codes = self._entry(p)
+                    text, numbers, codes = self._entry(p) if p[0] == " " else ("", (0, 0, 0, 0, 0), np.zeros(0, np.int64))
                     self._append([p], np.array([numbers]), codes, [text])
 
     def texts(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """Per text: the five numbers and the groups; then the text of every link, and its pair's code."""
-        cut = [[" " + p for p in _CUT.split(" " + t)] if t else [] for t in texts]
-        for pieces in cut:
-            if pieces:
-                pieces[0] = pieces[0][1:]  # the blank before the text is there already
+        cut = [_PIECE.findall(" " + t)[:-1] if t else [] for t in texts]  # the last match is empty
         counts = np.array([len(p) for p in cut], np.int64)
-        flat = [p for pieces in cut for p in pieces]
+        flat = list(chain.from_iterable(cut))
         if len(self.index) > self.max_pieces:
             self._clear()
-        new = list(dict.fromkeys(p for p in flat if p not in self.index))
+        new = set(flat).difference(self.index)
         if new:
-            self._learn(new)
+            self._learn(sorted(new))
         at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
         first = np.concatenate([[0], np.cumsum(counts)])
         sums = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(self.numbers[at], axis=0)])
