@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kempt.llm.common import materialise
+from kempt.llm.common import held, materialise
 from kempt.llm.tokens import ragged
 
 #: Places that no token of either tokenizer goes over: after a visible character before a blank, line feed or tab, and
@@ -192,13 +192,9 @@ class Aligner:
         return numbers, groups, np.concatenate(more_texts), np.concatenate(more_codes)
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
-
-
 def _align_rows(path_a: str, path_b: str, slice_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligners.setdefault((path_a, path_b), None) or Aligner(path_a, path_b)
-        _aligners[(path_a, path_b)] = aligner
+        aligner = held(("aligner", path_a, path_b), lambda: Aligner(path_a, path_b))
         for batch in batches:
             texts = batch.column(2).to_pylist()
             low = 0

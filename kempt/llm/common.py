@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -14,7 +15,28 @@ from pyspark.sql import functions as F
 from kempt.session import scratch_path
 
 #: Texts are worked on in slices of about this many bytes, so that a batch of long texts stays small.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+
+_held: list[Any] = [None, None]
+
+
+def held(key: Any, build: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task, one thing at a time.
+
+    A worker serves one operator after the other; a dictionary or table that
+    one of them has built is let go when the next one asks for its own.
+    """
+    if _held[0] != key:
+        _held[:] = [None, None]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _held[:] = [key, build()]
+    return _held[1]
+
+
+def let_go() -> None:
+    """Called by operators that keep nothing."""
+    held(("nothing",), lambda: None)
 
 
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -166,6 +166,7 @@ def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
 
 def _members_and_sketch(width: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.let_go()
         counts = np.zeros(1 << bits, np.uint16)
         waiting, n_waiting = [], 0
 
@@ -191,7 +192,7 @@ def _members_and_sketch(width: int, bits: int):
                 waiting.append((np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(64 - bits)).astype(np.uint32))
                 n_waiting += len(waiting[-1])
                 any_rows = True
-                if n_waiting > 2_000_000:
+                if n_waiting > 1_000_000:
                     flush()
         flush()
         if any_rows:
@@ -214,12 +215,9 @@ def _list_classes(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _postings(width: int, num: int, den: int, classes, bits: int, max_salt_bits: int):
-    table: list[np.ndarray] = []
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not table:
-            table.append(np.concatenate([np.frombuffer(zlib.decompress(c), np.uint8) for c in classes.value]))
-        own = table[0]
+        common.let_go()
+        own = np.concatenate([np.frombuffer(zlib.decompress(c), np.uint8) for c in classes.value])
         seen: set[int] = set()  # sets this task has posted; only spares repeated rows
         for batch in batches:
             for _, _, data, offsets in common.text_slices(batch):

@@ -1,25 +1,32 @@
 """Token ids of whole texts with a public tokenizer, one dictionary lookup per repeated word.
 
-The tokenizer drops white space and never joins characters across it, so a
-text's ids are the ids of its blank-separated chunks in order.  Each distinct
+The tokenizer drops white space and never joins characters across it, nor a
+letter with a mark, so a text's ids are the ids of such chunks in order.  Each distinct
 chunk is encoded once per worker (in bulk, separated by a special token) and
-looked up afterwards; when the dictionary reaches its bound, only the chunks of
-the texts at hand stay in it.
+looked up afterwards; when the dictionary reaches its bound, the half that was
+met least is forgotten.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from itertools import chain
 
 import numpy as np
 
+from kempt.llm.common import held
+
 _SEPARATOR = "<|endoftext|>"
-_MARKS = (".", ",")
+#: Chunks: what stands between blanks, cut also between a Latin letter and a mark, where the tokenizer always cuts.
+_CHUNK = re.compile(r"(?:[A-Za-zÀ-ÖØ-öø-ÿ]++(?![.,;:!?#&*%$])|[^ \n\t\rA-Za-zÀ-ÖØ-öø-ÿ]++)++(?:[A-Za-zÀ-ÖØ-öø-ÿ]++)?|[A-Za-zÀ-ÖØ-öø-ÿ]++")
 
 
-def _latin(c: str) -> bool:
-    """A letter or digit that the tokenizer's normaliser keeps a single one."""
-    return c.isalnum() and c < "\u0250" and c != "\u0130"
+def _chunks(text: str) -> list[str]:
+    """Chunks of a text, A-Z lower-cased as the tokenizer does it, but not where that could make a special token."""
+    if "<|" not in text:
+        text = text.lower() if text.isascii() else text.encode().lower().decode()
+    return _CHUNK.findall(text)
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -49,31 +56,40 @@ class ChunkEncoder:
         self.index: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, self.dtype)
         self.ends = np.zeros(1 << 16, np.int64)  # ends[i]: end of chunk i's ids
+        self.hits = np.zeros(1 << 16, np.int64)
 
     def _append(self, chunks: list[str], counts: np.ndarray, ids: np.ndarray) -> None:
         n, old = len(self.index), int(self.ends[len(self.index) - 1]) if self.index else 0
         while len(self.ends) < n + len(chunks):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            self.hits = np.concatenate([self.hits, np.zeros_like(self.hits)])
         while len(self.ids) < old + len(ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[old:old + len(ids)] = ids
         self.ends[n:n + len(chunks)] = old + np.cumsum(counts)
         self.index.update(zip(chunks, range(n, n + len(chunks))))
 
-    def _shrink(self, keep: set[str]) -> None:
-        """Forget all chunks but those of ``keep``: frequent words are in every slice and stay."""
-        kept = [c for c in keep if c in self.index]
-        at = np.array([self.index[c] for c in kept], np.int64)
-        starts = np.where(at > 0, self.ends[at - 1], 0)
-        counts = self.ends[at] - starts
-        ids = self.ids[ragged(starts, counts)].astype(np.int64)
+    def _shrink(self) -> None:
+        """Forget the chunks that were met least: half of them stay."""
+        n = len(self.index)
+        kept = np.sort(np.argpartition(-self.hits[:n], n // 2)[:n // 2])
+        chunks = np.fromiter(self.index, object, n)[kept].tolist()  # a dictionary keeps its order, which is that of the ids
+        starts = np.where(kept > 0, self.ends[kept - 1], 0)
+        counts = self.ends[kept] - starts
+        ids, hits = self.ids[ragged(starts, counts)], self.hits[kept] // 2
         self._clear()
-        self._append(kept, counts, ids)
+        self._append(chunks, counts, ids)
+        self.hits[:len(kept)] = hits
 
-    def _encode_stems(self, stems: list[str]) -> None:
+    def _learn(self, chunks: list[str]) -> None:
         """Bulk encoding: plain words are separated by blanks (a word ends at a word-final token), others by a special token."""
-        for plain in (True, False):
-            chosen = [s for s in stems if (s.isalpha() and s < "\u0250" and max(s) < "\u0250" and "\u0130" not in s) == plain]
+        plain_words, others, special = [], [], []
+        for c in chunks:
+            if c.isalpha() and (c.isascii() or (max(c) < "\u0250" and "\u0130" not in c)):
+                plain_words.append(c)
+            else:
+                (special if "<|" in c else others).append(c)
+        for chosen, plain in ((plain_words, True), (others, False)):
             for i in range(0, len(chosen), 4096):
                 part = chosen[i:i + 4096]
                 joined = (" " if plain else _SEPARATOR).join(part)
@@ -86,56 +102,22 @@ class ChunkEncoder:
                 assert len(counts) == len(part)
                 self._append(part, counts, ids)
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Add chunks to the dictionary; a word's cased and punctuated forms share the encoding of its stem.
-
-        Lower-casing is left to the tokenizer outside ASCII; a full stop or
-        comma after a Latin letter or digit is always a token of its own.
-        """
-        forms: dict[str, tuple[str, str]] = {}
-        stems: dict[str, None] = {}
-        for c in chunks:
-            if "<|" in c:
-                continue
-            stem, mark = (c[:-1], c[-1]) if c[-1:] in _MARKS and _latin(c[-2:-1]) else (c, "")
-            if stem.isascii():
-                stem = stem.lower()
-            if stem not in self.index:
-                stems[stem] = None
-            if stem != c:
-                forms[c] = (stem, mark)
-        stems.update(dict.fromkeys(m for m in _MARKS if m not in self.index))
-        self._encode_stems(list(stems))
-        special = [c for c in chunks if "<|" in c]
         if special:
             ids = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in special]
             self._append(special, np.array([len(x) for x in ids]), np.array(sum(ids, []), np.int64))
-        forms = {c: f for c, f in forms.items() if c not in self.index}  # a chunk may be another's stem
-        if forms:
-            of_stem = np.array([self.index[stem] for stem, _ in forms.values()], np.int64)
-            starts = np.where(of_stem > 0, self.ends[of_stem - 1], 0)
-            counts = self.ends[of_stem] - starts
-            marks = {m: int(self.ids[self.ends[self.index[m]] - 1]) for m in _MARKS}  # one id each
-            mark = np.array([marks.get(m, -1) for _, m in forms.values()], np.int64)
-            sizes = counts + (mark >= 0)
-            flat = np.zeros(int(sizes.sum()), np.int64)
-            last = np.cumsum(sizes) - 1
-            body = np.ones(len(flat), bool)
-            body[last[mark >= 0]] = False
-            flat[last[mark >= 0]] = mark[mark >= 0]
-            flat[body] = self.ids[ragged(starts, counts)]
-            self._append(list(forms), sizes, flat)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, offsets with len(texts) + 1 entries); NULL is the empty text."""
-        counts = [t.count(" ") + t.count("\n") + 1 if t else 1 for t in texts]
-        chunks = " ".join([t or "" for t in texts]).replace("\n", " ").split(" ")
+        cut = [_chunks(t) if t else [] for t in texts]
+        counts = [len(c) for c in cut]
+        chunks = list(chain.from_iterable(cut))
         if len(self.index) > self.max_chunks:
-            self._shrink(set(chunks))
-        new = set(chunks).difference(self.index) if texts else ()
+            self._shrink()
+        new = set(chunks).difference(self.index)
         if new:
             self._learn(list(new))
-        index = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks)) if texts else np.zeros(0, np.int64)
+        index = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        self.hits[:len(self.index)] += np.bincount(index, minlength=len(self.index))
         starts = np.where(index > 0, self.ends[index - 1], 0)
         sizes = self.ends[index] - starts
         done = np.concatenate([[0], np.cumsum(sizes)])
@@ -143,14 +125,9 @@ class ChunkEncoder:
         return self.ids[ragged(starts, sizes)], offsets
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
 def encoder(path: str) -> ChunkEncoder:
     """The worker's encoder for a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    return held(("encoder", path), lambda: ChunkEncoder(path))
 
 
 def public_path(name: str) -> str:

@@ -291,6 +291,7 @@ def predict(docs: DataFrame, model: dict | None, *, id_col: str = "doc_id", text
     """One row per document: id, score, predicted (1 if score >= threshold); ``keep`` names further columns to carry."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.let_go()
         for batch in batches:
             for first, end, data, offsets in common.text_slices(batch, "_text"):
                 own = batch.slice(first, end - first)
@@ -311,6 +312,7 @@ def keep_clean(docs: DataFrame, model: dict | None, *, text_col: str = "text", t
         return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.let_go()
         for batch in batches:
             for first, end, data, offsets in common.text_slices(batch, text_col):
                 yield batch.slice(first, end - first).filter(pa.array(score(model, data, offsets) < threshold))
