@@ -51,7 +51,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int
         encode, part = tokens.encoder(tokenizer), TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         for batch in batches:
-            for first, end, _, _ in common.text_slices(batch, "text"):
+            for first, end, _, _ in common.text_slices(batch, "text", tokens.SLICE_BYTES):
                 rows = batch.slice(first, end - first)
                 flat, at = encode.encode(rows.column(1).to_pylist())
                 out: dict[str, list] = {name.split()[0]: [] for name in PIECES.split(", ")}

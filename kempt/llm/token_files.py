@@ -64,7 +64,7 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str, end_id: i
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
         ids, offsets, out, done = [], [np.zeros(1, np.uint64)], None, 0
         for batch in batches:
-            for first, end, _, _ in common.text_slices(batch, "text"):
+            for first, end, _, _ in common.text_slices(batch, "text", tokens.SLICE_BYTES):
                 part = batch.slice(first, end - first)
                 flat, at = encode.encode(part.column(1).to_pylist())
                 ends = at[1:] + np.arange(1, len(at))  # each with its end id

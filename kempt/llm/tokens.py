@@ -11,15 +11,18 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
 from kempt.llm.common import held
 
+#: Texts are encoded in slices of about this many bytes; larger ones meet fewer new chunks at a time.
+SLICE_BYTES = 1 << 22
 _SEPARATOR = "<|endoftext|>"
 #: Chunks: what stands between blanks, cut also between a Latin letter and a mark, where the tokenizer always cuts.
-_CHUNK = re.compile(r"(?:[A-Za-zÀ-ÖØ-öø-ÿ]++(?![.,;:!?#&*%$])|[^ \n\t\rA-Za-zÀ-ÖØ-öø-ÿ]++)++(?:[A-Za-zÀ-ÖØ-öø-ÿ]++)?|[A-Za-zÀ-ÖØ-öø-ÿ]++")
+_CHUNK = re.compile(r"(?:[^ \n\t\r.,;:!?#&*%$]++|[.,;:!?#&*%$]++[^ \n\t\r.,;:!?#&*%$]*+)"
+                    r"(?:(?<![A-Za-zÀ-ÖØ-öø-ÿ])[.,;:!?#&*%$]++[^ \n\t\r.,;:!?#&*%$]*+)*+")
 
 
 def _chunks(text: str) -> list[str]:
@@ -39,11 +42,15 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 class ChunkEncoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does."""
 
-    def __init__(self, path: str, max_chunks: int = 200_000):
+    def __init__(self, path: str, max_chunks: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # lower-case Latin words are single words to the tokenizer: its model alone gives their ids
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(),
+                                                            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         vocabulary = self.tokenizer.get_vocab()
@@ -55,18 +62,21 @@ class ChunkEncoder:
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, self.dtype)
-        self.ends = np.zeros(1 << 16, np.int64)  # ends[i]: end of chunk i's ids
+        self.starts = np.zeros(1 << 16, np.int64)  # chunk i's ids: sizes[i] of them from starts[i]
+        self.sizes = np.zeros(1 << 16, np.int64)
+        self.n_ids = 0
         self.hits = np.zeros(1 << 16, np.int64)
 
-    def _append(self, chunks: list[str], counts: np.ndarray, ids: np.ndarray) -> None:
-        n, old = len(self.index), int(self.ends[len(self.index) - 1]) if self.index else 0
-        while len(self.ends) < n + len(chunks):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.hits = np.concatenate([self.hits, np.zeros_like(self.hits)])
+    def _append(self, chunks: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        n, old = len(self.index), self.n_ids
+        while len(self.sizes) < n + len(chunks):
+            self.starts, self.sizes, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.hits))
         while len(self.ids) < old + len(ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[old:old + len(ids)] = ids
-        self.ends[n:n + len(chunks)] = old + np.cumsum(counts)
+        self.n_ids = old + len(ids)
+        self.starts[n:n + len(chunks)] = old + np.cumsum(sizes) - sizes
+        self.sizes[n:n + len(chunks)] = sizes
         self.index.update(zip(chunks, range(n, n + len(chunks))))
 
     def _shrink(self) -> None:
@@ -74,11 +84,10 @@ class ChunkEncoder:
         n = len(self.index)
         kept = np.sort(np.argpartition(-self.hits[:n], n // 2)[:n // 2])
         chunks = np.fromiter(self.index, object, n)[kept].tolist()  # a dictionary keeps its order, which is that of the ids
-        starts = np.where(kept > 0, self.ends[kept - 1], 0)
-        counts = self.ends[kept] - starts
-        ids, hits = self.ids[ragged(starts, counts)], self.hits[kept] // 2
+        sizes, hits = self.sizes[kept], self.hits[kept] // 2
+        ids = self.ids[ragged(self.starts[kept], sizes)]
         self._clear()
-        self._append(chunks, counts, ids)
+        self._append(chunks, sizes, ids)
         self.hits[:len(kept)] = hits
 
     def _learn(self, chunks: list[str]) -> None:
@@ -92,8 +101,9 @@ class ChunkEncoder:
         for chosen, plain in ((plain_words, True), (others, False)):
             for i in range(0, len(chosen), 4096):
                 part = chosen[i:i + 4096]
-                joined = (" " if plain else _SEPARATOR).join(part)
-                ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+                joined = " ".join(part).lower() if plain else _SEPARATOR.join(part)
+                encode = (self.words if plain else self.tokenizer).encode_batch_fast
+                ids = np.array(encode([joined], add_special_tokens=False)[0].ids, np.int64)
                 if plain:
                     counts = np.diff(np.flatnonzero(self.word_final[ids]), prepend=-1)
                 else:
@@ -113,16 +123,16 @@ class ChunkEncoder:
         chunks = list(chain.from_iterable(cut))
         if len(self.index) > self.max_chunks:
             self._shrink()
-        new = set(chunks).difference(self.index)
-        if new:
-            self._learn(list(new))
-        index = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        index = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
+        unknown = np.flatnonzero(index < 0).tolist()
+        if unknown:
+            self._learn(list({chunks[i] for i in unknown}))
+            index[unknown] = [self.index[chunks[i]] for i in unknown]
         self.hits[:len(self.index)] += np.bincount(index, minlength=len(self.index))
-        starts = np.where(index > 0, self.ends[index - 1], 0)
-        sizes = self.ends[index] - starts
+        sizes = self.sizes[index]
         done = np.concatenate([[0], np.cumsum(sizes)])
         offsets = done[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        return self.ids[ragged(starts, sizes)], offsets
+        return self.ids[ragged(self.starts[index], sizes)], offsets
 
 
 def encoder(path: str) -> ChunkEncoder:
