@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from kempt.functions import text
 from kempt.operators import rules
 from kempt.plans import catalogue as C

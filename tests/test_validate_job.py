@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from kempt.model import STAR_SCHEMA
 from kempt.operators import checks
 from kempt.plans import validate_job
