@@ -57,14 +57,17 @@ def assert_valid(report: DataFrame) -> None:
             f"{r['check_name']} actual={r['actual']} expected={r['expected']}" for r in failed))
 
 
-def diff_snapshots(before: DataFrame, after: DataFrame, key: Sequence[str]) -> DataFrame:
+def diff_snapshots(before: DataFrame, after: DataFrame, key: Sequence[str], *, null_keys: bool = True) -> DataFrame:
     """Row-level comparison of two snapshots of one table on its primary key.
 
     Output: key columns, ``change`` in {added, removed, changed, same} and the
     names of the changed columns.  Both sides are shuffled once on the key (a
     single full outer join); keys and values are compared exactly, NULL-safe.
     A column that only one side has is NULL on the other, so an added or
-    dropped column shows as changed wherever it holds a value.
+    dropped column shows as changed wherever it holds a value.  With
+    ``null_keys=False`` keys are compared by plain equality, which lets two
+    sides bucketed by the key meet without a shuffle; a NULL key then matches
+    nothing and shows as removed and added.
     """
     value_cols = [c for c in dict.fromkeys([*before.columns, *after.columns]) if c not in key]
 
@@ -72,7 +75,7 @@ def diff_snapshots(before: DataFrame, after: DataFrame, key: Sequence[str]) -> D
         values = [(F.col(c) if c in df.columns else F.lit(None)).alias(f"{p}v_{c}") for c in value_cols]
         return df.select(*[F.col(c).alias(f"{p}k_{c}") for c in key], *values, F.lit(True).alias(f"{p}in"))
 
-    on = [F.col(f"_bk_{c}").eqNullSafe(F.col(f"_ak_{c}")) for c in key]
+    on = [F.col(f"_bk_{c}").eqNullSafe(F.col(f"_ak_{c}")) if null_keys else F.col(f"_bk_{c}") == F.col(f"_ak_{c}") for c in key]
     j = side(before, "_b").join(side(after, "_a"), on, "full_outer").withColumnsRenamed({"_bin": "_in_b", "_ain": "_in_a"})
     j = j.select("*", *[F.coalesce(F.col(f"_bk_{c}"), F.col(f"_ak_{c}")).alias(c) for c in key])
     diffs = [F.when(~F.col(f"_bv_{c}").eqNullSafe(F.col(f"_av_{c}")), F.lit(c)) for c in value_cols]
