@@ -106,6 +106,27 @@ def null_rate_by_member(child: DataFrame, fk: str, parent: DataFrame, pk: str, l
             .where(F.col(f"null_{checked_col}") > 0))
 
 
+def null_association(child: DataFrame, member: str, checked_col: str) -> DataFrame:
+    """Whether NULLs of ``checked_col`` go with ``member`` (systematic) or not (random): one row.
+
+    The members by NULL / not NULL table's chi-square statistic, its degrees of
+    freedom and Cramér's V (0: no association, 1: the member decides).  NULL
+    members are a member of their own.  Without rows, with one member, or where
+    all or no values are NULL there is nothing to associate: statistic and V
+    are NULL.  Rows are counted per member first, so a hot member is one row
+    per task, and one row leaves the second aggregate.
+    """
+    per_member = child.groupBy(member).agg(row_count().alias("t"), count_where(F.col(checked_col).isNull()).alias("h"))
+    sums = per_member.agg(row_count().alias("n_members"), F.coalesce(F.sum("t"), F.lit(0)).cast("bigint").alias("n_rows"),
+                          F.coalesce(F.sum("h"), F.lit(0)).cast("bigint").alias("n_null"),
+                          F.sum(F.col("h").cast("double") * F.col("h") / F.col("t")).alias("_s"))
+    n, a = F.col("n_rows").cast("double"), F.col("n_null").cast("double")
+    chi = F.when((F.col("n_members") > 1) & (a > 0) & (a < n), (F.col("_s") - a * a / n) * n * n / (a * (n - a)))
+    return sums.select("n_members", "n_rows", "n_null", F.greatest(chi, F.lit(0.0)).alias("chi_square"),
+                       F.greatest(F.col("n_members") - 1, F.lit(0)).cast("bigint").alias("degrees_of_freedom"),
+                       F.sqrt(F.greatest(chi, F.lit(0.0)) / n).alias("cramers_v"))
+
+
 def children_per_member(parent: DataFrame, pk: str, child: DataFrame, fk: str,
                         count_col: str = "child_count") -> DataFrame:
     """Every parent member with its number of children, zero included.
