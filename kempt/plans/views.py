@@ -74,6 +74,11 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
                            "ELSE CAST(p_size AS STRING) || ' ml bottle' END"),
         ("unit_price", "CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_retailprice AS DECIMAL(10,2)) END"),
     ]),
+    "typo_names": ("part", [
+        ("id", "p_partkey"),
+        ("nm", "CASE p_partkey % 29 WHEN 3 THEN replace(p_name, 'd', '') WHEN 11 THEN p_name || 's' "
+               "WHEN 17 THEN replace(p_name, 'r', 'x') WHEN 23 THEN replace(p_name, 'll', 'l') ELSE p_name END"),
+    ]),
     "part_variants": ("part", [
         ("id", "p_partkey"),
         ("nm", "CASE p_partkey % 3 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name "
