@@ -133,8 +133,14 @@ def contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                         ((n_hit > 0) & (share * n_hit >= n_words)).alias("contaminated"))
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not contaminated; rows without an id are kept."""
-    found = common.materialise(contamination(docs, items, id_col=id_col, **options).where("contaminated").select(id_col)
-                               .distinct(), "contaminated")
-    return docs.join(_small(found), id_col, "left_anti").select(docs.columns)
+def keep_clean(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated; rows without an id are kept.
+
+    A row is judged by its own text, so ids may repeat; NULL and empty texts
+    have no words and stay.
+    """
+    digest = F.sha2(F.col(text_col), 256)
+    texts = docs.select(digest.alias("_digest"), F.col(text_col).alias("_text"))
+    found = contamination(texts, items, id_col="_digest", text_col="_text", **options).where("contaminated")
+    found = common.materialise(found.select("_digest").distinct(), "contaminated")
+    return docs.join(_small(found), (digest == F.col("_digest")) & F.col(id_col).isNotNull(), "left_anti").select(docs.columns)

@@ -40,6 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kempt.llm import common
 from kempt.llm.components import connected_components
@@ -120,6 +121,7 @@ def _set_id(s: np.ndarray) -> int:
 
 _SKETCH_SLICES = 64
 _BROADCAST_IDS = 1_000_000
+_HOT_SETS = 10_000
 #: Parity bitmap of a set: bit b is the parity of its shingles with b as last bits.  Two sets differ in at least as
 #: many shingles as their bitmaps differ in bits, so unlike sets are told apart without their texts.
 _BITMAP = [f"b{i}" for i in range(16)]
@@ -423,25 +425,63 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per document: id, n_shingles, component_id (the least id reachable over links, itself included)."""
     members, roots = similar_sets(docs, id_col=id_col, **options)
-    members = (members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
-               .withColumn("root", F.coalesce("root", "set_id")))
-    least = members.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
-    return (members.join(least, "root", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")))
+    # components are worked out over distinct sets: a family of copies is one row of it
+    sets = members.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    sets = sets.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    sets = common.materialise(sets, "set-roots")
+    least = sets.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = common.materialise(sets.join(least, "root").select("set_id", "copies", "component_id"), "set-components")
+    # the copies of one text may be a third of all rows: sets of many copies, _HOT_SETS at most, go to their members by broadcast
+    many = F.col("copies") > max(1000, members.count() // _HOT_SETS)
+    hot = F.broadcast(named.where(many).drop("copies"))
+    cold = named.where(~many).drop("copies")
+    found = (members.join(hot, "set_id").unionByName(
+        members.join(hot, "set_id", "left_anti").join(_known_size(cold), "set_id", "left")))
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                        F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _named_sets(width: int, at: int):
+    """Rows with the digest of their shingle set as a further last column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in common.text_slices(batch, batch.schema.names[at]):
+                own = batch.slice(first, end - first)
+                ids = [_set_id(s) if len(s) else None for s in shingle_sets(data, offsets, width)]
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(ids, pa.int64())], names=[*own.schema.names, "_set_id"])
+
+    return run
 
 
-def keep_representatives(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose id is the least of its component.
+def keep_representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, **options) -> DataFrame:
+    """One row of each component of similar rows, all columns: the one with the least id, of equal ids that with the least set digest.
 
-    The id names a document: of rows with equal ids one stays.  Rows without an id are kept.
+    Where an id repeats, its rows are told apart by their shingle sets: unlike
+    texts under one id are documents of their own, and of equal ones one stays.
+    Rows without shingles, and rows without an id, are kept.
     """
-    found = common.materialise(near_duplicates(docs, id_col=id_col, **options).where(F.col(id_col).isNotNull()), "components")
-    ids = found.groupBy(id_col).agg(F.max(F.col(id_col) == F.col("component_id")).alias("stays"), F.count("*").alias("rows"))
-    ids = common.materialise(ids, "stays")
-    gone, repeated = (_known_size(ids.where(c).select(id_col)) for c in ("not stays", "stays and rows > 1"))
-    once = docs.join(gone, id_col, "left_anti").join(repeated, id_col, "left_anti")
-    return once.unionByName(docs.join(repeated, id_col, "left_semi").dropDuplicates([id_col])).select(docs.columns)
+    members, roots = similar_sets(docs, id_col=id_col, text_col=text_col, width=width, **options)
+    roots = roots.withColumnRenamed("node", "set_id")
+    # a family of copies is one set: rows are counted per set before any key of many rows is joined
+    sets = (members.where("set_id is not null and id is not null").groupBy("set_id").agg(F.min("id").alias("least"))
+            .join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")))
+    best = F.min(F.struct("least", "set_id"))
+    heads = sets.groupBy("root").agg(best.alias("_b")).select(F.col("_b.least").alias("id"), F.col("_b.set_id").alias("set_id"))
+    heads = common.materialise(heads, "representatives")
+    ids = members.where("id is not null").groupBy("id").agg(
+        F.count("*").alias("rows"), F.max(F.col("set_id").isNull()).alias("bare"))
+    ids = common.materialise(ids.join(heads.select("id", F.lit(True).alias("head")).distinct(), "id", "left"), "stays")
+    gone = _known_size(ids.where("rows = 1 and head is null and not bare").select(F.col("id").alias("_id")))
+    repeated = _known_size(ids.where("rows > 1").select(F.col("id").alias("_id")))
+    own = F.col(id_col).cast("long")
+    once = docs.join(gone, own == F.col("_id"), "left_anti").join(repeated, own == F.col("_id"), "left_anti")
+    many = docs.join(repeated, own == F.col("_id"), "left_semi")
+    schema = T.StructType([*many.schema.fields, T.StructField("_set_id", T.LongType())])
+    many = many.mapInArrow(_named_sets(width, docs.columns.index(text_col)), schema)
+    chosen = heads.select(F.col("id").alias("_id"), F.col("set_id").alias("_head"))
+    named = many.join(chosen, (own == F.col("_id")) & (F.col("_set_id") == F.col("_head")), "left_semi").dropDuplicates([id_col, "_set_id"])
+    return once.unionByName(named.drop("_set_id")).unionByName(many.where("_set_id is null").drop("_set_id")).select(docs.columns)
 
 
 def _known_size(ids: DataFrame) -> DataFrame:

@@ -83,3 +83,11 @@ def test_native_plan(spark, docs_of):
     plan = decontaminate.contamination(docs_of([(1, "a b")]), spark.createDataFrame([(1, "a b")], "item_id long, text string"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text
+
+
+def test_rows_are_judged_by_their_texts(spark, docs_of):
+    item = " ".join(f"w{i}" for i in range(13))
+    rows = [(1, item), (1, "clean text of the same id"), (None, item), (None, "clean"), (2, None), (2, "")]
+    kept = decontaminate.keep_clean(docs_of(rows), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, "clean text of the same id"), (None, item), (None, "clean"), (2, None), (2, "")], key=str)

@@ -112,3 +112,21 @@ def test_connected_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(50)] + [(1000, k) for k in range(1001, 1100)] + [(7, 7), (5, 4)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{k: 1000 for k in range(1000, 1100)}}
+
+
+def test_rows_of_one_id_are_told_apart_by_their_texts(spark, docs_of):
+    a, b, c = (" ".join(f"{p}{i}" for i in range(40)) for p in "abc")
+    rows = [(1, a), (1, a), (1, b), (2, b + " end"), (3, c), (3, c + " end"), (4, None), (4, ""), (None, a), (5, a), (6, c)]
+    kept = jaccard.keep_representatives(docs_of(rows))
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    three = [x for x in got if x[0] == 3]
+    assert len(three) == 1 and three[0][1] in (c, c + " end")  # linked rows of one id: one stays
+    assert sorted((x for x in got if x[0] != 3), key=str) == sorted([(1, a), (1, b), (4, None), (4, ""), (None, a)], key=str)
+    assert kept.columns == docs_of(rows).columns
+
+
+def test_many_copies_get_their_component_by_broadcast(spark, docs_of):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, text) for i in range(1500)] + [(2000, text + " more"), (2001, "other words that stand quite alone here"), (2002, None)]
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs_of(rows)).collect()}
+    assert got == {**{i: 0 for i in range(1500)}, 2000: 0, 2001: 2001, 2002: 2002}
