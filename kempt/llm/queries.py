@@ -163,6 +163,21 @@ WITH captures AS (SELECT row_number() OVER () AS r, page_id, (page_id * 7919) %
 SELECT page_id, host, day, coalesce(n, 0) AS n_active, best.pattern AS pattern, best.since AS valid_from,
        coalesce(n, 0) > 0 AS blocked FROM captures LEFT JOIN active USING (r)"""
 
+#: Shingles as texts, all pairs of documents that share one, and what is reachable over the links.
+_OP2 = """
+WITH RECURSIVE words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+     shingles AS (SELECT DISTINCT r, s FROM (SELECT r, unnest(CASE WHEN len(w) >= 5
+         THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END) AS s
+         FROM words WHERE len(w) > 0)),
+     sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+     shared AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+     links AS (SELECT x, y FROM shared JOIN sizes a ON a.r = x JOIN sizes b ON b.r = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+     steps AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+     reach AS (SELECT r AS x, r AS y FROM words UNION SELECT reach.x, steps.y FROM reach JOIN steps ON reach.y = steps.x)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM words w JOIN reach ON reach.x = w.r JOIN words o ON o.r = reach.y LEFT JOIN sizes ON sizes.r = w.r GROUP BY w.r, w.doc_id, n"""
+
 #: Every query against every other row.
 _OP11 = """
 WITH vectors AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
@@ -172,4 +187,4 @@ WITH vectors AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedd
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10"""
 
-ORACLE: dict[str, str] = {"op5_url_filters": _OP5, "op8_benchmark_decontamination": _OP8, "op11_exact_top_k": _OP11}
+ORACLE: dict[str, str] = {"op2_ngram_jaccard_join": _OP2, "op5_url_filters": _OP5, "op8_benchmark_decontamination": _OP8, "op11_exact_top_k": _OP11}

@@ -184,3 +184,25 @@ def test_rare_language_is_learned(spark, docs_of):
     assert model["names"] == ["aa", "bb", "cc"]
     test = docs_of([(k, text_of(rng, LANGUAGES["cc"], 20)) for k in range(40)])
     assert language.predict(test, model).where("lang_pred = 'cc'").count() >= 36
+
+
+def test_secrets_outside_the_patterns_are_found(docs_of):
+    rng = random.Random(8)
+    rows = []
+    for k in range(900):
+        words = text_of(rng, LANGUAGES["aa"], 30).split()
+        words[7] = f"10.{rng.randrange(255)}.{rng.randrange(255)}.{rng.randrange(100, 255)}"
+        words[12] = "".join(words[13:17])  # a long plain run
+        words[20] = "token=" + "".join(rng.choices("0123456789abcdef", k=40)) if k % 2 else "plain"
+        rows.append((k, " ".join(words)))
+    model = secrets.fit(docs_of(rows))
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    planted = docs_of([(k, "the thing is " + "".join(rng.choices("0123456789ABCDEF" if k % 2 else mixed, k=40)) + " here") for k in range(200)])
+    assert secrets.scan(planted, model).where("spans like 'model:13:53'").count() > 100
+    assert secrets.scan(docs_of(rows), model).where("spans like '%model%'").count() < 20
+
+
+def test_one_finding_is_enough_for_a_model(docs_of):
+    one = secrets.fit(docs_of([(1, "token=0123456789abcdef0123456789abcdef"), (1, "otherwiseharmless"), (None, "password: qwertyuiopasdf12")]))
+    assert one is not None
+    assert secrets.fit(docs_of([(1, "token=0123456789abcdef0123456789abcdef")])) is None  # nothing to tell it from
