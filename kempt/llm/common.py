@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import os
 import pickle
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -20,6 +22,27 @@ SLICE_BYTES = 1 << 20
 _held: list[Any] = [None, None]
 
 
+def free_memory() -> None:
+    """Hand memory that is no longer used back to the system, where the allocators offer it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+    if trim is not None:
+        trim(0)
+
+
+def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` as the work of one task, after which an idle worker holds little."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            free_memory()
+
+    return whole
+
+
 def held(key: Any, build: Callable[[], Any]) -> Any:
     """What a Python worker keeps from task to task, one thing at a time.
 
@@ -28,8 +51,7 @@ def held(key: Any, build: Callable[[], Any]) -> Any:
     """
     if _held[0] != key:
         _held[:] = [None, None]
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        free_memory()
         _held[:] = [key, build()]
     return _held[1]
 
@@ -95,7 +117,7 @@ def fit_in_task(sample: DataFrame, function: Callable[[pa.Table], Any]) -> Any:
         if rows:
             yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(function(pa.Table.from_batches(rows)))]})
 
-    row = sample.repartition(1).mapInArrow(run, "model binary").first()
+    row = sample.repartition(1).mapInArrow(task(run), "model binary").first()
     return pickle.loads(bytes(row[0])) if row else None
 
 

@@ -290,7 +290,7 @@ def _search(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int,
     roles = _known_size(common.materialise(members.unionByName(heads), "roles"))
     rows = texts.withColumnRenamed("set_id", "node").join(roles, "node")
     return (rows.select("query", "block", "role", "node", "text").repartition(n, "query", "block")
-            .sortWithinPartitions("query", "block", "role").mapInArrow(_verify(width, num, den), "a long, b long"))
+            .sortWithinPartitions("query", "block", "role").mapInArrow(common.task(_verify(width, num, den)), "a long, b long"))
 
 
 def _with_set_id(width: int):
@@ -320,7 +320,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     """The pairs (query, node) whose sizes and bitmaps allow the similarity."""
     met = pairs.join(_as_query(sets), "query").join(sets.withColumnRenamed("set_id", "node"), "node").where(_alike(num, den))
     return (met.select("query", "node", (F.col("sn") + F.col("qn")).alias("size"), "qwide", "wide")
-            .mapInArrow(_wide_filter(num, den), "query long, node long"))
+            .mapInArrow(common.task(_wide_filter(num, den)), "query long, node long"))
 
 
 def _texts(rows: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -329,7 +329,7 @@ def _texts(rows: DataFrame, members: DataFrame, pairs: DataFrame, width: int) ->
     wanted = common.materialise(wanted, "wanted")
     ids = members.join(wanted, "set_id").groupBy("set_id").agg(F.min("id").alias("id")).select("id")
     ids = _known_size(common.materialise(ids, "wanted-ids"))
-    with_set = _with_set_id(width)
+    with_set = common.task(_with_set_id(width))
     schema = "set_id long, text string"
     unnamed = rows.where("id is null").mapInArrow(with_set, schema).join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"])
     return common.materialise(rows.join(ids, "id", "left_semi").mapInArrow(with_set, schema).unionByName(unnamed), "texts")
@@ -355,7 +355,7 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    base = common.materialise(rows.mapInArrow(_members_and_sketch(width, sketch_bits), _MEMBERS), "sets")
+    base = common.materialise(rows.mapInArrow(common.task(_members_and_sketch(width, sketch_bits)), _MEMBERS), "sets")
     members = base.where("kind = 0").select("id", "n", "set_id")
     sketch = (base.where("kind = 1").select("slice", "counts").groupBy("slice")
               .applyInPandas(_list_classes, "slice int, classes binary").orderBy("slice").collect())  # a fixed size
@@ -363,7 +363,7 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         return members, members.select(F.col("set_id").alias("node"), F.col("set_id").alias("root"))
     classes = spark.sparkContext.broadcast([bytes(r.classes) for r in sketch])
 
-    postings = rows.mapInArrow(_postings(width, num, den, classes, sketch_bits, max_salt_bits),
+    postings = rows.mapInArrow(common.task(_postings(width, num, den, classes, sketch_bits, max_salt_bits)),
                                "key long, set_id long, n int, rare int, salt int, salted boolean")
     lists = common.materialise(
         _size_runs(postings, ["key", "salt"], num, den).where("set_id <> pivot or followed or salted")
@@ -478,7 +478,7 @@ def keep_representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     once = docs.join(gone, own == F.col("_id"), "left_anti").join(repeated, own == F.col("_id"), "left_anti")
     many = docs.join(repeated, own == F.col("_id"), "left_semi")
     schema = T.StructType([*many.schema.fields, T.StructField("_set_id", T.LongType())])
-    many = many.mapInArrow(_named_sets(width, docs.columns.index(text_col)), schema)
+    many = many.mapInArrow(common.task(_named_sets(width, docs.columns.index(text_col))), schema)
     chosen = heads.select(F.col("id").alias("_id"), F.col("set_id").alias("_head"))
     named = many.join(chosen, (own == F.col("_id")) & (F.col("_set_id") == F.col("_head")), "left_semi").dropDuplicates([id_col, "_set_id"])
     return once.unionByName(named.drop("_set_id")).unionByName(many.where("_set_id is null").drop("_set_id")).select(docs.columns)

@@ -76,7 +76,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int
                     names=list(out))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(pieces, PIECES + (", ids array<long>" if with_ids else ""))
+    return rows.mapInArrow(common.task(pieces), PIECES + (", ids array<long>" if with_ids else ""))
 
 
 def _first_fit(capacity: int):

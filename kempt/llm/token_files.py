@@ -94,7 +94,7 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str, end_id: i
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     order = [F.col("id").asc_nulls_last()]
     manifest = (rows.repartitionByRange(n, *order).sortWithinPartitions(*order, F.xxhash64("text"))
-                .mapInArrow(write, MANIFEST))
+                .mapInArrow(common.task(write), MANIFEST))
     manifest.write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 

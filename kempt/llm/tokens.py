@@ -17,8 +17,8 @@ import numpy as np
 
 from kempt.llm.common import held
 
-#: Texts are encoded in slices of about this many bytes; larger ones meet fewer new chunks at a time.
-SLICE_BYTES = 1 << 22
+#: Texts are encoded in slices of about this many bytes: a slice's chunks are Python strings, many times its size.
+SLICE_BYTES = 1 << 20
 _SEPARATOR = "<|endoftext|>"
 #: Chunks: what stands between blanks, cut also between a Latin letter and a mark, where the tokenizer always cuts.
 _CHUNK = re.compile(r"(?:[^ \n\t\r.,;:!?#&*%$]++|[.,;:!?#&*%$]++[^ \n\t\r.,;:!?#&*%$]*+)"
@@ -42,7 +42,7 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 class ChunkEncoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does."""
 
-    def __init__(self, path: str, max_chunks: int = 300_000):
+    def __init__(self, path: str, max_chunks: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 

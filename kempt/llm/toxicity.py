@@ -303,7 +303,7 @@ def predict(docs: DataFrame, model: dict | None, *, id_col: str = "doc_id", text
 
     rows = docs.select(F.col(id_col), *keep, F.col(text_col).alias("_text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes[:-1])
-    return rows.mapInArrow(run, f"{schema}, score double, predicted int")
+    return rows.mapInArrow(common.task(run), f"{schema}, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, model: dict | None, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -317,4 +317,4 @@ def keep_clean(docs: DataFrame, model: dict | None, *, text_col: str = "text", t
             for first, end, data, offsets in common.text_slices(batch, text_col):
                 yield batch.slice(first, end - first).filter(pa.array(score(model, data, offsets) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.task(run), docs.schema)
