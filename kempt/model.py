@@ -11,8 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Compares text without regard to letter case and to blanks at its end.
+CASE_AND_TRAILING_BLANKS = "UTF8_LCASE_RTRIM"
+
 
 @dataclass(frozen=True)
 class ForeignKey:
@@ -34,6 +39,16 @@ class TableSpec:
     foreign_keys: tuple[ForeignKey, ...] = ()
     unique: tuple[tuple[str, ...], ...] = ()
     not_null: tuple[str, ...] = field(default=())
+    collations: tuple[tuple[str, str], ...] = ()  # (column, collation) of text columns compared by other rules than bytes
+
+    def collated(self, df: DataFrame) -> DataFrame:
+        """``df`` with the declared collations on its columns: joins, groups and comparisons follow them, values stay as they are.
+
+        Collated columns of a child and its parent need the same collation.
+        """
+        if not self.collations:
+            return df
+        return df.withColumns({c: F.collate(F.col(c), name) for c, name in self.collations if c in df.columns})
 
     @property
     def columns(self) -> list[str]:

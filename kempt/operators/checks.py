@@ -369,8 +369,10 @@ def spec_report(tables: Mapping[str, DataFrame], specs) -> DataFrame:
     on files): required columns (declared NOT NULL, primary key, mandatory FKs)
     are NULL-counted in one fused aggregate per table; the primary key and each
     UNIQUE set report their duplicate groups; foreign keys report orphans via
-    ``integrity_report``.  Tables are visited parents first.
+    ``integrity_report``.  Tables are visited parents first, and declared
+    collations rule all comparisons.
     """
+    tables = {name: specs[name].collated(df) if name in specs else df for name, df in tables.items()}
     relations = spec_relations(tables, specs)
     sizes = _parent_sizes(relations) if relations else []
     parts: list[DataFrame] = []

@@ -178,13 +178,16 @@ def plan_dimension_merge(dim: DataFrame, id_col: str, name_col: str, *, placehol
     With ``materialize`` the mapping is checkpointed to the shared folder, so its
     three consumers (preview, child remap, cleaned dimension) do not recompute it.
     ``case_insensitive`` matches names that differ only in letter case (the
-    survivor keeps its own spelling).
+    survivor keeps its own spelling).  A name column with a declared collation
+    is matched by that collation; names are classified by their bytes, and the
+    mapping's name column keeps the collation.
     """
-    members = classify_members(dim, name_col, delim)
-    fold = F.lower if case_insensitive else (lambda c: c)
+    collation = getattr(dim.schema[name_col].dataType, "collation", "UTF8_BINARY")
+    collated = collation != "UTF8_BINARY"
+    members = classify_members(dim.withColumn(name_col, F.collate(name_col, "UTF8_BINARY")) if collated else dim, name_col, delim)
+    fold = (lambda c: F.collate(c, collation)) if collated else F.lower if case_insensitive else (lambda c: c)
     members = members.select("*", fold(F.col(_KEY)).alias("_match"), fold(F.col("_st")).alias("_full"))
-    # classified once; both minima and the mapping read the classified members
-    members = cut_lineage(members)
+    # classifying is cheap and is done three times over: each minimum then reads the name and the id alone
     # survivors of clean names: min id among clean and strippable members
     survivors = (members.where(F.col(_CLS).isin(CLEAN, STRIP))
                  .groupBy("_match").agg(F.min(id_col).alias(_KEEP)))
@@ -198,6 +201,8 @@ def plan_dimension_merge(dim: DataFrame, id_col: str, name_col: str, *, placehol
     mapping = (members.join(survivors, "_match", "left")
                .join(composite_dups, "_full", "left")
                .select(*dim.columns, _CLS, _KEY, "_st", target.alias(_TARGET)))
+    if collated:
+        mapping = mapping.withColumns({c: F.collate(c, collation) for c in (name_col, "_st")})
     if materialize:
         mapping = cut_lineage(mapping)
     return DimensionMerge(mapping, id_col, name_col, tuple(dim.columns), placeholder, broadcast_max_rows,
