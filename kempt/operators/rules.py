@@ -33,11 +33,14 @@ class Rule:
     column: str
     fix: Callable[[Column], Column]
     when: Predicate = None
+    constant: bool = False  # the fix does not read the current value
 
-    def apply(self, current: Column) -> Column:
-        """The new value of the column given its current value."""
+    def apply(self, current: Column, inline: bool = False) -> Column:
+        """The new value of the column given its current value; ``inline`` allows a constant rule to read it twice."""
         if self.when is None:
             return self.fix(current)
+        if self.constant and inline:
+            return self._conditional(current)
         # A conditional rule reads its input three times (predicate, fix,
         # otherwise).  Binding the input once to a lambda variable keeps a
         # chain of k rules linear in size; inlined, it would grow 3^k when a
@@ -51,7 +54,7 @@ class Rule:
 
 def set_value(name: str, column: str, value, when: Predicate) -> Rule:
     """Conditional set to a literal."""
-    return Rule(name, column, lambda _c: F.lit(value), when)
+    return Rule(name, column, lambda _c: F.lit(value), when, constant=True)
 
 
 def replace_rule(name: str, column: str, search: str, replacement: str, when: Predicate = None) -> Rule:
@@ -59,11 +62,21 @@ def replace_rule(name: str, column: str, search: str, replacement: str, when: Pr
     return Rule(name, column, lambda c: F.replace(c, F.lit(search), F.lit(replacement)), when)
 
 
+#: Constant rules whose predicate reads the current value, per column, that are written out; each doubles the expression.
+_INLINE = 3
+
+
 def fold(rules: Sequence[Rule], start: Column) -> Column:
-    """Compose the rules left to right on ``start``."""
-    out = start
+    """Compose the rules left to right on ``start``.
+
+    Constant rules become plain CASE expressions, which generated code covers;
+    a longer chain of them binds its input once a rule instead.
+    """
+    out, doubled = start, 0
     for r in rules:
-        out = r.apply(out)
+        reads = r.constant and callable(r.when)
+        out = r.apply(out, inline=not reads or doubled < _INLINE)
+        doubled += reads
     return out
 
 
