@@ -10,17 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kempt.functions import casts, text
-from kempt.model import STAR_SCHEMA, TableSpec
-from kempt.operators import (broadcast, chains, checks, derived_repairs, digests, dimension, journal, misspellings, one_pass, profile,
+from kempt.model import CASE_AND_TRAILING_BLANKS, STAR_SCHEMA, ForeignKey, TableSpec
+from kempt.operators import (broadcast, chains, checks, derived_repairs, digests, dimension, incremental_merge, journal, misspellings, one_pass, profile,
                              profile_state, report, rules)
 from kempt.plans.views import TABLES, table, view
 from kempt.session import cut_lineage, scratch_path
-from kempt.sources import bucketed, delimited, snapshot
+from kempt.sources import bucketed, delimited, marked_csv, snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -845,6 +845,50 @@ def q86_full_preview(spark, sf):
     return _t(spark, sf, "supplier")
 
 
+def q87_incremental_merge(spark, sf):
+    """A kept survivor map after a change of some members and the removal of others (FX18, FX21)."""
+    part = _v(spark, sf, "dirty_part")
+    kept = incremental_merge.kept_merge(spark, scratch_path(spark, "kept-merge"), part, "id", "nm", placeholder=PART_PLACEHOLDER)
+    kept.update(part.where(F.col("id") % 97 == 5).select("id", F.concat(F.lit("new "), "nm").alias("nm")), part.where(F.col("id") % 89 == 7).select("id"))
+    return kept.mapping().select("id", F.col("_cls").alias("member_class"), F.col("_key").alias("member_key"), F.col("_target").alias("target_id"))
+
+
+COLLATED_SPECS = {
+    "names": TableSpec("names", T.StructType([T.StructField("name", T.StringType())]), ("name",), collations=(("name", CASE_AND_TRAILING_BLANKS),)),
+    "refs": TableSpec("refs", T.StructType([T.StructField("id", T.LongType()), T.StructField("ref", T.StringType())]), ("id",),
+                      (ForeignKey("ref", "names", "name"),), collations=(("ref", CASE_AND_TRAILING_BLANKS),)),
+}
+
+
+def collated_tables(spark, sf) -> dict[str, DataFrame]:
+    """Part names, some missing, and references to them in other letter case and with blanks at the end."""
+    pv = _v(spark, sf, "part_variants")
+    ref = F.when(F.col("id") % 2 == 0, F.concat(F.lower("nm"), F.lit("  "))).otherwise(F.col("nm"))
+    return {"names": pv.where(F.col("nm") < "n").select(F.col("nm").alias("name")).distinct(), "refs": pv.select("id", ref.alias("ref"))}
+
+
+def q88_collated_constraints(spark, sf):
+    """Declared keys and references under a collation without letter case and trailing blanks (FLT16, SRC4)."""
+    return checks.spec_report(collated_tables(spark, sf), COLLATED_SPECS)
+
+
+def q89_collated_merge(spark, sf):
+    """Members whose names are equal under the declared collation, merged; survivors keep their spelling (FLT16, FX18)."""
+    refs = COLLATED_SPECS["refs"].collated(collated_tables(spark, sf)["refs"])
+    merge = dimension.plan_dimension_merge(refs, "id", "ref", placeholder={"id": -1, "ref": "N/A"})
+    return merge.mapping.select("id", F.collate("ref", "UTF8_BINARY").alias("ref"), F.col("_target").alias("target_id"))
+
+
+def q90_export_with_byte_order_mark(spark, sf):
+    """The exported file's lines in order, with the mark at its start (SNK1)."""
+    path = scratch_path(spark, "marked-csv")
+    marked_csv.export_marked_csv(_t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"), path, ["s_suppkey"])
+    parts = spark.read.format("binaryFile").load(f"{path}/part-*.csv").select(
+        F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("part"), F.decode("content", "UTF-8").alias("content"))
+    lines = parts.select("part", F.posexplode(F.split(F.regexp_replace("content", "\n$", ""), "\n")).alias("line", "value"))
+    return lines.select((F.row_number().over(Window.orderBy("part", "line")) - 1).cast("int").alias("line"), "value")  # a check of a small export
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
