@@ -13,12 +13,12 @@ first; repeated rows are scored alike.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ from kempt.llm import common, gru
 
 SEGMENT = 64
 _PAD = 256
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # letters alone: no digits, fractions or number signs
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:

@@ -54,14 +54,15 @@ def evaluate(captures: DataFrame, events: DataFrame, *, id_col: str = "page_id",
              day_col: str = "day") -> DataFrame:
     """One row per capture: id, host, day, n_active (entries active then), pattern (the most specific), valid_from, blocked."""
     intervals = common.materialise(validity(events), "intervals")
-    if intervals.count() <= BROADCAST_ROWS:
-        intervals = F.broadcast(intervals)
+    small = intervals.count() <= BROADCAST_ROWS
     rows = captures.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), host(F.col(url_col)).alias("host"),
                            F.col(day_col).alias("day"))
     names = rows.select("row", "id", "host", "day", F.explode_outer(domains(F.col("host"))).alias("pattern"))
-    met = names.join(intervals.withColumnRenamed("list", "_list"), "pattern", "left").withColumn(
-        "active", F.col("_list").isNotNull() & (F.col("valid_from") <= F.col("day"))
-        & (F.col("valid_to").isNull() | (F.col("day") < F.col("valid_to"))))
+    lists = intervals.select(F.col("list").alias("_list"), F.col("pattern").alias("_pattern"), "valid_from", "valid_to")
+    # a list's intervals of one name do not overlap: a name meets at most one a list
+    at_fetch = ((F.col("pattern") == F.col("_pattern")) & (F.col("valid_from") <= F.col("day"))
+                & (F.col("valid_to").isNull() | (F.col("day") < F.col("valid_to"))))
+    met = names.join(F.broadcast(lists) if small else lists, at_fetch, "left").withColumn("active", F.col("_list").isNotNull())
     best = F.max(F.when(F.col("active"), F.struct(F.length("pattern").alias("length"), "pattern", "valid_from")))
     judged = met.groupBy("row", "id", "host", "day").agg(F.count_if("active").alias("n_active"), best.alias("best"))
     return judged.select(F.col("id").alias(id_col), "host", F.col("day").alias(day_col), "n_active",

@@ -206,3 +206,10 @@ def test_one_finding_is_enough_for_a_model(docs_of):
     one = secrets.fit(docs_of([(1, "token=0123456789abcdef0123456789abcdef"), (1, "otherwiseharmless"), (None, "password: qwertyuiopasdf12")]))
     assert one is not None
     assert secrets.fit(docs_of([(1, "token=0123456789abcdef0123456789abcdef")])) is None  # nothing to tell it from
+
+
+def test_number_signs_are_no_letters(docs_of):
+    model = language.fit(docs_of([(k, text_of(random.Random(k), LANGUAGES["aa"], 5)) for k in range(20)]))
+    signs = docs_of([(k, t) for k, t in enumerate(["½ ² ① Ⅷ 7", "½a", "日", "é", "_", None, ""])])
+    got = {r.doc_id: r.lang_pred for r in language.predict(signs, model).collect()}
+    assert {i for i, name in got.items() if name == "und"} == {0, 4, 5, 6}
