@@ -11,7 +11,10 @@ window in it.
 
 Words: A-Z lower-cased, maximal runs of ``[0-9a-z]`` and non-ASCII characters.
 A NULL or empty text has no words; an item of fewer words than the window is
-one window; repeated rows are documents (or items) of their own.
+one window; repeated rows are documents (or items) of their own.  Of equally
+rare terms the first in the window leads.  Texts of any length are read whole;
+without documents there are no rows, without items no hits; further columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

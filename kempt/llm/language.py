@@ -8,7 +8,8 @@ the labelled rows of each language.
 
 A NULL text or one without a letter is ``und`` with score 0; so is every text
 where there is nothing to learn from.  Ties go to the language that sorts
-first; repeated rows are scored alike.
+first; repeated rows are scored alike.  Texts of any length are read whole; an
+empty table gives no rows; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ once.
 
 NULL texts are empty and have the statistics of an empty text.  If a label has
 fewer than two rows, every score is the share of label 1 (0.5 without labels).
-Repeated rows are scored alike.
+Repeated rows are scored alike.  Statistics cover texts of any length; a score
+of exactly 0.5 predicts 1; an empty table gives no rows; further columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

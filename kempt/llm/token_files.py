@@ -10,7 +10,9 @@ it, so no file is rewritten to make positions global.
 
 Files of failed attempts are never listed, hence never read.  A NULL text is
 the empty text (its end id alone); NULL ids sort last; rows with equal ids
-follow each other ordered by text; empty tables give no shard.
+follow each other by a hash of the text; empty tables give no shard.  A text of
+any length is one run of ids; further columns, whatever their names, are not
+read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,10 @@ The network is trained by backpropagation through time on a bounded,
 hash-chosen sample of labelled rows; negatives are weighted back to their
 share.  A NULL or empty text has no window and gets the calibrated score of
 an all-negative one; without labels of both kinds every score is 0; repeated
-rows are scored alike.
+rows are scored alike.  For training an id counts once: with the text of the
+least hash, and as toxic if any of its labels says so.  Texts of any length are
+scored whole; an empty table gives no rows; further columns, whatever their
+names, are not read by ``predict`` and kept by ``keep_clean``.
 """
 
 from __future__ import annotations
@@ -268,13 +271,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
     Only the chosen ids (a bounded number) are broadcast to the documents.
     """
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).alias("_label"))
+    known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col)
+             .agg(F.max(label_col).alias("_label")))
     counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
     if len(counts) < 2:
         return None
     chosen = [common.bounded_sample(known.where(F.col("_label") == k), id_col, max_rows, "toxicity") for k in (0, 1)]
     sample = (docs.select(id_col, F.col(text_col).alias("_text")).where("_text is not null")
-              .join(F.broadcast(chosen[0].unionByName(chosen[1])), id_col).dropDuplicates([id_col]))
+              .join(F.broadcast(chosen[0].unionByName(chosen[1])), id_col)
+              .groupBy(id_col).agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"), F.max("_label").alias("_label")))
 
     def learn(table: pa.Table) -> dict | None:
         rows = sorted((t.encode(), y) for t, y in zip(table["_text"].to_pylist(), table["_label"].to_pylist()))

@@ -12,7 +12,9 @@ the adaptive join or met by a broadcast of checked size.  Events of the same
 pattern and day: the removal stands.  Repeated events count once; events
 without pattern, day or a known action are ignored.  Captures with a NULL or
 unreadable URL or without a day are kept and not blocked; repeated captures
-are judged each.
+are judged each.  Of entries of equal length the later name, then the later
+start is shown.  Without captures there are no rows, without events nothing is
+blocked; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
