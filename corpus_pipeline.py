@@ -5,6 +5,13 @@ before it kept.  All but the last return the columns of ``documents``; the last
 returns one row per packed piece.  ``run`` writes each stage's rows to the
 shared scratch folder and reads them back, so a lost executor costs at most the
 tasks of one stage.
+
+In every stage NULL and empty texts are empty documents: they are not toxic, are
+like no other document, hold no benchmark words and no secret, and are packed
+as their end id.  Rows without an id are kept.  Repeated rows are judged alike,
+and of rows that are like each other one stays, the least id first, then the
+least digest.  Texts of any length are read whole; an empty table stays empty;
+further columns stay until the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -46,7 +53,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [("toxicity", drop_toxic), ("ngram_jaccard_join", drop_near_duplicates),
           ("benchmark_decontamination", drop_contaminated), ("secret_scans", redact_secrets), ("packing", pack_sequences)]
 
-#: The models and the tokenizer have no SQL form; tests/llm compare the stages with brute-force versions.
+#: The models and the tokenizer have no SQL form; tests/llm/test_pipeline.py compares every stage and run() with plain Python.
 ORACLE_SQL = None
 
 
