@@ -19,10 +19,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kempt.operators.rules import Rule
+from kempt.sources.snapshot import read_snapshot, write_snapshot
+
+#: A table's journal is published under its name with this ending.
+JOURNAL = "__journal"
 
 
 def change_journal(df: DataFrame, key: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
@@ -48,6 +52,17 @@ def change_journal(df: DataFrame, key: Sequence[str], rules: Sequence[Rule]) ->
             .select(*key, "e.column_name", "e.seq", "e.rule", "e.before", "e.after"))
 
 
+def write_with_journal(df: DataFrame, journal: DataFrame, root: str, name: str) -> dict[str, int]:
+    """Publish a cleaned table together with its journal as one snapshot: readers see both or neither."""
+    return write_snapshot({name: df, f"{name}{JOURNAL}": journal}, root)
+
+
+def read_with_journal(spark: SparkSession, root: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """A published table and its journal."""
+    tables = read_snapshot(spark, root, [name, f"{name}{JOURNAL}"])
+    return tables[name], tables[f"{name}{JOURNAL}"]
+
+
 @dataclass(frozen=True)
 class RollBack:
     """The table after undoing, and what could not be undone."""

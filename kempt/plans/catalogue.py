@@ -819,8 +819,10 @@ def q82_change_journal(spark, sf):
 def q83_rolled_back_repairs(spark, sf):
     """Supplier names after undoing the last repair alone, and after undoing all of them (FX24)."""
     before = _v(spark, sf, "dirty_supplier").select("id", "nm")
-    log = cut_lineage(journal.change_journal(before, ["id"], supplier_repair_rules()))
-    after = rules.apply_rules(before, supplier_repair_rules())
+    path = scratch_path(spark, "journalled")
+    journal.write_with_journal(rules.apply_rules(before, supplier_repair_rules()),
+                               journal.change_journal(before, ["id"], supplier_repair_rules()), path, "supplier")
+    after, log = journal.read_with_journal(spark, path, "supplier")
     last = journal.roll_back(after, log, ["id"], rules=["suffix_case"]).rows
     return last.select(F.lit("last").alias("undone"), "*").unionByName(journal.roll_back(after, log, ["id"]).rows.select(F.lit("all").alias("undone"), "*"))
 

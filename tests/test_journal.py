@@ -72,3 +72,12 @@ def test_null_keys_missing_rows_and_empty_journals(spark):
     assert rows(journal.roll_back(after, log, ["id"]).rows) == rows(before)
     assert rows(journal.roll_back(after.where("id = 5"), log, ["id"]).rows) == rows(before.where("id = 5"))
     assert rows(journal.roll_back(after, log.limit(0), ["id"]).rows) == rows(after)
+
+
+def test_published_with_the_snapshot(spark, scratch):
+    before = spark.createDataFrame(made(4), SCHEMA)
+    log = journal.change_journal(before, ["id"], RULES)
+    counts = journal.write_with_journal(rules.apply_rules(before, RULES), log, f"{scratch}/s", "names")
+    assert counts == {"names": 200, "names__journal": log.count()}
+    after, kept = journal.read_with_journal(spark, f"{scratch}/s", "names")
+    assert rows(journal.roll_back(after, kept, ["id"]).rows) == rows(before)
