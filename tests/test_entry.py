@@ -24,11 +24,11 @@ def run(code):
 
 
 def test_absent_packages_leave_the_catalogue():
-    for name in ("xxhash", "tokenizers", "corpus_pipeline", "kempt.llm"):
+    for name in ("xxhash", "regex", "corpus_pipeline", "kempt.llm"):
         done = run(BLOCK.format(root=ROOT, name=name))
         assert done.returncode == 0, done.stderr
 
 
 def test_a_missing_core_module_is_an_error():
     done = run(BLOCK.format(root=ROOT, name="kempt.functions.text"))
-    assert done.returncode != 0 and "kempt.functions.text" in done.stderr
+    assert done.returncode != 0 and "kempt.functions" in done.stderr
