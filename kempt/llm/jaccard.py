@@ -436,7 +436,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> Da
     hot = F.broadcast(named.where(many).drop("copies"))
     cold = named.where(~many).drop("copies")
     found = (members.join(hot, "set_id").unionByName(
-        members.join(hot, "set_id", "left_anti").join(_known_size(cold), "set_id", "left")))
+        members.join(hot, "set_id", "left_anti").join(cold, "set_id", "left")))
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                         F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
