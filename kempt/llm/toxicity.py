@@ -8,9 +8,11 @@ a linear layer gives the window's logit.  A document's score is a logistic
 calibration of its largest and mean window logits, fitted on labelled rows
 that the network was not trained on.
 
-The network is trained by backpropagation through time on a bounded,
-hash-chosen sample of labelled rows; negatives are weighted back to their
-share.  A NULL or empty text has no window and gets the calibrated score of
+The network is trained by backpropagation through time on every window of every
+labelled row: up to ``max_rows`` rows of each label in one task; of more, a
+hash-chosen sample is the start, and then shards of all rows learn from it side
+by side (see ``training``).  Rows held back by their hash, all of them, fit the
+calibration.  A NULL or empty text has no window and gets the calibrated score of
 an all-negative one; without labels of both kinds every score is 0; repeated
 rows are scored alike.  For training an id counts once: with the text of the
 least hash, and as toxic if any of its labels says so.  Texts of any length are
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kempt.llm import common, gru
+from kempt.llm import common, gru, training
 
 WINDOW, STEP = 32, 16
 WORD_ROWS, GRAM_ROWS = 1 << 15, 1 << 14
@@ -150,8 +152,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
-def _training_windows(texts: list[bytes], chosen: np.ndarray, per_text: int, rng: np.random.Generator):
-    """At most ``per_text`` random windows of each chosen text, read slice by slice.
+def _training_windows(texts: list[bytes], chosen: np.ndarray, per_text: int | None, rng: np.random.Generator):
+    """All windows of each chosen text, or at most ``per_text`` random ones, read slice by slice.
 
     Returns (windows as word numbers, row of each), and the words' buckets,
     trigrams and first trigrams.
@@ -163,7 +165,7 @@ def _training_windows(texts: list[bytes], chosen: np.ndarray, per_text: int, rng
         index, row = window_index(first)
         order = np.lexsort((rng.random(len(row)), row))
         rank = np.arange(len(row)) - np.searchsorted(row[order], row[order])
-        use = np.sort(order[(rank < per_text) & chosen[low:high][row[order]]])
+        use = np.sort(order[(rank < (per_text or len(row))) & chosen[low:high][row[order]]])
         own = index[use]
         windows.append(np.where(own >= 0, number[own] + n_words, -1).astype(np.int32))
         rows.append(row[use] + low)
@@ -189,20 +191,16 @@ def _read(texts: list[bytes]):
     return read_words(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts]))
 
 
-def train(texts: list[bytes], toxic: list[int], negatives_per_row: float = 1.0, *, hidden: int = 12, dims: int = 12,
-          per_text: int = 10, epochs: int = 5, min_steps: int = 300, batch: int = 256, rate: float = 0.01, seed: int = 7) -> dict:
-    """A model from labelled texts; each negative row stands for ``negatives_per_row`` of them in the calibration."""
-    rng = np.random.default_rng(seed)
-    p = {"word": 0.1 * rng.standard_normal((WORD_ROWS, dims)), "gram": 0.3 * rng.standard_normal((GRAM_ROWS, dims)),
-         "wf": rng.standard_normal((2 * dims, 3 * hidden)) / np.sqrt(2 * dims), "bf": np.zeros(3 * hidden),
-         "wb": rng.standard_normal((2 * dims, 3 * hidden)) / np.sqrt(2 * dims), "bb": np.zeros(3 * hidden),
-         "attend": 0.1 * rng.standard_normal(2 * hidden), "out": 0.3 * rng.standard_normal(2 * hidden), "bias": np.zeros(1)}
-    p = {k: v.astype(np.float32) for k, v in p.items()} | {"uf": gru.init(rng, hidden), "ub": gru.init(rng, hidden)}
-    y = np.array(toxic)
-    train_rows = rng.random(len(texts)) < 0.75
-    index, row, bucket, gram, begin = _training_windows(texts, train_rows, per_text, rng)
+def _learn(p: dict, texts: list[bytes], y: np.ndarray, chosen: np.ndarray, rng: np.random.Generator, *, per_text: int | None, epochs: int,
+           min_steps: int, batch: int, rate: float, balance: tuple[float, float] | None = None) -> tuple[int, np.ndarray, np.ndarray]:
+    """Train ``p`` in place on the chosen texts; returns how many windows there were and which word and trigram rows they touched.
+
+    ``balance`` weighs the labels; without it, they weigh the same in all.
+    """
+    index, row, bucket, gram, begin = _training_windows(texts, chosen, per_text, rng)
     ends = np.append(begin, len(gram))
     use = np.arange(len(row))
+    touched = np.zeros(len(p["word"]), bool), np.zeros(len(p["gram"]), bool)
 
     def batch_inputs(own: np.ndarray):
         """The distinct words of some windows: their numbers, the windows over them, trigrams and inputs."""
@@ -218,18 +216,35 @@ def train(texts: list[bytes], toxic: list[int], negatives_per_row: float = 1.0,
     epochs = max(epochs, -(-min_steps * batch // max(len(use), 1)))
     for epoch in range(epochs):
         adam.rate = rate * (1 - 0.9 * epoch / epochs)
-        weight = np.where(y == 1, 0.5 / max((y[row[use]] == 1).sum(), 1), 0.5 / max((y[row[use]] == 0).sum(), 1)) * len(use)
+        share = balance or (0.5 / max((y[row[use]] == 0).sum(), 1) * len(use), 0.5 / max((y[row[use]] == 1).sum(), 1) * len(use))
+        weight = np.where(y == 1, share[1], share[0])
         rng.shuffle(use)
         for i in range(0, len(use), batch):
             words, local, sizes, grams, x = batch_inputs(index[use[i:i + batch]])
+            touched[0][bucket[words]] = touched[1][grams] = True
             logit, kept = _pooled_logit(p, _gates(p, x), local, keep=True)
             target = y[row[use[i:i + batch]]]
             d = ((gru.sigmoid(logit) - target) * weight[row[use[i:i + batch]]] / len(target)).astype(np.float32)
             grads, dx = _gradients(p, x, kept, d)
             grads["word"], grads["gram"] = np.zeros_like(p["word"]), np.zeros_like(p["gram"])
-            _add_rows(grads["word"], bucket[words], dx[:, :dims])
-            _add_rows(grads["gram"], grams, np.repeat(dx[:, dims:] / sizes[:, None], sizes, axis=0))
+            _add_rows(grads["word"], bucket[words], dx[:, :dx.shape[1] // 2])
+            _add_rows(grads["gram"], grams, np.repeat(dx[:, dx.shape[1] // 2:] / sizes[:, None], sizes, axis=0))
             adam.step(grads)
+    return len(use), *touched
+
+
+def train(texts: list[bytes], toxic: list[int], negatives_per_row: float = 1.0, *, hidden: int = 12, dims: int = 12,
+          per_text: int | None = None, epochs: int = 5, min_steps: int = 300, batch: int = 256, rate: float = 0.01, seed: int = 7) -> dict:
+    """A model from labelled texts; each negative row stands for ``negatives_per_row`` of them in the calibration."""
+    rng = np.random.default_rng(seed)
+    p = {"word": 0.1 * rng.standard_normal((WORD_ROWS, dims)), "gram": 0.3 * rng.standard_normal((GRAM_ROWS, dims)),
+         "wf": rng.standard_normal((2 * dims, 3 * hidden)) / np.sqrt(2 * dims), "bf": np.zeros(3 * hidden),
+         "wb": rng.standard_normal((2 * dims, 3 * hidden)) / np.sqrt(2 * dims), "bb": np.zeros(3 * hidden),
+         "attend": 0.1 * rng.standard_normal(2 * hidden), "out": 0.3 * rng.standard_normal(2 * hidden), "bias": np.zeros(1)}
+    p = {k: v.astype(np.float32) for k, v in p.items()} | {"uf": gru.init(rng, hidden), "ub": gru.init(rng, hidden)}
+    y = np.array(toxic)
+    train_rows = rng.random(len(texts)) < 0.75
+    _learn(p, texts, y, train_rows, rng, per_text=per_text, epochs=epochs, min_steps=min_steps, batch=batch, rate=rate)
     model = {"params": p, "calibration": None}
     rest = np.flatnonzero(~train_rows)
     if len(set(y[rest].tolist())) < 2:
@@ -265,30 +280,85 @@ def score(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(stats @ w[:-1] + w[-1], -30, 30)))
 
 
+#: A shard has about so many labelled rows, and about so many bytes of text, at most.
+_SHARD_ROWS, _SHARD_BYTES = 4000, 1 << 24
+
+
+def _labelled(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, shards: int | None = None) -> DataFrame:
+    """(id, _text, _label) of the labelled ids, each once; with ``shards``, dealt over so many partitions by the id."""
+    rows = docs.select(id_col, F.col(text_col).alias("_text")).where("_text is not null")
+    rows = rows.repartition(shards, id_col) if shards else rows
+    return (rows.join(known, id_col).groupBy(id_col)
+            .agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"), F.max("_label").alias("_label")))
+
+
+def _sorted_rows(table: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    rows = sorted((t.encode(), y) for t, y in zip(table["_text"].to_pylist(), table["_label"].to_pylist()))
+    return [t for t, _ in rows], np.array([y for _, y in rows])
+
+
+def _stats(rows: DataFrame, model: dict) -> DataFrame:
+    """(_label, most, mean): the window logits of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.let_go()
+        for batch in batches:
+            for first, end, data, offsets in common.text_slices(batch, "_text"):
+                own = _row_stats(model, *read_words(data, offsets))
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, end - first).cast(pa.int64()), pa.array(own[:, 0].copy()),
+                                                  pa.array(own[:, 1].copy())], names=["_label", "most", "mean"])
+
+    return rows.select("_text", "_label").mapInArrow(common.task(run), "_label long, most double, mean double")
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        max_rows: int = 4000, **options) -> dict | None:
-    """Train on documents of at most ``max_rows`` labels of each kind, chosen by a hash of the id.
+        max_rows: int = 1500, start_rows: int = 1000, shard_rate: float = 0.005, **options) -> dict | None:
+    """Train on every window of every labelled document.
 
-    Only the chosen ids (a bounded number) are broadcast to the documents.
+    With more than ``max_rows`` rows of a label, ``start_rows`` of each, chosen
+    by a hash of the id, only give the start; all rows but those held back are
+    then learned from in shards, and all held-back rows fit the calibration.
     """
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col)
              .agg(F.max(label_col).alias("_label")))
     counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
     if len(counts) < 2:
         return None
-    chosen = [common.bounded_sample(known.where(F.col("_label") == k), id_col, max_rows, "toxicity") for k in (0, 1)]
-    sample = (docs.select(id_col, F.col(text_col).alias("_text")).where("_text is not null")
-              .join(F.broadcast(chosen[0].unionByName(chosen[1])), id_col)
-              .groupBy(id_col).agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"), F.max("_label").alias("_label")))
+    whole = max(counts.values()) <= max_rows
+    ours = known if whole else known.where(~training.held_back(id_col))
+    chosen = [common.bounded_sample(ours.where(F.col("_label") == k), id_col, max_rows if whole else start_rows, "toxicity") for k in (0, 1)]
+    sample = _labelled(docs, F.broadcast(chosen[0].unionByName(chosen[1])), id_col, text_col)
 
     def learn(table: pa.Table) -> dict | None:
-        rows = sorted((t.encode(), y) for t, y in zip(table["_text"].to_pylist(), table["_label"].to_pylist()))
-        n = [sum(y == k for _, y in rows) for k in (0, 1)]
+        texts, y = _sorted_rows(table)
+        n = [(y == k).sum() for k in (0, 1)]
         if not min(n):
             return None
-        return train([t for t, _ in rows], [y for _, y in rows], (counts[0] / n[0]) / (counts[1] / n[1]), **options)
-
-    return common.fit_in_task(sample.select("_text", "_label"), learn)
+        return train(texts, y.tolist(), (counts[0] / n[0]) / (counts[1] / n[1]), **options)
+
+    model = common.fit_in_task(sample.select("_text", "_label"), learn)
+    if whole or model is None:
+        return model
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    shards = max(-(-sum(counts.values()) // _SHARD_ROWS), -(-size // _SHARD_BYTES))
+    balance = tuple(0.5 * sum(counts.values()) / counts[k] for k in (0, 1))
+
+    def learn_shard(p: dict, table: pa.Table) -> dict:
+        texts, y = _sorted_rows(table)
+        n, words, grams = _learn(p, texts, y, np.ones(len(y), bool), np.random.default_rng(options.get("seed", 7)), per_text=options.get("per_text"),
+                                 epochs=1, min_steps=0, batch=512, rate=shard_rate, balance=balance)
+        return {k: np.full(len(v), float(n)) for k, v in p.items()} | {"word": n * words, "gram": n * grams}
+
+    rows = _labelled(docs, ours, id_col, text_col, shards).select("_text", "_label")
+    model = {"params": training.over_shards(rows, shards, model["params"], learn_shard), "calibration": None}
+    rest = _labelled(docs, known.where(training.held_back(id_col)), id_col, text_col)
+    x, y, count = training.cells(_stats(rest, model), ["most", "mean"], "_label", 8, 30.0)
+    if len(set(y.tolist())) < 2:
+        x, y, count = training.cells(_stats(_labelled(docs, known, id_col, text_col), model), ["most", "mean"], "_label", 8, 30.0)
+    if len(set(y.tolist())) < 2:
+        return None
+    model["calibration"] = _logistic(x, y, count)
+    return model
 
 
 def predict(docs: DataFrame, model: dict | None, *, id_col: str = "doc_id", text_col: str = "text",

@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from kempt.llm import secrets, training
+from kempt.llm import secrets, toxicity, training
 
 
 def watched(monkeypatch):
@@ -78,3 +78,22 @@ def test_secrets_learn_from_every_candidate(spark, monkeypatch):
     assert models[0]["threshold"] == models[1]["threshold"] and (models[0]["params"]["conv"] == models[1]["params"]["conv"]).all()
     spans = secrets.scan(docs, models[0])
     assert spans.where("n_assign = 1 and n_hex = 1").count() == 400 and spans.where("spans like '%model%'").count() < 20
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = []
+    for k in range(900):
+        words = [f"word{rng.randrange(300)}" for _ in range(rng.choice([10, 80]))]
+        if k % 3 == 0:
+            words[rng.randrange(len(words))] = rng.choice(["vile", "scum", "idiot"])
+        rows.append((k, " ".join(words), int(k % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = docs.where("doc_id < 700").select("doc_id", "toxic")
+    learnt, counted = watched(monkeypatch)
+    models = [toxicity.fit(docs.drop("toxic").repartition(parts), labels, max_rows=150, start_rows=150) for parts in (1, 5)]
+    assert learnt[0] + counted[0][2].sum() == 700 and counted[0][2].sum() > 100
+    assert all((models[0]["params"][k] == models[1]["params"][k]).all() for k in models[0]["params"])
+    assert (models[0]["calibration"] == models[1]["calibration"]).all()
+    got = toxicity.predict(docs, models[0], threshold=0.5, keep=("toxic",)).where("doc_id >= 700")
+    assert got.where("predicted = toxic").count() > 170  # 133 without a model
