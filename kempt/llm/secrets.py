@@ -212,27 +212,28 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, model: dict | None) -> dic
     return {r: sorted(s, key=lambda x: (x[0], KINDS.index(x[2]))) for r, s in found.items()}
 
 
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.let_go()
+    for batch in batches:
+        for _, _, data, offsets in common.text_slices(batch):
+            starts, ends = candidates(data, offsets)
+            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            base = scan_slice(data, offsets, None)
+            symbols, inside, which = pieces(data, offsets, starts, ends)
+            row = np.searchsorted(offsets, starts, "right") - 1
+            covered = [any(s < points[b] - points[offsets[r]] and points[a] - points[offsets[r]] < e for s, e, _ in base.get(r, ()))
+                       for a, b, r in zip(starts.tolist(), ends.tolist(), row.tolist())]
+            yield pa.RecordBatch.from_pydict({
+                "symbols": pa.array([s.tobytes() for s in symbols], pa.binary()),
+                "inside": pa.array([i.tobytes() for i in inside], pa.binary()),
+                "found": pa.array(np.array(covered, bool)[which] if len(which) else [], pa.bool_())})
+
+
 def labelled_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(symbols, inside, found): the pieces of every candidate, labelled by whether a base finding covers them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.let_go()
-        for batch in batches:
-            for _, _, data, offsets in common.text_slices(batch):
-                starts, ends = candidates(data, offsets)
-                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                base = scan_slice(data, offsets, None)
-                symbols, inside, which = pieces(data, offsets, starts, ends)
-                row = np.searchsorted(offsets, starts, "right") - 1
-                covered = [any(s < points[b] - points[offsets[r]] and points[a] - points[offsets[r]] < e for s, e, _ in base.get(r, ()))
-                           for a, b, r in zip(starts.tolist(), ends.tolist(), row.tolist())]
-                yield pa.RecordBatch.from_pydict({
-                    "symbols": pa.array([s.tobytes() for s in symbols], pa.binary()),
-                    "inside": pa.array([i.tobytes() for i in inside], pa.binary()),
-                    "found": pa.array(np.array(covered, bool)[which] if len(which) else [], pa.bool_())})
-
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(common.task(run), "symbols binary, inside binary, found boolean")
+    return rows.mapInArrow(common.task(_labelled), "symbols binary, inside binary, found boolean")
 
 
 #: Logits are counted in cells of 1 / _CELLS, up to _MOST on either side.
@@ -245,13 +246,13 @@ def _stored(docs: DataFrame) -> DataFrame:
     """The distinct labelled pieces of (id, text): their hash, symbols as bytes, inside as bits, found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _labelled(batches):
             symbols, inside = _arrays(batch, np.int16, False)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([s.tobytes() for s in np.where(symbols == _EMPTY, _STORED_EMPTY, symbols).astype(np.uint8)], pa.binary()),
                  pa.array([i.tobytes() for i in np.packbits(inside, axis=1)], pa.binary()), batch.column(2)], names=["symbols", "inside", "found"])
 
-    stored = labelled_pieces(docs, id_col="id").mapInArrow(common.task(run), "symbols binary, inside binary, found boolean")
+    stored = docs.select("id", "text").mapInArrow(common.task(run), "symbols binary, inside binary, found boolean")
     # texts that say otherwise of the same piece leave it under both labels
     return stored.withColumn("key", F.xxhash64("symbols", "inside", "found")).dropDuplicates(["key"])
 
