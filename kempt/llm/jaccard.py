@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kempt.llm import common
-from kempt.llm.components import connected_components
+from kempt.llm.components import connected_components, each
 from kempt.llm.tokens import ragged
 
 _STEP = common._random_table(23, 64)
@@ -325,7 +325,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 def _texts(rows: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """Texts (set_id, text) of the sets in the pairs, one document each; their ids are broadcast only up to a checked number."""
-    wanted = pairs.select(F.col("node").alias("set_id")).unionByName(pairs.select(F.col("query").alias("set_id"))).distinct()
+    wanted = pairs.select(F.explode(F.array("node", "query")).alias("set_id")).distinct()
     wanted = common.materialise(wanted, "wanted")
     ids = members.join(wanted, "set_id").groupBy("set_id").agg(F.min("id").alias("id")).select("id")
     ids = _known_size(common.materialise(ids, "wanted-ids"))
@@ -413,7 +413,7 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     later = (against_all(short, lambda a, b, on: a.join(b, ["by", "class"]).where(on))
              .unionByName(against_all(long, lambda a, b, on: a.join(bits, "set_id").join(
                  b.join(_as_query(bits.withColumn("wide", F.lit(None))).drop("qn"), "query"), ["by", "class"]).where(on & _alike(num, den)))))
-    known = pairs.unionByName(pairs.select(F.col("node").alias("query"), F.col("query").alias("node")))
+    known = each(pairs, ("query", "node"), ("node", "query")).toDF("query", "node")
     later = common.materialise(_possible(later.distinct().join(known, ["query", "node"], "left_anti"), sets, num, den), "later")
     if not later.isEmpty():
         more = _search(later, _texts(rows, members, later, width), width, num, den, block_rows)

@@ -130,3 +130,42 @@ def test_many_copies_get_their_component_by_broadcast(spark, docs_of):
     rows = [(i, text) for i in range(1500)] + [(2000, text + " more"), (2001, "other words that stand quite alone here"), (2002, None)]
     got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs_of(rows)).collect()}
     assert got == {**{i: 0 for i in range(1500)}, 2000: 0, 2001: 2001, 2002: 2002}
+
+
+def brute_components(edges):
+    least = {}
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            least.setdefault(a, a)
+            least.setdefault(b, b)
+    moved = True
+    while moved:
+        moved = False
+        for a, b in edges:
+            if a in least and b in least and least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                moved = True
+    return least
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_connected_components_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(1000 + k, 1001 + k) for k in range(30)]
+    edges += [(500, 600 + k) for k in range(40)] + [(None, 1), (2, None), (None, None), (7000, 7000), (-5, -9), (-9, -5)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == brute_components(edges)
+
+
+def test_stars_take_few_jobs(spark, scratch):
+    """Every job and broadcast takes buffers and threads of the driver, however few the rows."""
+    edges = [(100 * k, 100 * k + j) for k in range(5) for j in range(1, 8)]
+    spark.createDataFrame(edges, "a long, b long").write.parquet(f"{scratch}/edges")
+    spark.sparkContext.setJobGroup(scratch, "components")
+    try:
+        found = connected_components(spark.read.parquet(f"{scratch}/edges"))
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(scratch)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.node: r.root for r in found.collect()} == brute_components(edges)
+    assert len(jobs) <= 10
