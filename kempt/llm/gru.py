@@ -2,13 +2,16 @@
 
 Arrays are time-major, (steps, sequences, units).  Inputs arrive as gate
 pre-activations (reset, update, candidate), so a caller may look them up in a
-table or multiply them out.
+table or multiply them out.  Within a step, arrays are unit-major: gates are
+then whole rows, which numpy works on at a stretch.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+_CHUNK = 1 << 14
+
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
@@ -27,27 +30,29 @@ def forward(x: np.ndarray, u: np.ndarray, mask: np.ndarray | None, reverse: bool
     steps, n, width = x.shape
     h = width // 3
     states = np.empty((steps, n, h), np.float32)
-    state = np.zeros((n, h), np.float32)
+    state = np.zeros((h, n), np.float32)
     kept = [None] * steps
     for t in (range(steps - 1, -1, -1) if reverse else range(steps)):
-        g = state @ u
-        gates = x[t, :, :2 * h] + g[:, :2 * h]
+        g = u.T @ state
+        own = x[t].T.copy()
+        gates, candidate = own[:2 * h], own[2 * h:]
+        gates += g[:2 * h]
         gates *= 0.5
         np.tanh(gates, out=gates)
         gates += 1
         gates *= 0.5
-        r, z = gates[:, :h], gates[:, h:]
-        candidate = r * g[:, 2 * h:]
-        candidate += x[t, :, 2 * h:]
+        r, z = gates[:h], gates[h:]
+        candidate += r * g[2 * h:]
         np.tanh(candidate, out=candidate)
         new = state - candidate
         new *= z
         new += candidate
         if mask is not None:
-            new *= mask[t][:, None]
+            new *= mask[t]
         if keep:
-            kept[t] = (state, r, z, candidate, g[:, 2 * h:])
-        states[t] = state = new
+            kept[t] = (state, r, z, candidate, g[2 * h:])
+        state = new
+        states[t] = state.T
     return (states, kept) if keep else states
 
 
@@ -56,19 +61,20 @@ def backward(d_states: np.ndarray, kept, u: np.ndarray, mask: np.ndarray | None,
     steps, n, h = d_states.shape
     dx = np.empty((steps, n, 3 * h), np.float32)
     du = np.zeros_like(u)
-    carry = np.zeros((n, h), np.float32)
+    carry = np.zeros((h, n), np.float32)
     for t in (range(steps) if reverse else range(steps - 1, -1, -1)):
         state, r, z, candidate, gn = kept[t]
-        d = d_states[t] + carry
+        d = d_states[t].T.copy()
+        d += carry
         if mask is not None:
-            d = d * mask[t][:, None]
+            d = d * mask[t]
         dn = d * (1 - z) * (1 - candidate * candidate)
         dr = dn * gn * r * (1 - r)
         dz = d * (state - candidate) * z * (1 - z)
-        dx[t] = np.concatenate([dr, dz, dn], axis=1)
-        dg = np.concatenate([dr, dz, dn * r], axis=1)
-        du += state.T @ dg
-        carry = d * z + dg @ u.T
+        dx[t] = np.concatenate([dr, dz, dn]).T
+        dg = np.concatenate([dr, dz, dn * r]).T.copy()
+        du += state.T.copy().T @ dg  # row-major, so that sums are added as ever, whatever the number of sequences
+        carry = d * z + (dg @ u.T).T
     return dx, du
 
 
@@ -82,6 +88,23 @@ class Adam:
         self.t += 1
         scale = self.rate * np.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t)
         for k, g in grads.items():
-            self.m[k] += 0.1 * (g - self.m[k])
-            self.v[k] += 0.001 * (g * g - self.v[k])
-            self.params[k] -= (scale * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(np.float32)
+            rows = max(_CHUNK * len(g) // max(g.size, 1), 1)
+            for i in range(0, len(g), rows):
+                at = slice(i, i + rows)
+                self._step(self.params[k][at], self.m[k][at], self.v[k][at], g[at], scale)
+
+    @staticmethod
+    def _step(p: np.ndarray, m: np.ndarray, v: np.ndarray, g: np.ndarray, scale: float) -> None:
+        """One chunk, which stays in the cache."""
+        change = g - m
+        change *= 0.1
+        m += change
+        change = g * g
+        change -= v
+        change *= 0.001
+        v += change
+        root = np.sqrt(v)
+        root += 1e-8
+        move = scale * m
+        move /= root
+        p -= move.astype(np.float32)

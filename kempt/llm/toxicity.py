@@ -96,8 +96,8 @@ def _pooled_logit(p: dict, gates: tuple[np.ndarray, np.ndarray], index: np.ndarr
     steps = np.ascontiguousarray(index.T)
     mask = (steps >= 0).astype(np.float32)
     need = None if mask.all() else mask
-    f = gru.forward(gates[0][steps], p["uf"], need, False, keep)
-    b = gru.forward(gates[1][steps], p["ub"], need, True, keep)
+    f = gru.forward(np.take(gates[0], steps, axis=0), p["uf"], need, False, keep)
+    b = gru.forward(np.take(gates[1], steps, axis=0), p["ub"], need, True, keep)
     hf, hb = (f[0], b[0]) if keep else (f, b)
     hidden = hf.shape[2]
     a = hf @ p["attend"][:hidden] + hb @ p["attend"][hidden:]
@@ -130,10 +130,12 @@ def _gradients(p: dict, x: np.ndarray, kept, d: np.ndarray) -> tuple[dict, np.nd
 
 
 def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    order = np.argsort(at, kind="stable")
-    cut = np.flatnonzero(np.diff(at[order], prepend=at.min() - 1)) if len(at) else []
     if len(at):
-        table[at[order][cut]] += np.add.reduceat(rows[order], cut)
+        # -1, the last row, comes first; numbers of 16 bits are sorted by radix
+        order = np.argsort((at + 1).astype(np.uint16) if at.max() < 65535 else at, kind="stable")
+        at = at[order]
+        cut = np.flatnonzero(np.diff(at, prepend=at[0] - 1))
+        table[at[cut]] += np.add.reduceat(rows[order], cut)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -201,12 +203,16 @@ def _learn(p: dict, texts: list[bytes], y: np.ndarray, chosen: np.ndarray, rng:
     ends = np.append(begin, len(gram))
     use = np.arange(len(row))
     touched = np.zeros(len(p["word"]), bool), np.zeros(len(p["gram"]), bool)
+    place = np.zeros(len(begin) + 1, np.int64)  # of the words of a batch; the last: padding
 
     def batch_inputs(own: np.ndarray):
         """The distinct words of some windows: their numbers, the windows over them, trigrams and inputs."""
-        words, place = np.unique(own[own >= 0], return_inverse=True)
-        local = np.full(own.shape, -1)
-        local[own >= 0] = place
+        there = np.zeros(len(begin) + 1, bool)
+        there[own] = True
+        words = np.flatnonzero(there[:-1])
+        place[words] = np.arange(len(words))
+        place[-1] = -1
+        local = place[own]
         sizes = ends[words + 1] - begin[words]
         local_begin = np.cumsum(sizes) - sizes
         grams = gram[np.repeat(begin[words] - local_begin, sizes) + np.arange(int(sizes.sum()))]
