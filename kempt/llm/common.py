@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.session import scratch_path
+from kempt.session import parallelism, scratch_path
 
 #: Texts are worked on in slices of about this many bytes, so that a batch of long texts stays small.
 SLICE_BYTES = 1 << 20
@@ -76,9 +76,17 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: a lineage cut that survives lost executors."""
+def materialise(df: DataFrame, name: str, few: bool = False) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: a lineage cut that survives lost executors.
+
+    ``few``, for narrow tables of ids that end in an aggregation: in no more
+    than two files a core, however many partitions a shuffle has.  Every file
+    costs its executor a writer and, on a file system without Hadoop's native
+    library, a process for each of its permissions.
+    """
     path = scratch_path(df.sparkSession, name)
+    cores = parallelism(df.sparkSession) if few else None
+    df = df.coalesce(2 * cores) if cores else df
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -39,9 +39,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Edges may repeat, in either direction, and join a node to itself; NULL ends are dropped.
     """
-    current = materialise(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    current = materialise(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges", few=True)
     while not _are_stars(current):
         large = _star(each(current, ("u", "v"), ("v", "u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = each(_star(large.distinct()), ("v", "m"), ("u", "m")).where("u <> v").distinct()
-        current = materialise(small, "edges")
-    return materialise(each(current, ("u", "v"), ("v", "v")).distinct().toDF("node", "root"), "roots")
+        current = materialise(small, "edges", few=True)
+    return materialise(each(current, ("u", "v"), ("v", "v")).distinct().toDF("node", "root"), "roots", few=True)

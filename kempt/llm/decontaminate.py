@@ -70,7 +70,7 @@ def build_index(docs: DataFrame, tokens: DataFrame, id_col: str = "doc_id", text
     documents = index.where("term = 0").select("row", "doc_id", F.col("pos").alias("n_words"))
     postings = index.where("term > 0").select("row", "pos", "term")
     frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
-    terms = common.materialise(vocabulary.join(frequency, "term"), "terms")
+    terms = common.materialise(vocabulary.join(frequency, "term"), "terms", few=True)
     return documents, postings, terms
 
 
@@ -81,11 +81,11 @@ def phrase_hits(postings: DataFrame, terms: DataFrame, tokens: DataFrame, window
     anchors = (ranked.withColumn("rarest", F.min(F.struct("df", "item_pos", "term")).over(ahead))
                .where(F.col("item_pos") <= F.greatest(F.col("n_item") - window, F.lit(0)))
                .where("rarest.df > 0").select("item", "rarest.item_pos", "rarest.term").distinct())
-    anchors = common.materialise(anchors, "anchors")
+    anchors = common.materialise(anchors, "anchors", few=True)
     diagonals = (postings.join(_small(anchors), "term")
                  .select("row", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct())
     diagonals = common.materialise(diagonals, "diagonals")
-    candidates = common.materialise(diagonals.select("row").distinct(), "candidate-rows")
+    candidates = common.materialise(diagonals.select("row").distinct(), "candidate-rows", few=True)
 
     # every other list of the item, adjusted by its offset, on these diagonals
     wanted = (diagonals.join(_small(ranked.where("df > 0").select("item", "item_pos", "n_item", "term")), "item")
@@ -145,5 +145,5 @@ def keep_clean(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", tex
     digest = F.struct(F.xxhash64(text_col).alias("a"), F.xxhash64(F.lit(1), text_col).alias("b"))  # 128 bits stand for a text
     texts = docs.select(digest.alias("_digest"), F.col(text_col).alias("_text"))
     found = contamination(texts, items, id_col="_digest", text_col="_text", **options).where("contaminated")
-    found = common.materialise(found.select("_digest").distinct(), "contaminated")
+    found = common.materialise(found.select("_digest").distinct(), "contaminated", few=True)
     return docs.join(_small(found), (digest == F.col("_digest")) & F.col(id_col).isNotNull(), "left_anti").select(docs.columns)

@@ -326,9 +326,9 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 def _texts(rows: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """Texts (set_id, text) of the sets in the pairs, one document each; their ids are broadcast only up to a checked number."""
     wanted = pairs.select(F.explode(F.array("node", "query")).alias("set_id")).distinct()
-    wanted = common.materialise(wanted, "wanted")
+    wanted = common.materialise(wanted, "wanted", few=True)
     ids = members.join(wanted, "set_id").groupBy("set_id").agg(F.min("id").alias("id")).select("id")
-    ids = _known_size(common.materialise(ids, "wanted-ids"))
+    ids = _known_size(common.materialise(ids, "wanted-ids", few=True))
     with_set = common.task(_with_set_id(width))
     schema = "set_id long, text string"
     unnamed = rows.where("id is null").mapInArrow(with_set, schema).join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"])
@@ -468,10 +468,10 @@ def keep_representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
             .join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")))
     best = F.min(F.struct("least", "set_id"))
     heads = sets.groupBy("root").agg(best.alias("_b")).select(F.col("_b.least").alias("id"), F.col("_b.set_id").alias("set_id"))
-    heads = common.materialise(heads, "representatives")
+    heads = common.materialise(heads, "representatives", few=True)
     ids = members.where("id is not null").groupBy("id").agg(
         F.count("*").alias("rows"), F.max(F.col("set_id").isNull()).alias("bare"))
-    ids = common.materialise(ids.join(heads.select("id", F.lit(True).alias("head")).distinct(), "id", "left"), "stays")
+    ids = common.materialise(ids.join(heads.select("id", F.lit(True).alias("head")).distinct(), "id", "left"), "stays", few=True)
     gone = _known_size(ids.where("rows = 1 and head is null and not bare").select(F.col("id").alias("_id")))
     repeated = _known_size(ids.where("rows > 1").select(F.col("id").alias("_id")))
     own = F.col(id_col).cast("long")

@@ -67,6 +67,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def parallelism(spark: SparkSession) -> int | None:
+    """Tasks that the cluster runs at once; None where it is not known."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect has no context
+        return None
+
+
 def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread an under-partitioned input before CPU-heavy per-row work.
 

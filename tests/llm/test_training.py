@@ -43,6 +43,24 @@ def test_shards_move_the_start_by_their_weighted_mean(spark):
     assert (training.over_shards(rows.where("id < 0"), 6, start, learn)["a"] == 0).all()
 
 
+def test_shards_send_only_what_they_have_learnt(spark):
+    def learn(p, rows):
+        at = np.unique(np.array(rows["id"]) % 10_000)
+        p["a"][at] += len(rows)
+        weight = np.zeros(10_000)
+        weight[at] = len(rows)
+        return {"a": weight, "b": np.full(3, float(len(rows)))}
+
+    start = {"a": np.zeros((10_000, 4), np.float32), "b": np.ones(3, np.float32)}
+    rows = spark.range(300).repartition(6, "id")
+    sent = training._changes(rows, start, learn).where("name = 'a'")
+    assert sent.agg(F.sum(F.octet_length("weight")), F.sum(F.octet_length("change")), F.sum(F.octet_length("rows"))).first()[:] == (300 * 8, 300 * 32, 300 * 4)
+    of = {r["id"]: r["n"] for r in rows.withColumn("p", F.spark_partition_id()).withColumn("n", F.expr("count(*) over (partition by p)")).collect()}
+    got = training.over_shards(rows, 1, start, learn)
+    assert (got["a"][:300] == np.array([of[k] for k in range(300)])[:, None]).all() and not got["a"][300:].any()
+    assert (got["b"] == 1).all()
+
+
 def test_cells_count_every_row(spark):
     rows = spark.createDataFrame([(k % 2, (k % 50) / 7 - 3) for k in range(999)] + [(1, 1e9)], "y long, x double")
     for parts in (1, 5):
