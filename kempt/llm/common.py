@@ -38,6 +38,7 @@ def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
         try:
             yield from run(batches)
         finally:
+            _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
             free_memory()
 
     return whole

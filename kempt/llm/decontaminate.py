@@ -59,7 +59,7 @@ def test_tokens(items: DataFrame, id_col: str = "item_id", text_col: str = "text
 def build_index(docs: DataFrame, tokens: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, postings, terms): (row, doc_id, n_words), (row, pos, term) and (term, word, df)."""
     vocabulary = (tokens.select("word").distinct().withColumn("term", F.row_number().over(Window.orderBy("word")))
-                  .unionByName(docs.sparkSession.createDataFrame([(_END, 0)], "word string, term int")))
+                  .unionByName(docs.sparkSession.range(0, 1, 1, 1).select(F.lit(_END).alias("word"), F.lit(0).alias("term"))))
     vocabulary = common.materialise(vocabulary, "vocabulary")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                        F.array_append(words(F.col(text_col)), F.lit(_END)).alias("w"))

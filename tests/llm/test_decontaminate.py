@@ -91,3 +91,15 @@ def test_rows_are_judged_by_their_texts(spark, docs_of):
     kept = decontaminate.keep_clean(docs_of(rows), spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
         [(1, "clean text of the same id"), (None, item), (None, "clean"), (2, None), (2, "")], key=str)
+
+
+def test_no_python_worker_is_started(spark, docs_of, monkeypatch):
+    text = " ".join(f"w{k}" for k in range(40))
+    docs, items = docs_of([(1, text), (2, "other words")]), docs_of([(7, text)]).selectExpr("doc_id as item_id", "text")
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("rows from Python are dealt out by Python workers of their own")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    got = decontaminate.contamination(docs, items).select("doc_id", "n_hit", "contaminated").orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [(1, 40, True), (2, 0, False)]

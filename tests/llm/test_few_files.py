@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,3 +37,12 @@ def test_few_files_hold_every_row(spark, many_partitions):
     few, all_files = common.materialise(rows, "few", few=True), common.materialise(rows, "all")
     assert len(few.inputFiles()) <= many_partitions < len(all_files.inputFiles())
     assert sorted(few.collect()) == sorted(all_files.collect()) and few.count() == 700
+
+
+def test_tasks_leave_no_tables():
+    def run(batches):
+        yield from (common.span_hashes(b, np.array([0]), np.array([len(b)])) for b in batches)
+
+    data = np.arange(200, dtype=np.uint8)
+    first, second = (list(common.task(run)(iter([data, data]))) for _ in range(2))
+    assert first[0] == first[1] == second[0] and sum(p.nbytes for p in common._powers) < 100
